@@ -76,9 +76,9 @@ class Inputs:
 def plain(rows: DataFrame) -> DataFrame:
     """Decimals as DOUBLE and SMALLINT as INT, as two engines can compare them."""
     swaps = {DecimalType: "double", ShortType: "int"}
-    return rows.select(*(
-        C(f.name).cast(swaps[type(f.dataType)]).alias(f.name) if type(f.dataType) in swaps
-        else C(f.name)
+    return rows.selectExpr(*(
+        f"CAST({f.name} AS {swaps[type(f.dataType)]}) AS {f.name}" if type(f.dataType) in swaps
+        else f.name
         for f in rows.schema
     ))
 
@@ -385,11 +385,10 @@ def imp_constant(t: Inputs) -> DataFrame:
 @query
 def imp_mean_float(t: Inputs) -> DataFrame:
     raw = t.raw("b_hyp")
-    default = silver.hypertension_defaults(raw)
     filled = {"bmi": "bmi", "totchol": "total_cholesterol", "glucose": "glucose"}
-    return raw.select(
+    return raw.withColumn("d", silver.hypertension_defaults(raw)).select(
         "record_id",
-        *(F.round(F.coalesce(numeric.try_float(C(name)), default[field]), 4).alias(field)
+        *(F.round(F.coalesce(numeric.try_float(C(name)), C(f"d.{field}")), 4).alias(field)
           for name, field in filled.items()),
     )
 
@@ -397,8 +396,8 @@ def imp_mean_float(t: Inputs) -> DataFrame:
 @query
 def imp_mean_int(t: Inputs) -> DataFrame:
     raw = t.raw("b_hyp")
-    default = silver.hypertension_defaults(raw)["heart_rate"]
-    return raw.select(
+    default = C("d.heart_rate")
+    return raw.withColumn("d", silver.hypertension_defaults(raw)).select(
         "record_id", F.coalesce(numeric.try_int(C("heartrate")), default).alias("heart_rate")
     )
 
@@ -406,8 +405,8 @@ def imp_mean_int(t: Inputs) -> DataFrame:
 @query
 def imp_mean_conditional(t: Inputs) -> DataFrame:
     raw = t.raw("b_hyp")
-    default = silver.smoking_default(silver.hypertension_defaults(raw)["smoker_cigs"])
-    return raw.select(
+    default = silver.smoking_default(C("d.smoker_cigs"))
+    return raw.withColumn("d", silver.hypertension_defaults(raw)).select(
         "record_id", F.coalesce(numeric.try_int(C("cigsperday")), default).alias("cigs_per_day")
     )
 
@@ -442,9 +441,10 @@ def imp_cross_table_means(t: Inputs) -> DataFrame:
     for table, names in wanted.items():
         for name in names:
             kind = schemas.SILVER[table][name].dataType
-            columns[f"{name}_mean"] = sources[table][name]
-            columns[f"{name}_default"] = sources[table][name].cast(kind)
-    return t.link.agg(F.count(F.lit(1)).alias("link_rows")).withColumns(columns)
+            columns[f"{name}_mean"] = C(f"{table}.{name}")
+            columns[f"{name}_default"] = C(f"{table}.{name}").cast(kind)
+    counted = t.link.agg(F.count(F.lit(1)).alias("link_rows")).withColumns(sources)
+    return counted.select("link_rows", *(value.alias(n) for n, value in columns.items()))
 
 
 @query
@@ -459,18 +459,18 @@ def imp_mode(t: Inputs) -> DataFrame:
 
 @query
 def imp_flag_majority(t: Inputs) -> DataFrame:
-    default = gold.apnea_defaults(t.apnea)
-    return t.apnea.agg(F.count(F.lit(1)).alias("rows")).withColumns(
-        {f"{name}_flag": default[f"{name}_flag"] for name in ("snoring", "fatigue", "alcohol")}
+    counted = t.apnea.agg(F.count(F.lit(1)).alias("rows"))
+    return counted.withColumn("d", gold.apnea_defaults(t.apnea)).select(
+        "rows", "d.snoring_flag", "d.fatigue_flag", "d.alcohol_flag"
     )
 
 
 @query
 def imp_typed_isnull(t: Inputs) -> DataFrame:
-    default = gold.lifestyle_defaults(t.lifestyle)
-    return t.lifestyle.select(
+    rows = t.lifestyle.withColumn("d", gold.lifestyle_defaults(t.lifestyle))
+    return rows.select(
         "record_id",
-        *(numeric.isnull_typed(C(name), default[name], "smallint").alias(name)
+        *(numeric.isnull_typed(C(name), C(f"d.{name}"), "smallint").alias(name)
           for name in ("systolic_bp", "diastolic_bp")),
         C("systolic_bp").isNull().cast("int").alias("was_missing"),
     )
@@ -571,12 +571,12 @@ def join_left_computed_key(t: Inputs) -> DataFrame:
 @query
 def join_scalar_subquery(t: Inputs) -> DataFrame:
     raw = t.raw("b_hyp")
-    mean_glucose = impute.scalars_of(raw, m=F.avg(numeric.try_float(C("glucose"))))["m"]
     glucose = numeric.try_float(C("glucose"))
-    return raw.select(
+    mean_glucose = raw.agg(F.avg(glucose).alias("m")).scalar()
+    return raw.withColumn("m", mean_glucose).select(
         "record_id",
-        F.round(mean_glucose, 4).alias("mean_glucose"),
-        (glucose > mean_glucose).cast("int").alias("above_mean"),
+        F.round("m", 4).alias("mean_glucose"),
+        (glucose > C("m")).cast("int").alias("above_mean"),
     )
 
 
@@ -595,8 +595,8 @@ def agg_count(t: Inputs) -> DataFrame:
 @query
 def agg_sum_flag(t: Inputs) -> DataFrame:
     return _banded(t).groupBy("age_band").agg(
-        rollups.total(C("diabetes_flag")).alias("diabetes_count"),
-        rollups.total(C("sleep_apnea_flag")).alias("sleep_apnea_count"),
+        F.expr(rollups.total("diabetes_flag")).alias("diabetes_count"),
+        F.expr(rollups.total("sleep_apnea_flag")).alias("sleep_apnea_count"),
     )
 
 
@@ -604,34 +604,35 @@ def agg_sum_flag(t: Inputs) -> DataFrame:
 def agg_conditional(t: Inputs) -> DataFrame:
     both = (C("diabetes_flag") == 1) & (C("sleep_apnea_flag") == 1)
     return _banded(t).groupBy("age_band").agg(
-        rollups.count_where(both).alias("both_count"),
-        rollups.count_where(both & (C("hypertension_flag") == 1)).alias("all_three_count"),
+        F.count_if(both).alias("both_count"),
+        F.count_if(both & (C("hypertension_flag") == 1)).alias("all_three_count"),
     )
 
 
 @query
 def agg_avg_round(t: Inputs) -> DataFrame:
     return _banded(t).groupBy("age_band").agg(
-        rollups.mean(C("bmi"), 2, scale=1).alias("avg_bmi"),
-        rollups.mean(C("glucose"), 6, scale=2).alias("avg_glucose"),
-        rollups.mean(C("blood_pressure"), 2).alias("avg_blood_pressure"),
+        F.expr(rollups.mean("bmi", 2, scale=1)).alias("avg_bmi"),
+        F.expr(rollups.mean("glucose", 6, scale=2)).alias("avg_glucose"),
+        F.expr(rollups.mean("blood_pressure", 2)).alias("avg_blood_pressure"),
     )
 
 
 @query
 def agg_rate_pct(t: Inputs) -> DataFrame:
-    rows = F.count(F.lit(1))
-    return _banded(t).groupBy("age_band").agg(
-        rollups.rate_pct(rollups.total(C("diabetes_flag")), rows).alias("diabetes_rate_pct"),
-        rollups.rate_pct(rollups.total(C("smoking_flag")), rows).alias("smoking_rate_pct"),
-    )
+    return _banded(t).groupBy("age_band").agg(*(
+        F.expr(rollups.rate_pct(rollups.total(f"{name}_flag"), "count(1)")).alias(
+            f"{name}_rate_pct"
+        )
+        for name in ("diabetes", "smoking")
+    ))
 
 
 @query
 def agg_group_multi(t: Inputs) -> DataFrame:
     return t.prediction.groupBy("gender", "smoking_history", "hypertension_flag").agg(
         F.count(F.lit(1)).alias("total"),
-        rollups.total(C("diabetes_flag")).alias("diabetes_count"),
+        F.expr(rollups.total("diabetes_flag")).alias("diabetes_count"),
     )
 
 
@@ -648,9 +649,9 @@ def agg_group_expr(t: Inputs) -> DataFrame:
 def agg_global(t: Inputs) -> DataFrame:
     return t.lifestyle.agg(
         F.count(F.lit(1)).alias("rows"),
-        rollups.mean(C("systolic_bp"), 2).alias("avg_systolic"),
-        rollups.mean(C("sleep_duration_hrs"), 2, scale=2).alias("avg_sleep"),
-        rollups.mean(C("daily_steps"), 0).alias("avg_steps"),
+        F.expr(rollups.mean("systolic_bp", 2)).alias("avg_systolic"),
+        F.expr(rollups.mean("sleep_duration_hrs", 2, scale=2)).alias("avg_sleep"),
+        F.expr(rollups.mean("daily_steps", 0)).alias("avg_steps"),
         F.min("age").alias("youngest"),
     )
 

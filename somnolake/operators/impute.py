@@ -13,23 +13,23 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from somnolake.operators.rollups import mean
 
 
-def scalars_of(rows: DataFrame, **aggregates: Column) -> Column:
+def scalars_of(rows: DataFrame, **aggregates: str) -> Column:
     """Several aggregates of one table as a single struct-valued scalar.
 
     An empty table gives NULL fields, hence NULL defaults.
     """
-    fields = F.struct(*(value.alias(name) for name, value in aggregates.items()))
-    return rows.agg(fields.alias("defaults")).scalar()
+    fields = ", ".join(f"{value} AS {name}" for name, value in aggregates.items())
+    return rows.agg(F.expr(f"struct({fields})").alias("defaults")).scalar()
 
 
-def mean_default(value: Column, digits: int, kind: str, scale: int = 0) -> Column:
+def mean_default(value: str, digits: int, kind: str, scale: int = 0) -> str:
     """Aggregate: mean rounded and kept in the type of the variable that holds it."""
-    return mean(value, digits, scale).cast(kind)
+    return f"CAST({mean(value, digits, scale)} AS {kind})"
 
 
-def int_mean(value: Column) -> Column:
+def int_mean(value: str) -> str:
     """Aggregate: mean of whole numbers as a whole number, cut toward zero."""
-    return F.avg(value).cast("int")
+    return f"CAST(avg({value}) AS int)"
 
 
 def most_frequent(rows: DataFrame, column: str) -> DataFrame:

@@ -3,24 +3,37 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
-# A key is hot when it holds more than this share of a side, so there are at most
-# 1 / HOT_SHARE hot keys per side however large the tables are.
-HOT_SHARE = 0.001
-# Rows below which a key is never worth splitting.
+# The hot keys of a side are its MAX_HOT commonest keys, as far as they hold HOT_ROWS rows.
+# Any key with more than 1 / MAX_HOT of a side is among them, and the list never grows
+# with the data.
+MAX_HOT = 1000
 HOT_ROWS = 1_000_000
 PIECES = 32
 
 
-def _hot_keys(side: DataFrame, keys: Sequence[str], share: float, rows: int) -> DataFrame:
-    total = side.agg(F.count(F.lit(1)).alias("n")).scalar()
+def hot_keys(
+    side: DataFrame, keys: Sequence[str], max_hot: int = MAX_HOT, min_rows: int = HOT_ROWS
+) -> list[Row]:
+    """The commonest keys with at least ``min_rows`` rows, at most ``max_hot`` of them.
+
+    A table shorter than that has none, which its row count alone tells; Parquet keeps
+    that in the footers.
+    """
+    if side.count() < min_rows:
+        return []
     return (
         side.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .where((F.col("_n") > total * F.lit(share)) & (F.col("_n") >= F.lit(rows)))
+        .where(F.col("_n") >= min_rows)
+        .orderBy(F.desc("_n"))
+        .limit(max_hot)
         .select(*keys)
+        .collect()
     )
 
 
@@ -32,69 +45,75 @@ def skew_left_join(
     right_id: Column | None = None,
     *,
     profile: DataFrame | None = None,
-    share: float = HOT_SHARE,
+    max_hot: int = MAX_HOT,
     min_rows: int = HOT_ROWS,
     pieces: int = PIECES,
 ) -> DataFrame:
     """``left LEFT JOIN right USING (keys)``, with hot keys cut into pieces.
 
+    Hot left keys are looked for in ``profile``, a table cheaper to scan than ``left``
+    with the keys spread alike (``left`` itself by default).  ``right_id=None`` states
+    that ``keys`` are unique on the right, where no key can be hot.  Without hot keys
+    this is a plain join; Spark broadcasts the right side if its size allows.
+    """
+    keys = list(keys)
+    left_hot = hot_keys(left if profile is None else profile, keys, max_hot, min_rows)
+    right_hot = [] if right_id is None else hot_keys(right, keys, max_hot, min_rows)
+    if not left_hot and not right_hot:
+        return left.join(right, keys, "left")
+    marks = {tuple(row): [True, False] for row in left_hot}
+    for row in right_hot:
+        marks.setdefault(tuple(row), [False, False])[1] = True
+    kinds = ", ".join(f"{name} {left.schema[name].dataType.simpleString()}" for name in keys)
+    hot = left.sparkSession.createDataFrame(
+        [(*key, *mark) for key, mark in marks.items()],
+        f"{kinds}, _lhot boolean, _rhot boolean",
+    )
+    return _pieced_left_join(left, right, keys, left_id, right_id, hot, pieces)
+
+
+def _pieced_left_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    left_id: Column,
+    right_id: Column | None,
+    hot: DataFrame,
+    pieces: int,
+) -> DataFrame:
+    """Left join in which the keys of ``hot`` are spread over many tasks.
+
     A hot left key has its left rows dealt over ``pieces`` tasks and its right rows
     copied to them; a hot right key the other way round; a key hot on both sides uses
     a grid.  Every pair meets exactly once.  Rows are dealt by a hash of their id, so
-    a retried task deals them alike.  Hot left keys are looked for in ``profile``, a table
-    cheaper to scan than ``left`` with the keys spread alike (``left`` itself by default).
-    ``right_id=None`` states that ``keys`` are unique
-    on the right, where no right key can be hot.  The list of hot keys is broadcast:
-    its length is bounded by ``share``.
+    a retried task deals them alike.
     """
-    keys = list(keys)
-    # With a share of 0 every key would count as hot and the list would have no bound.
-    if not 0 < share <= 1:
-        raise ValueError("share must be in (0, 1]")
-
-    left_hot = _hot_keys(left if profile is None else profile, keys, share, min_rows).withColumn("_lhot", F.lit(True))
-    hot = left_hot.withColumn("_rhot", F.lit(False))
-    if right_id is not None:
-        right_hot = _hot_keys(right, keys, share, min_rows).withColumn("_rhot", F.lit(True))
-        hot = (
-            left_hot.unionByName(right_hot, allowMissingColumns=True)
-            .groupBy(*keys)
-            .agg(
-                F.coalesce(F.bool_or("_lhot"), F.lit(False)).alias("_lhot"),
-                F.coalesce(F.bool_or("_rhot"), F.lit(False)).alias("_rhot"),
-            )
-        )
     hot = F.broadcast(hot)
 
     def dealt(condition: Column, row_id: Column) -> Column:
-        return F.when(condition, F.pmod(F.xxhash64(row_id), F.lit(pieces))).otherwise(
-            F.lit(0)
-        ).cast("int")
+        piece = F.pmod(F.xxhash64(row_id), F.lit(pieces)).cast("int")
+        return F.when(condition, piece).otherwise(F.lit(0))
 
     def copies(condition: Column) -> Column:
         everywhere = F.sequence(F.lit(0), F.lit(pieces - 1))
         return F.explode(F.when(condition, everywhere).otherwise(F.array(F.lit(0))))
 
-    some_key_null = F.lit(False)
-    for key in keys:
-        some_key_null = some_key_null | F.col(key).isNull()
+    no_key = reduce(or_, (F.col(key).isNull() for key in keys))
+    left_hot = F.coalesce("_lhot", F.lit(False))
+    right_hot = F.coalesce("_rhot", F.lit(False))
 
     # Rows without a key match nothing, so they may go anywhere.
-    l_deal = dealt(F.coalesce("_lhot", F.lit(False)) | some_key_null, left_id).alias("_i")
-    l = left.join(hot, keys, "left")
-    r = right.join(hot, keys, "left").where(~some_key_null)
-    r = r.withColumn("_i", copies(F.coalesce("_lhot", F.lit(False))))
+    l = left.join(hot, keys, "left").select(
+        *left.columns, right_hot.alias("_split"), dealt(left_hot | no_key, left_id).alias("_i")
+    )
+    r = right.where(~no_key).join(hot, keys, "left")
+    r = r.withColumn("_i", copies(left_hot))
     if right_id is None:
-        l = l.select(*left.columns, l_deal)
-        r = r.drop("_lhot", "_rhot")
-        return l.join(r, [*keys, "_i"], "left").drop("_i")
-
-    l = l.select(
-        *left.columns, F.coalesce("_rhot", F.lit(False)).alias("_split"), l_deal
-    ).withColumn("_j", copies(F.col("_split")))
-    r = r.withColumn("_j", dealt(F.coalesce("_rhot", F.lit(False)), right_id))
-    r = r.drop("_lhot", "_rhot").withColumn("_matched", F.lit(True))
-    joined = l.join(r, [*keys, "_i", "_j"], "left")
+        return l.drop("_split").join(r.drop("_lhot", "_rhot"), [*keys, "_i"], "left").drop("_i")
+
+    l = l.withColumn("_j", copies(F.col("_split")))
+    r = r.withColumns({"_j": dealt(right_hot, right_id), "_matched": F.lit(True)})
+    joined = l.join(r.drop("_lhot", "_rhot"), [*keys, "_i", "_j"], "left")
     # A key hot on the right surely matches in some piece; its copies that met an empty
     # piece are not unmatched rows.
     return joined.where(~F.col("_split") | F.col("_matched").isNotNull()).drop(

@@ -1,54 +1,50 @@
-"""Exact grouped counts, means and rates, and rollups over fan-out joins."""
+"""Exact grouped counts, means and rates, and rollups over fan-out joins.
+
+Amounts and aggregates are SQL expression texts over column names.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import mul
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 _BIG = "decimal(38,0)"
 
 
-def units(value: Column, scale: int = 0) -> Column:
+def units(value: str, scale: int = 0) -> str:
     """A DECIMAL(p, scale) or whole number as a count of its smallest units, NULL as 0.
 
     Sums of whole numbers do not depend on the order of rows or tasks.
     """
-    return F.coalesce((value * F.lit(10**scale)).cast("bigint"), F.lit(0).cast("bigint"))
+    return f"coalesce(CAST({value} * {10**scale} AS bigint), 0L)"
 
 
-def present(value: Column) -> Column:
+def present(value: str) -> str:
     """1 for a value, 0 for NULL: summed, the divisor of a mean."""
-    return F.when(value.isNull(), F.lit(0)).otherwise(F.lit(1)).cast("bigint")
+    return f"CASE WHEN {value} IS NULL THEN 0L ELSE 1L END"
 
 
-def mean_of(total: Column, count: Column, scale: int, digits: int) -> Column:
+def mean_of(total: str, count: str, scale: int, digits: int) -> str:
     """Rounded mean from a sum of units and a count; NULL for no values."""
-    divisor = count.cast("double") * F.lit(float(10**scale))
-    return F.round(F.try_divide(total.cast("double"), divisor), digits)
+    divisor = f"(CAST({count} AS double) * {10**scale})"
+    return f"round(try_divide(CAST({total} AS double), {divisor}), {digits})"
 
 
-def mean(value: Column, digits: int, scale: int = 0) -> Column:
+def mean(value: str, digits: int, scale: int = 0) -> str:
     """Aggregate: rounded mean of a DECIMAL(p, scale) or whole-number column."""
-    return mean_of(F.sum(units(value, scale)), F.count(value), scale, digits)
+    return mean_of(f"sum({units(value, scale)})", f"count({value})", scale, digits)
 
 
-def rate_pct(total: Column, rows: Column) -> Column:
+def rate_pct(total: str, rows: str) -> str:
     """Share in percent with one decimal."""
-    return F.round(F.lit(100.0) * total.cast("double") / rows.cast("double"), 1)
+    return f"round(100.0D * CAST({total} AS double) / CAST({rows} AS double), 1)"
 
 
-def total(value: Column) -> Column:
+def total(value: str) -> str:
     """Aggregate: sum of a 0/1 flag or whole number, NULL as 0."""
-    return F.sum(units(value))
-
-
-def count_where(condition: Column) -> Column:
-    """Aggregate: rows for which the condition holds."""
-    return F.count_if(condition)
+    return f"sum({units(value)})"
 
 
 @dataclass(frozen=True)
@@ -56,18 +52,23 @@ class Attached:
     """One side of a fan-out left join on the patient key.
 
     ``sums`` maps a result name to a whole-number, never NULL quantity of one joined
-    row, and to its value where no row joins.
+    row, and to its value where no row joins.  Both may use the fields of ``defaults``, a
+    struct-valued scalar, as ``_default``.
     """
 
     rows: DataFrame
-    sums: Mapping[str, tuple[Column, Column]]
+    sums: Mapping[str, tuple[str, str]]
+    defaults: Column | None = None
+
+    def with_defaults(self, rows: DataFrame) -> DataFrame:
+        return rows if self.defaults is None else rows.withColumn("_default", self.defaults)
 
 
 def fanout_rollup(
     base: DataFrame,
     key: str,
     group_by: Sequence[str],
-    base_sums: Mapping[str, Column],
+    base_sums: Mapping[str, str],
     attached: Sequence[Attached],
     count_as: str,
 ) -> DataFrame:
@@ -82,7 +83,7 @@ def fanout_rollup(
     sides = [
         base.groupBy(*group_by, key).agg(
             F.count(F.lit(1)).alias("_n0"),
-            *(F.sum(amount).alias(name) for name, amount in base_sums.items()),
+            *(F.expr(f"sum({amount})").alias(name) for name, amount in base_sums.items()),
         )
     ]
     joined = sides[0]
@@ -91,30 +92,28 @@ def fanout_rollup(
     for index, side in enumerate(attached, start=1):
         rows = f"_n{index}"
         per_key = (
-            side.rows.where(F.col(key).isNotNull())
+            side.with_defaults(side.rows.where(F.col(key).isNotNull()))
             .groupBy(key)
             .agg(
                 F.count(F.lit(1)).alias(rows),
-                *(F.sum(amount).alias(name) for name, (amount, _) in side.sums.items()),
+                *(F.expr(f"sum({each})").alias(name) for name, (each, _) in side.sums.items()),
             )
         )
-        joined = joined.join(per_key, key, "left").withColumns(
-            {
-                rows: F.coalesce(F.col(rows), F.lit(1)),
-                **{
-                    name: F.coalesce(F.col(name), missing)
-                    for name, (_, missing) in side.sums.items()
-                },
-            }
+        matched = side.with_defaults(joined.join(per_key, key, "left"))
+        joined = matched.selectExpr(
+            *joined.columns,
+            f"coalesce({rows}, 1L) AS {rows}",
+            *(f"coalesce({name}, {alone}) AS {name}" for name, (_, alone) in side.sums.items()),
         )
         counts.append(rows)
         names.append(list(side.sums))
 
-    def product(columns: Sequence[str]) -> Column:
-        return reduce(mul, (F.col(column).cast(_BIG) for column in columns))
+    def sum_of_products(columns: Sequence[str], name: str) -> Column:
+        product = " * ".join(f"CAST({column} AS {_BIG})" for column in columns)
+        return F.expr(f"sum({product})").alias(name)
 
-    sums = [F.sum(product(counts)).alias(count_as)]
+    sums = [sum_of_products(counts, count_as)]
     for index, own in enumerate(names):
         others = [rows for at, rows in enumerate(counts) if at != index]
-        sums += [F.sum(product([name, *others])).alias(name) for name in own]
+        sums += [sum_of_products([name, *others], name) for name in own]
     return joined.groupBy(*group_by).agg(*sums)

@@ -85,20 +85,20 @@ def dim_patient(lifestyle: DataFrame, ids_unique: bool = False) -> DataFrame:
 def lifestyle_defaults(lifestyle: DataFrame) -> Column:
     return scalars_of(
         lifestyle,
-        systolic_bp=mean_default(F.col("systolic_bp"), 2, "decimal(6,2)"),
-        diastolic_bp=mean_default(F.col("diastolic_bp"), 2, "decimal(6,2)"),
-        heart_rate=mean_default(F.col("heart_rate"), 2, "decimal(6,2)"),
-        daily_steps=mean_default(F.col("daily_steps"), 0, "int"),
-        sleep_duration_hrs=mean_default(F.col("sleep_duration_hrs"), 2, "decimal(4,2)", scale=2),
-        quality_of_sleep=mean_default(F.col("quality_of_sleep"), 0, "int"),
-        stress_level=mean_default(F.col("stress_level"), 0, "int"),
-        physical_activity_level=mean_default(F.col("physical_activity_level"), 0, "int"),
+        systolic_bp=mean_default("systolic_bp", 2, "decimal(6,2)"),
+        diastolic_bp=mean_default("diastolic_bp", 2, "decimal(6,2)"),
+        heart_rate=mean_default("heart_rate", 2, "decimal(6,2)"),
+        daily_steps=mean_default("daily_steps", 0, "int"),
+        sleep_duration_hrs=mean_default("sleep_duration_hrs", 2, "decimal(4,2)", scale=2),
+        quality_of_sleep=mean_default("quality_of_sleep", 0, "int"),
+        stress_level=mean_default("stress_level", 0, "int"),
+        physical_activity_level=mean_default("physical_activity_level", 0, "int"),
     )
 
 
 def detailed_defaults(detailed: DataFrame) -> Column:
-    def two(column: str, kind: str = "decimal(5,2)") -> Column:
-        return mean_default(F.col(column), 2, kind, scale=2)
+    def two(column: str, kind: str = "decimal(5,2)") -> str:
+        return mean_default(column, 2, kind, scale=2)
 
     return scalars_of(
         detailed,
@@ -107,7 +107,7 @@ def detailed_defaults(detailed: DataFrame) -> Column:
         cholesterol_ldl=two("cholesterol_ldl", "decimal(7,2)"),
         cholesterol_hdl=two("cholesterol_hdl", "decimal(7,2)"),
         alcohol_consumption=two("alcohol_consumption"),
-        fatigue_level=mean_default(F.col("fatigue_level"), 0, "int", scale=2),
+        fatigue_level=mean_default("fatigue_level", 0, "int", scale=2),
         diet_quality=two("diet_quality"),
         quality_of_life_score=two("quality_of_life_score"),
     )
@@ -116,25 +116,25 @@ def detailed_defaults(detailed: DataFrame) -> Column:
 def apnea_defaults(apnea: DataFrame) -> Column:
     return scalars_of(
         apnea,
-        neck_circumference=mean_default(F.col("neck_circumference"), 2, "decimal(5,2)", scale=1),
+        neck_circumference=mean_default("neck_circumference", 2, "decimal(5,2)", scale=1),
         # the rounded mean of a 0/1 flag is its majority value
-        snoring_flag=mean_default(F.col("snoring_flag"), 0, "smallint"),
-        fatigue_flag=mean_default(F.col("fatigue_flag"), 0, "smallint"),
-        alcohol_flag=mean_default(F.col("alcohol_flag"), 0, "smallint"),
+        snoring_flag=mean_default("snoring_flag", 0, "smallint"),
+        fatigue_flag=mean_default("fatigue_flag", 0, "smallint"),
+        alcohol_flag=mean_default("alcohol_flag", 0, "smallint"),
     )
 
 
 def breathing_defaults(breathing: DataFrame) -> Column:
     return scalars_of(
         breathing,
-        oxygen_saturation=mean_default(F.col("oxygen_saturation"), 2, "decimal(5,2)", scale=1),
+        oxygen_saturation=mean_default("oxygen_saturation", 2, "decimal(5,2)", scale=1),
         apnea_hypopnea_index=mean_default(
-            F.col("apnea_hypopnea_index"), 2, "decimal(6,2)", scale=2
+            "apnea_hypopnea_index", 2, "decimal(6,2)", scale=2
         ),
-        spo2_ratio=mean_default(F.col("spo2_ratio"), 4, "decimal(7,4)", scale=1),
-        nasal_airflow_rate=mean_default(F.col("nasal_airflow_rate"), 4, "decimal(7,4)", scale=2),
+        spo2_ratio=mean_default("spo2_ratio", 4, "decimal(7,4)", scale=1),
+        nasal_airflow_rate=mean_default("nasal_airflow_rate", 4, "decimal(7,4)", scale=2),
         chest_movement_effort=mean_default(
-            F.col("chest_movement_effort"), 4, "decimal(7,4)", scale=2
+            "chest_movement_effort", 4, "decimal(7,4)", scale=2
         ),
     )
 
@@ -198,9 +198,8 @@ def fact_patient_health_snapshot(
     A link row stands once per pair of apnea and breathing rows of its key; ``dedup``
     keeps the lowest record of each key instead.  ``skew`` goes to ``skew_left_join``.
     """
-    life_default, detail_default = lifestyle_defaults(lifestyle), detailed_defaults(detailed)
-    apnea_default, breath_default = apnea_defaults(apnea), breathing_defaults(breathing)
-    occupation_mode = mode_default(lifestyle, "occupation")
+    # means and modes are over all rows, also where the joins keep one per key
+    defaults = {"apnea": apnea_defaults(apnea), "breathing": breathing_defaults(breathing)}
     stage_mode = mode_default(breathing, "eeg_sleep_stage")
     position_mode = mode_default(breathing, "sleep_position")
 
@@ -248,25 +247,35 @@ def fact_patient_health_snapshot(
             rows, keyed(side, columns), [KEY], link_id, right_id, profile=link, **skew
         ).drop("_rid")
 
-    def filled(table: str, names: list[str], defaults: dict[str, Column]) -> dict[str, Column]:
+    # Each default is one subquery, put beside the rows before its fields are used.
+    rows = rows.withColumns({
+        "_life": lifestyle_defaults(lifestyle),
+        "_detail": detailed_defaults(detailed),
+        "_apnea": defaults["apnea"],
+        "_breath": defaults["breathing"],
+        "_occupation": mode_default(lifestyle, "occupation"),
+        "_stage": stage_mode,
+        "_position": position_mode,
+    })
+
+    def filled(table: str, names: list[str], default: str) -> dict[str, Column]:
         return {
-            name: numeric.isnull_typed(F.col(name), defaults[name], _kind(table, name))
+            name: numeric.isnull_typed(
+                F.col(name), F.col(f"{default}.{name}"), _kind(table, name)
+            )
             for name in names
         }
 
-    def fields(defaults: Column, names: list[str]) -> dict[str, Column]:
-        return {name: defaults[name] for name in names}
-
     numbers = [n for n in lifestyle_columns if n != "occupation"]
     signals = [n for n in breathing_columns if n not in ("eeg_sleep_stage", "sleep_position")]
     rows = rows.withColumns({
-        "occupation": F.coalesce("occupation", occupation_mode),
-        "eeg_sleep_stage": F.coalesce("eeg_sleep_stage", stage_mode),
-        "sleep_position": F.coalesce("sleep_position", position_mode),
-        **filled("sleep_health_lifestyle", numbers, fields(life_default, numbers)),
-        **filled("diabetes_detailed", detailed_columns, fields(detail_default, detailed_columns)),
-        **filled("sleep_apnea_core", apnea_columns, fields(apnea_default, apnea_columns)),
-        **filled("sleep_disordered_breathing", signals, fields(breath_default, signals)),
+        "occupation": F.coalesce("occupation", "_occupation"),
+        "eeg_sleep_stage": F.coalesce("eeg_sleep_stage", "_stage"),
+        "sleep_position": F.coalesce("sleep_position", "_position"),
+        **filled("sleep_health_lifestyle", numbers, "_life"),
+        **filled("diabetes_detailed", detailed_columns, "_detail"),
+        **filled("sleep_apnea_core", apnea_columns, "_apnea"),
+        **filled("sleep_disordered_breathing", signals, "_breath"),
         "patient_primarykey": keys.composite_key(F.col("bmi"), F.col("gender"), F.col("age")),
         "gender_male_flag": numeric.flag(F.col("gender") == text.MALE),
     })
@@ -277,41 +286,47 @@ def fact_patient_health_snapshot(
 # --- marts ----------------------------------------------------------------------------
 
 
-def _zero() -> Column:
-    return F.lit(0).cast("bigint")
-
-
 def _observed(rows: DataFrame, **scales: int) -> Attached:
     """Sums and counts of the values present in each column; nothing where no row joins."""
-    sums: dict[str, tuple[Column, Column]] = {}
+    sums: dict[str, tuple[str, str]] = {}
     for column, scale in scales.items():
-        sums[f"{column}__sum"] = (units(F.col(column), scale), _zero())
-        sums[f"{column}__n"] = (present(F.col(column)), _zero())
+        sums[f"{column}__sum"] = (units(column, scale), "0L")
+        sums[f"{column}__n"] = (present(column), "0L")
     return Attached(rows, sums)
 
 
-def _base_sums(**scales: int) -> dict[str, Column]:
+def _base_sums(**scales: int) -> dict[str, str]:
     sums = {}
     for column, scale in scales.items():
-        sums[f"{column}__sum"] = units(F.col(column), scale)
-        sums[f"{column}__n"] = present(F.col(column))
+        sums[f"{column}__sum"] = units(column, scale)
+        sums[f"{column}__n"] = present(column)
     return sums
 
 
-def _avg(column: str, scale: int, digits: int) -> Column:
-    return mean_of(F.col(f"{column}__sum"), F.col(f"{column}__n"), scale, digits)
+def _avg(column: str, scale: int, digits: int) -> str:
+    return mean_of(f"{column}__sum", f"{column}__n", scale, digits)
 
 
-def _imputed(rows: DataFrame, defaults: Column, **scales: int) -> Attached:
+def _imputed(rows: DataFrame, defaults: Column, **measures: tuple[str, int]) -> Attached:
     """Sums of columns with their typed defaults where the value or the row is missing."""
     sums = {}
-    for column, (table, scale) in scales.items():
-        kind = _kind(table, column)
-        default = defaults[column].cast(kind)
-        sums[f"{column}__sum"] = (units(F.coalesce(F.col(column), default), scale),
-                                  units(default, scale))
-        sums[f"{column}__n"] = (present(F.coalesce(F.col(column), default)), present(default))
-    return Attached(rows, sums)
+    for column, (table, scale) in measures.items():
+        default = typed_default(table, column)
+        value = f"coalesce({column}, {default})"
+        sums[f"{column}__sum"] = (units(value, scale), units(default, scale))
+        sums[f"{column}__n"] = (present(value), present(default))
+    return Attached(rows, sums, defaults)
+
+
+def typed_default(table: str, column: str) -> str:
+    """A field of the attached defaults, narrowed to the column it fills."""
+    return f"CAST(_default.{column} AS {_kind(table, column).simpleString()})"
+
+
+def _shaped(rolled: DataFrame, name: str, **values: str) -> DataFrame:
+    """Add the mart's derived columns and conform to its schema."""
+    added = [f"{value} AS {column}" for column, value in values.items()]
+    return conform(rolled.selectExpr("*", *added), schemas.GOLD[name])
 
 
 # Measures of the comorbidity mart taken from the attached tables: table and scale.
@@ -347,36 +362,35 @@ def mart_comorbidity_by_age(
         apnea, breathing = lowest_record_per_key(apnea), lowest_record_per_key(breathing)
     flags = {"diabetes_count": "diabetes_flag", "sleep_apnea_count": "sleep_apnea_flag",
              "hypertension_count": "hypertension_flag"}
-    all_three = F.lit(True)
-    for name in flags.values():
-        all_three = all_three & (F.col(name) == 1)
+    all_three = " AND ".join(f"{name} = 1" for name in flags.values())
     rolled = fanout_rollup(
         base, KEY, ["age_band"],
         {
-            **{count: units(F.col(name)) for count, name in flags.items()},
-            "all_three_count": numeric.flag(all_three).cast("bigint"),
+            **{count: units(name) for count, name in flags.items()},
+            "all_three_count": f"CASE WHEN {all_three} THEN 1L ELSE 0L END",
             **_base_sums(bmi=1, glucose=2, blood_pressure=0),
         },
         [_imputed(apnea, defaults[0], **APNEA_MEASURES),
          _imputed(breathing, defaults[1], **BREATHING_MEASURES)],
         count_as="total_patients",
     )
-    rows = F.col("total_patients")
     counts = [*flags, "all_three_count", "snoring_count", "fatigue_count"]
-    shaped = rolled.withColumnsRenamed(
+    renamed = rolled.withColumnsRenamed(
         {"snoring_flag__sum": "snoring_count", "fatigue_flag__sum": "fatigue_count"}
-    ).withColumns({
-        "avg_bmi": _avg("bmi", 1, 2),
-        "avg_glucose": _avg("glucose", 2, 2),
-        "avg_blood_pressure": _avg("blood_pressure", 0, 2),
-        "avg_neck_circumference": _avg("neck_circumference", 1, 2),
-        "avg_ahi_score": _avg("apnea_hypopnea_index", 2, 2),
-        "avg_spo2": _avg("oxygen_saturation", 1, 2),
+    )
+    return _shaped(
+        renamed, "mart_comorbidity_by_age",
+        avg_bmi=_avg("bmi", 1, 2),
+        avg_glucose=_avg("glucose", 2, 2),
+        avg_blood_pressure=_avg("blood_pressure", 0, 2),
+        avg_neck_circumference=_avg("neck_circumference", 1, 2),
+        avg_ahi_score=_avg("apnea_hypopnea_index", 2, 2),
+        avg_spo2=_avg("oxygen_saturation", 1, 2),
         **{
-            name.replace("_count", "_rate_pct"): rate_pct(F.col(name), rows) for name in counts
+            name.replace("_count", "_rate_pct"): rate_pct(name, "total_patients")
+            for name in counts
         },
-    })
-    return conform(shaped, schemas.GOLD["mart_comorbidity_by_age"])
+    )
 
 
 def mart_bmi_sleep_disorder(
@@ -400,23 +414,23 @@ def mart_bmi_sleep_disorder(
          _observed(breathing, apnea_hypopnea_index=2, oxygen_saturation=1)],
         count_as="patient_count",
     )
-    shaped = rolled.withColumns({
-        "avg_sleep_hrs": _avg("sleep_duration_hrs", 2, 2),
-        "avg_stress": _avg("stress_level", 0, 2),
-        "avg_systolic": _avg("systolic_bp", 0, 2),
-        "avg_heart_rate": _avg("heart_rate", 0, 2),
-        "avg_neck_circumference": _avg("neck_circumference", 1, 2),
-        "snoring_rate_pct": rate_pct(F.col("snoring_flag__sum"), F.col("patient_count")),
-        "avg_ahi_score": _avg("apnea_hypopnea_index", 2, 2),
-        "avg_oxygen_saturation": _avg("oxygen_saturation", 1, 2),
-    })
-    return conform(shaped, schemas.GOLD["mart_bmi_sleep_disorder"])
+    return _shaped(
+        rolled, "mart_bmi_sleep_disorder",
+        avg_sleep_hrs=_avg("sleep_duration_hrs", 2, 2),
+        avg_stress=_avg("stress_level", 0, 2),
+        avg_systolic=_avg("systolic_bp", 0, 2),
+        avg_heart_rate=_avg("heart_rate", 0, 2),
+        avg_neck_circumference=_avg("neck_circumference", 1, 2),
+        snoring_rate_pct=rate_pct("snoring_flag__sum", "patient_count"),
+        avg_ahi_score=_avg("apnea_hypopnea_index", 2, 2),
+        avg_oxygen_saturation=_avg("oxygen_saturation", 1, 2),
+    )
 
 
 def mart_occupation_risk(lifestyle: DataFrame, apnea: DataFrame) -> DataFrame:
     """Disorder counts, lifestyle means and rates per occupation."""
-    def has(disorder: str) -> Column:
-        return numeric.flag(F.col("sleep_disorder") == disorder).cast("bigint")
+    def has(disorder: str) -> str:
+        return f"CASE WHEN sleep_disorder = '{disorder}' THEN 1L ELSE 0L END"
 
     rolled = fanout_rollup(
         lifestyle, KEY, ["occupation"],
@@ -429,19 +443,18 @@ def mart_occupation_risk(lifestyle: DataFrame, apnea: DataFrame) -> DataFrame:
         [_observed(apnea, neck_circumference=1, fatigue_flag=0)],
         count_as="total_patients",
     )
-    rows = F.col("total_patients")
-    shaped = rolled.withColumns({
-        "avg_sleep_hrs": _avg("sleep_duration_hrs", 2, 2),
-        "avg_stress": _avg("stress_level", 0, 2),
-        "avg_systolic": _avg("systolic_bp", 0, 2),
-        "avg_daily_steps": _avg("daily_steps", 0, 2),
-        "avg_quality_of_sleep": _avg("quality_of_sleep", 0, 2),
-        "avg_neck_circumference": _avg("neck_circumference", 1, 2),
-        "fatigue_rate_pct": rate_pct(F.col("fatigue_flag__sum"), rows),
-        "sleep_apnea_rate_pct": rate_pct(F.col("sleep_apnea_count"), rows),
-        "insomnia_rate_pct": rate_pct(F.col("insomnia_count"), rows),
-    })
-    return conform(shaped, schemas.GOLD["mart_occupation_risk"])
+    return _shaped(
+        rolled, "mart_occupation_risk",
+        avg_sleep_hrs=_avg("sleep_duration_hrs", 2, 2),
+        avg_stress=_avg("stress_level", 0, 2),
+        avg_systolic=_avg("systolic_bp", 0, 2),
+        avg_daily_steps=_avg("daily_steps", 0, 2),
+        avg_quality_of_sleep=_avg("quality_of_sleep", 0, 2),
+        avg_neck_circumference=_avg("neck_circumference", 1, 2),
+        fatigue_rate_pct=rate_pct("fatigue_flag__sum", "total_patients"),
+        sleep_apnea_rate_pct=rate_pct("sleep_apnea_count", "total_patients"),
+        insomnia_rate_pct=rate_pct("insomnia_count", "total_patients"),
+    )
 
 
 def mart_clinical_severity(
@@ -509,22 +522,23 @@ def mart_diabetes_risk_profile(
     rolled = fanout_rollup(
         known, KEY, ["age_band", "gender", "bmi_category"],
         {
-            "diabetes_count": units(F.col("diabetes_flag")),
-            "hypertension_count": units(F.col("hypertension_flag")),
+            "diabetes_count": units("diabetes_flag"),
+            "hypertension_count": units("hypertension_flag"),
             **_base_sums(hba1c_level=2, blood_glucose_level=0),
         },
         [_observed(detailed, cholesterol_total=2, cholesterol_ldl=2, cholesterol_hdl=2),
          _observed(apnea, sleep_apnea_flag=0, neck_circumference=1)],
         count_as="total",
     )
-    shaped = rolled.withColumnRenamed("sleep_apnea_flag__sum", "sleep_apnea_count").withColumns({
-        "avg_hba1c": _avg("hba1c_level", 2, 6),
-        "avg_glucose": _avg("blood_glucose_level", 0, 6),
-        "avg_cholesterol_total": _avg("cholesterol_total", 2, 2),
-        "avg_cholesterol_ldl": _avg("cholesterol_ldl", 2, 2),
-        "avg_cholesterol_hdl": _avg("cholesterol_hdl", 2, 2),
-        "avg_neck_circumference": _avg("neck_circumference", 1, 2),
-        "diabetes_rate_pct": rate_pct(F.col("diabetes_count"), F.col("total")),
-        "sleep_apnea_rate_pct": rate_pct(F.col("sleep_apnea_count"), F.col("total")),
-    })
-    return conform(shaped, schemas.GOLD["mart_diabetes_risk_profile"])
+    return _shaped(
+        rolled.withColumnRenamed("sleep_apnea_flag__sum", "sleep_apnea_count"),
+        "mart_diabetes_risk_profile",
+        avg_hba1c=_avg("hba1c_level", 2, 6),
+        avg_glucose=_avg("blood_glucose_level", 0, 6),
+        avg_cholesterol_total=_avg("cholesterol_total", 2, 2),
+        avg_cholesterol_ldl=_avg("cholesterol_ldl", 2, 2),
+        avg_cholesterol_hdl=_avg("cholesterol_hdl", 2, 2),
+        avg_neck_circumference=_avg("neck_circumference", 1, 2),
+        diabetes_rate_pct=rate_pct("diabetes_count", "total"),
+        sleep_apnea_rate_pct=rate_pct("sleep_apnea_count", "total"),
+    )

@@ -70,7 +70,7 @@ ROUNDED_MEASURES = {
 
 
 def _finish(rows: DataFrame, name: str, columns: dict[str, Column]) -> DataFrame:
-    carried = [F.col(ID).cast("bigint").alias(ID)] if ID in rows.columns else []
+    carried = [ID] if ID in rows.columns else []
     shaped = rows.select(*carried, *(value.alias(column) for column, value in columns.items()))
     return conform(shaped, schemas.SILVER[name], keep=[ID])
 
@@ -205,14 +205,18 @@ def diabetes_prediction(raw: DataFrame) -> DataFrame:
 
 def hypertension_defaults(raw: DataFrame) -> Column:
     """Means over the parsable values of the raw table, from one scan."""
-    smoker = F.col("currentsmoker") == 1
+    parsed = raw.select(
+        "currentsmoker",
+        *(numeric.try_float(F.col(name)).alias(name) for name in ("bmi", "totchol", "glucose")),
+        *(numeric.try_int(F.col(name)).alias(name) for name in ("heartrate", "cigsperday")),
+    )
     return scalars_of(
-        raw,
-        bmi=F.avg(numeric.try_float(F.col("bmi"))),
-        total_cholesterol=F.avg(numeric.try_float(F.col("totchol"))),
-        glucose=F.avg(numeric.try_float(F.col("glucose"))),
-        heart_rate=int_mean(numeric.try_int(F.col("heartrate"))),
-        smoker_cigs=int_mean(F.when(smoker, numeric.try_int(F.col("cigsperday")))),
+        parsed,
+        bmi="avg(bmi)",
+        total_cholesterol="avg(totchol)",
+        glucose="avg(glucose)",
+        heart_rate=int_mean("heartrate"),
+        smoker_cigs=int_mean("CASE WHEN currentsmoker = 1 THEN cigsperday END"),
     )
 
 
@@ -222,26 +226,26 @@ def smoking_default(default: Column) -> Column:
 
 
 def hypertension_risk(raw: DataFrame) -> DataFrame:
-    defaults = hypertension_defaults(raw)
     gender = text.gender_from_male_flag(F.col("male"))
-    bmi = F.coalesce(numeric.try_float(F.col("bmi")), defaults["bmi"])
-    return _finish(raw, "hypertension_risk", {
+    bmi = F.coalesce(numeric.try_float(F.col("bmi")), F.col("_mean.bmi"))
+    with_means = raw.withColumn("_mean", hypertension_defaults(raw))
+    return _finish(with_means, "hypertension_risk", {
         "gender": gender,
         "age": F.col("age"),
         "bmi": bmi,
         "current_smoker": F.col("currentsmoker"),
         "cigs_per_day": F.coalesce(
-            numeric.try_int(F.col("cigsperday")), smoking_default(defaults["smoker_cigs"])
+            numeric.try_int(F.col("cigsperday")), smoking_default(F.col("_mean.smoker_cigs"))
         ),
         "bp_medication": F.coalesce(numeric.try_int(F.col("bpmeds")), F.lit(0)),
         "diabetes_flag": F.col("diabetes"),
         "total_cholesterol": F.coalesce(
-            numeric.try_float(F.col("totchol")), defaults["total_cholesterol"]
+            numeric.try_float(F.col("totchol")), F.col("_mean.total_cholesterol")
         ),
         "systolic_bp": F.col("sysbp"),
         "diastolic_bp": F.col("diabp"),
-        "heart_rate": F.coalesce(numeric.try_int(F.col("heartrate")), defaults["heart_rate"]),
-        "glucose": F.coalesce(numeric.try_float(F.col("glucose")), defaults["glucose"]),
+        "heart_rate": F.coalesce(numeric.try_int(F.col("heartrate")), F.col("_mean.heart_rate")),
+        "glucose": F.coalesce(numeric.try_float(F.col("glucose")), F.col("_mean.glucose")),
         "hypertension_risk": F.col("risk"),
         "patient_key": keys.patient_key(F.col("age"), gender, keys.number_text(bmi)),
     })

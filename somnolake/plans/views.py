@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from somnolake import schemas
 from somnolake.functions import numeric
 from somnolake.operators.impute import with_imputed_flags
 from somnolake.operators.rollups import (
     Attached,
-    count_where,
     fanout_rollup,
     mean,
     rate_pct,
@@ -22,13 +20,9 @@ LINK_MEASURES = {"bmi": 1, "glucose": 2, "insulin": 2, "blood_pressure": 0}
 HIGH_STRESS = 7
 
 
-def _moments(columns: dict[str, Column]) -> dict[str, Column]:
-    """Sums of units and of squared units; squares of 8-digit units fit 64 bits."""
-    out = {}
-    for name, amount in columns.items():
-        out[f"{name}__sum"] = amount
-        out[f"{name}__sq"] = amount * amount
-    return out
+def _moments(name: str, amount: str) -> dict[str, str]:
+    """Sum of units and of squared units; squares of 8-digit units fit 64 bits."""
+    return {f"{name}__sum": amount, f"{name}__sq": f"({amount}) * ({amount})"}
 
 
 def risk_factor_correlation(
@@ -43,7 +37,7 @@ def risk_factor_correlation(
     """
     defaults = gold.apnea_defaults(apnea), gold.breathing_defaults(breathing)
     attached = []
-    measures = dict(LINK_MEASURES)
+    measures: dict[str, object] = dict(LINK_MEASURES)
     sides = (
         (apnea, defaults[0], {"neck_circumference": gold.APNEA_MEASURES["neck_circumference"]}),
         (breathing, defaults[1], gold.BREATHING_MEASURES),
@@ -51,51 +45,49 @@ def risk_factor_correlation(
     for rows, default, columns in sides:
         sums = {}
         for name, (table, scale) in columns.items():
-            fill = default[name].cast(schemas.SILVER[table][name].dataType)
-            each = _moments({name: units(F.coalesce(F.col(name), fill), scale)})
-            alone = _moments({name: units(fill, scale)})
+            fill = gold.typed_default(table, name)
+            each = _moments(name, units(f"coalesce({name}, {fill})", scale))
+            alone = _moments(name, units(fill, scale))
             sums.update({key: (each[key], alone[key]) for key in each})
-            measures[name] = scale
-        attached.append(Attached(rows, sums))
-    base = _moments({name: units(F.col(name), scale) for name, scale in LINK_MEASURES.items()})
+        measures.update(columns)
+        attached.append(Attached(rows, sums, default))
+    base = {}
+    for name, scale in LINK_MEASURES.items():
+        base |= _moments(name, units(name, scale))
     # Grouped by the flags, a flag is constant in a group and its product sums follow.
     rolled = fanout_rollup(link, gold.KEY, list(OUTCOMES), base, attached, count_as="n")
 
-    def over(column: Column) -> Column:
-        return F.sum(column.cast("double"))
-
-    lines = []
-    totals = {"n": over(F.col("n"))}
+    totals = {"n": "sum(CAST(n AS double))"}
     for name in measures:
-        totals[f"{name}__y"] = over(F.col(f"{name}__sum"))
-        totals[f"{name}__yy"] = over(F.col(f"{name}__sq"))
+        totals[f"{name}__y"] = f"sum(CAST({name}__sum AS double))"
+        totals[f"{name}__yy"] = f"sum(CAST({name}__sq AS double))"
     for outcome in OUTCOMES:
-        x = F.col(outcome).cast("double")
-        totals[f"{outcome}__x"] = F.sum(x * F.col("n").cast("double"))
+        totals[f"{outcome}__x"] = f"sum({outcome} * CAST(n AS double))"
         for name in measures:
-            totals[f"{outcome}__{name}"] = F.sum(x * F.col(f"{name}__sum").cast("double"))
-    one_row = rolled.agg(*(value.alias(name) for name, value in totals.items()))
+            totals[f"{outcome}__{name}"] = f"sum({outcome} * CAST({name}__sum AS double))"
+    one_row = rolled.agg(*(F.expr(value).alias(name) for name, value in totals.items()))
+    lines = []
     for outcome in OUTCOMES:
         for name in measures:
-            n, sx = F.col("n"), F.col(f"{outcome}__x")
-            sy, syy, sxy = (F.col(f"{name}__y"), F.col(f"{name}__yy"), F.col(f"{outcome}__{name}"))
-            spread = (n * sx - sx * sx) * (n * syy - sy * sy)
-            corr = F.try_divide(n * sxy - sx * sy, F.sqrt(spread))
-            lines.append(F.struct(
-                F.lit(outcome).alias("outcome"),
-                F.lit(name).alias("measure"),
-                n.cast("bigint").alias("n"),
-                F.round(corr, 6).alias("correlation"),
-            ))
-    return one_row.select(F.inline(F.array(*lines)))
+            sx, sy, syy, sxy = (
+                f"{outcome}__x", f"{name}__y", f"{name}__yy", f"{outcome}__{name}"
+            )
+            # x is 0 or 1, so the sum of its squares is its sum
+            spread = f"(n * {sx} - {sx} * {sx}) * (n * {syy} - {sy} * {sy})"
+            value = f"round(try_divide(n * {sxy} - {sx} * {sy}, sqrt({spread})), 6)"
+            lines.append(
+                f"struct('{outcome}' AS outcome, '{name}' AS measure, "
+                f"CAST(n AS bigint) AS n, {value} AS correlation)"
+            )
+    return one_row.selectExpr(f"inline(array({', '.join(lines)}))")
 
 
 def occupational_health(lifestyle: DataFrame, apnea: DataFrame) -> DataFrame:
     """The occupation mart with further lifestyle means."""
     means = lifestyle.groupBy(F.col("occupation").alias("_occupation")).agg(
-        mean(F.col("physical_activity_level"), 2).alias("avg_activity"),
-        mean(F.col("heart_rate"), 2).alias("avg_heart_rate"),
-        mean(F.col("diastolic_bp"), 2).alias("avg_diastolic"),
+        F.expr(mean("physical_activity_level", 2)).alias("avg_activity"),
+        F.expr(mean("heart_rate", 2)).alias("avg_heart_rate"),
+        F.expr(mean("diastolic_bp", 2)).alias("avg_diastolic"),
     )
     mart = gold.mart_occupation_risk(lifestyle, apnea)
     same = F.col("occupation").eqNullSafe(F.col("_occupation"))
@@ -105,19 +97,19 @@ def occupational_health(lifestyle: DataFrame, apnea: DataFrame) -> DataFrame:
 def sleep_disorder_analysis(lifestyle: DataFrame, high_stress: int = HIGH_STRESS) -> DataFrame:
     """Prevalence of each sleep disorder by occupation and high stress."""
     stressed = numeric.flag(F.col("stress_level") >= high_stress).cast("int")
-    rows = F.col("patients")
     return (
         lifestyle.withColumn("high_stress", stressed)
         .groupBy("occupation", "high_stress")
         .agg(
             F.count(F.lit(1)).alias("patients"),
-            count_where(F.col("sleep_disorder") == "Sleep Apnea").alias("sleep_apnea_count"),
-            count_where(F.col("sleep_disorder") == "Insomnia").alias("insomnia_count"),
+            F.count_if(F.col("sleep_disorder") == "Sleep Apnea").alias("sleep_apnea_count"),
+            F.count_if(F.col("sleep_disorder") == "Insomnia").alias("insomnia_count"),
+        )
+        .selectExpr(
+            "*",
+            f"{rate_pct('sleep_apnea_count', 'patients')} AS sleep_apnea_rate_pct",
+            f"{rate_pct('insomnia_count', 'patients')} AS insomnia_rate_pct",
         )
-        .withColumns({
-            "sleep_apnea_rate_pct": rate_pct(F.col("sleep_apnea_count"), rows),
-            "insomnia_rate_pct": rate_pct(F.col("insomnia_count"), rows),
-        })
     )
 
 

@@ -6,20 +6,18 @@ import datetime
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType, VarcharType
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DataType, StructType, VarcharType
 
 STAMP = "dwh_create_date"
 
 
-def _conformed(name: str, kind) -> Column:
+def _conformed(name: str, kind: DataType) -> str:
     if not isinstance(kind, VarcharType):
-        return F.col(name).cast(kind).alias(name)
-    text = F.col(name).cast("string")
-    problem = F.concat(F.lit(f"{name}: text longer than {kind.length}: "), text)
-    return (
-        F.when(F.length(text) > kind.length, F.raise_error(problem)).otherwise(text).alias(name)
-    )
+        return f"CAST({name} AS {kind.simpleString()}) AS {name}"
+    text = f"CAST({name} AS string)"
+    problem = f"raise_error(concat('{name}: text longer than {kind.length}: ', {text}))"
+    return f"CASE WHEN length({text}) > {kind.length} THEN {problem} ELSE {text} END AS {name}"
 
 
 def conform(rows: DataFrame, schema: StructType, keep: Sequence[str] = ()) -> DataFrame:
@@ -29,7 +27,7 @@ def conform(rows: DataFrame, schema: StructType, keep: Sequence[str] = ()) -> Da
     ``keep`` names further columns to carry in front, where ``rows`` has them.
     """
     carried = [name for name in keep if name in rows.columns]
-    return rows.select(*carried, *(_conformed(f.name, f.dataType) for f in schema))
+    return rows.selectExpr(*carried, *(_conformed(f.name, f.dataType) for f in schema))
 
 
 def stamped(rows: DataFrame, moment: datetime.datetime) -> DataFrame:
