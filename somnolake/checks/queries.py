@@ -527,7 +527,7 @@ def join_left_fanout(t: Inputs) -> DataFrame:
 
 
 def _aged(t: Inputs) -> DataFrame:
-    return grid_lookup(t.link, t.ages, F.floor("age"), "age_min", "age_max", "1")
+    return grid_lookup(t.link, t.ages, "floor(age)", "age_min", "age_max", 1)
 
 
 @query

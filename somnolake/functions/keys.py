@@ -22,8 +22,11 @@ DEFAULT_MIDPOINT = "22.0"
 
 
 def number_text(value: Column) -> Column:
-    """A number to one decimal, without a trailing ``.0``."""
-    return F.replace(F.round(value, 1).cast("decimal(10,1)").cast("string"), F.lit(".0"), F.lit(""))
+    """A number rounded to one decimal, as text without a trailing ``.0``.
+
+    The cast rounds half away from zero.
+    """
+    return F.replace(value.cast("decimal(10,1)").cast("string"), F.lit(".0"), F.lit(""))
 
 
 def whole_text(value: Column) -> Column:

@@ -122,19 +122,19 @@ def _pieced_left_join(
 
 
 def grid_lookup(
-    rows: DataFrame, dim: DataFrame, value: Column, low: str, high: str, step: str
+    rows: DataFrame, dim: DataFrame, value: str, low: str, high: str, per_unit: int
 ) -> DataFrame:
     """Left join to the closed interval a value lies in, as a hash join.
 
     ``dim`` is a hand-written dimension of a few intervals whose ends, like the values,
-    lie on a grid of width ``step``; one dimension row per grid point makes the range
+    are multiples of ``1 / per_unit``; one dimension row per such multiple makes the range
     condition an equality.  Intervals with a NULL end match nothing.
     """
-    def on_grid(column: Column) -> Column:
-        return (column / F.lit(step).cast("decimal(10,4)")).cast("bigint")
+    def at(number: str) -> str:
+        return f"CAST({number} * {per_unit} AS bigint)"
 
-    points = dim.where(F.col(low).isNotNull() & F.col(high).isNotNull()).withColumn(
-        "_at", F.explode(F.sequence(on_grid(F.col(low)), on_grid(F.col(high))))
+    points = dim.where(f"{low} IS NOT NULL AND {high} IS NOT NULL").selectExpr(
+        "*", f"explode(sequence({at(low)}, {at(high)})) AS _at"
     )
-    located = rows.withColumn("_at", on_grid(value))
+    located = rows.selectExpr("*", f"{at(value)} AS _at")
     return located.join(F.broadcast(points), "_at", "left").drop("_at")

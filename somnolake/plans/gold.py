@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import VarcharType
 
 from somnolake import schemas
 from somnolake.functions import keys, numeric, text
@@ -169,13 +170,12 @@ def first_detailed(detailed: DataFrame) -> DataFrame:
 
 def banded_link(link: DataFrame, ages: DataFrame, categories: DataFrame) -> DataFrame:
     """Link rows with the age band and BMI category they fall in, if any."""
-    years = F.floor("age")
     age_dim = ages.select("age_band_id", F.col("label").alias("age_label"), "age_min", "age_max")
     bmi_dim = categories.where(F.col("label") != text.UNKNOWN).select(
         "bmi_cat_id", F.col("label").alias("bmi_label"), "bmi_min", "bmi_max"
     )
-    rows = grid_lookup(link, age_dim, years, "age_min", "age_max", "1")
-    rows = grid_lookup(rows, bmi_dim, F.col("bmi"), "bmi_min", "bmi_max", "0.1")
+    rows = grid_lookup(link, age_dim, "floor(age)", "age_min", "age_max", 1)
+    rows = grid_lookup(rows, bmi_dim, "bmi", "bmi_min", "bmi_max", 10)
     return rows.withColumns({
         "age_band": F.coalesce("age_label", F.lit(text.UNKNOWN)),
         "bmi_category": F.coalesce("bmi_label", F.lit(text.UNKNOWN)),
@@ -199,88 +199,137 @@ def fact_patient_health_snapshot(
     keeps the lowest record of each key instead.  ``skew`` goes to ``skew_left_join``.
     """
     # means and modes are over all rows, also where the joins keep one per key
-    defaults = {"apnea": apnea_defaults(apnea), "breathing": breathing_defaults(breathing)}
-    stage_mode = mode_default(breathing, "eeg_sleep_stage")
-    position_mode = mode_default(breathing, "sleep_position")
-
-    apnea_columns = ["neck_circumference", "snoring_flag", "fatigue_flag", "alcohol_flag"]
-    breathing_columns = [
-        "oxygen_saturation", "apnea_hypopnea_index", "spo2_ratio", "eeg_sleep_stage",
-        "nasal_airflow_rate", "chest_movement_effort", "sleep_position",
-    ]
-    lifestyle_columns = [
-        "occupation", "systolic_bp", "diastolic_bp", "heart_rate", "daily_steps",
-        "sleep_duration_hrs", "quality_of_sleep", "stress_level", "physical_activity_level",
-    ]
-    detailed_columns = [
-        "hba1c", "cholesterol_total", "cholesterol_ldl", "cholesterol_hdl",
-        "alcohol_consumption", "fatigue_level", "diet_quality", "quality_of_life_score",
-    ]
+    defaults = {
+        "sleep_health_lifestyle": fact_defaults(lifestyle, "sleep_health_lifestyle"),
+        "diabetes_detailed": fact_defaults(detailed, "diabetes_detailed"),
+        "sleep_apnea_core": fact_defaults(apnea, "sleep_apnea_core"),
+        "sleep_disordered_breathing": fact_defaults(breathing, "sleep_disordered_breathing"),
+    }
+
+    def matches(side: DataFrame, table: str, *keys: str) -> DataFrame:
+        return side.withColumn("_default", defaults[table]).selectExpr(
+            *keys, f"{fact_values(table)} AS {table}"
+        )
+
     if dedup:
         apnea, breathing = lowest_record_per_key(apnea), lowest_record_per_key(breathing)
-    right_id = None if dedup else F.col("_rid")
     link_id = F.col("record_id")
+    right_id = None if dedup else F.col("_rid")
+    rid = [] if dedup else ["record_id AS _rid"]
 
-    def keyed(rows: DataFrame, columns: list[str]) -> DataFrame:
-        rid = [F.col("record_id").alias("_rid")] if right_id is not None else []
-        return rows.select(KEY, *rid, *columns)
-
-    located = link.withColumns({
-        "_age": F.floor("age").cast("int"),
-        "_bmi": F.round("bmi", 0).cast("int"),
-    })
+    located = link.selectExpr(
+        "*", "CAST(floor(age) AS int) AS _age", "CAST(round(bmi, 0) AS int) AS _bmi"
+    )
     rows = banded_link(located, ages, categories)
     # The joins to at most one row come first, while the table is at its smallest.
-    life = first_lifestyle(lifestyle).select(
-        F.col("age").alias("_age"), F.col("gender"), *lifestyle_columns
+    life = matches(
+        first_lifestyle(lifestyle), "sleep_health_lifestyle", "age AS _age", "gender"
     )
     rows = rows.join(F.broadcast(life), ["_age", "gender"], "left")
-    detail = first_detailed(detailed).select(
-        F.col("age").alias("_age"), F.col("gender"), F.col("bmi_whole").alias("_bmi"),
-        *detailed_columns,
+    detail = matches(
+        first_detailed(detailed), "diabetes_detailed",
+        "age AS _age", "gender", "bmi_whole AS _bmi",
     )
     rows = skew_left_join(
         rows, detail, ["_age", "gender", "_bmi"], link_id, profile=located, **skew
     )
-    for side, columns in ((apnea, apnea_columns), (breathing, breathing_columns)):
+    for side, table in (
+        (apnea, "sleep_apnea_core"), (breathing, "sleep_disordered_breathing")
+    ):
         rows = skew_left_join(
-            rows, keyed(side, columns), [KEY], link_id, right_id, profile=link, **skew
+            rows, matches(side, table, KEY, *rid), [KEY], link_id, right_id, profile=link, **skew
         ).drop("_rid")
 
-    # Each default is one subquery, put beside the rows before its fields are used.
+    # A row without a match takes all the defaults of that table.
     rows = rows.withColumns({
-        "_life": lifestyle_defaults(lifestyle),
-        "_detail": detailed_defaults(detailed),
-        "_apnea": defaults["apnea"],
-        "_breath": defaults["breathing"],
-        "_occupation": mode_default(lifestyle, "occupation"),
-        "_stage": stage_mode,
-        "_position": position_mode,
+        table: F.coalesce(table, default) for table, default in defaults.items()
     })
-
-    def filled(table: str, names: list[str], default: str) -> dict[str, Column]:
-        return {
-            name: numeric.isnull_typed(
-                F.col(name), F.col(f"{default}.{name}"), _kind(table, name)
-            )
-            for name in names
-        }
-
-    numbers = [n for n in lifestyle_columns if n != "occupation"]
-    signals = [n for n in breathing_columns if n not in ("eeg_sleep_stage", "sleep_position")]
+    joined = {name: f"{table}.{name}" for table, own in FACT_SOURCES.items() for name in own}
     rows = rows.withColumns({
-        "occupation": F.coalesce("occupation", "_occupation"),
-        "eeg_sleep_stage": F.coalesce("eeg_sleep_stage", "_stage"),
-        "sleep_position": F.coalesce("sleep_position", "_position"),
-        **filled("sleep_health_lifestyle", numbers, "_life"),
-        **filled("diabetes_detailed", detailed_columns, "_detail"),
-        **filled("sleep_apnea_core", apnea_columns, "_apnea"),
-        **filled("sleep_disordered_breathing", signals, "_breath"),
         "patient_primarykey": keys.composite_key(F.col("bmi"), F.col("gender"), F.col("age")),
         "gender_male_flag": numeric.flag(F.col("gender") == text.MALE),
     })
-    rows = rows.withColumnRenamed("apnea_hypopnea_index", "ahi_score")
-    return conform(rows, schemas.GOLD["fact_patient_health_snapshot"])
+    schema = schemas.GOLD["fact_patient_health_snapshot"]
+    flat = rows.selectExpr(*(joined.get(name, name) for name in schema.names))
+    # All texts are labels, or columns of the cleansed tables no longer than these.
+    return conform(flat, schema, bounded=schema.names)
+
+
+# Columns the fact takes from each table it joins: fact name -> cleansed name.
+FACT_SOURCES = {
+    "sleep_health_lifestyle": {
+        name: name for name in (
+            "occupation", "systolic_bp", "diastolic_bp", "heart_rate", "daily_steps",
+            "sleep_duration_hrs", "quality_of_sleep", "stress_level", "physical_activity_level",
+        )
+    },
+    "diabetes_detailed": {
+        name: name for name in (
+            "hba1c", "cholesterol_total", "cholesterol_ldl", "cholesterol_hdl",
+            "alcohol_consumption", "fatigue_level", "diet_quality", "quality_of_life_score",
+        )
+    },
+    "sleep_apnea_core": {
+        name: name for name in (
+            "neck_circumference", "snoring_flag", "fatigue_flag", "alcohol_flag",
+        )
+    },
+    "sleep_disordered_breathing": {
+        "oxygen_saturation": "oxygen_saturation",
+        "ahi_score": "apnea_hypopnea_index",
+        "spo2_ratio": "spo2_ratio",
+        "eeg_sleep_stage": "eeg_sleep_stage",
+        "nasal_airflow_rate": "nasal_airflow_rate",
+        "chest_movement_effort": "chest_movement_effort",
+        "sleep_position": "sleep_position",
+    },
+}
+
+
+def _fact_kind(column: str) -> str:
+    kind = schemas.GOLD["fact_patient_health_snapshot"][column].dataType
+    return "string" if isinstance(kind, VarcharType) else kind.simpleString()
+
+
+def fact_values(table: str) -> str:
+    """A joined table's columns as one struct, in the fact's names and types, NULLs filled.
+
+    Made on the joined side, which is smaller, and before the join, so that a row of the
+    fact only chooses between its match and the defaults.
+    """
+    fields = (
+        f"coalesce(CAST({source} AS {_fact_kind(name)}), _default.{name}) AS {name}"
+        for name, source in FACT_SOURCES[table].items()
+    )
+    return f"struct({', '.join(fields)})"
+
+
+MEANS = {
+    "sleep_health_lifestyle": lifestyle_defaults,
+    "diabetes_detailed": detailed_defaults,
+    "sleep_apnea_core": apnea_defaults,
+    "sleep_disordered_breathing": breathing_defaults,
+}
+
+
+def fact_defaults(rows: DataFrame, table: str) -> Column:
+    """The defaults for a joined table's columns as one struct-valued scalar.
+
+    A mean is first narrowed to the type of the cleansed column, then takes the type of
+    the fact's column; text columns have their commonest value.
+    """
+    parts = {"_mean": MEANS[table](rows)}
+    fields = []
+    for name, source in FACT_SOURCES[table].items():
+        kind = _kind(table, source)
+        if isinstance(kind, VarcharType):
+            parts[f"_{name}"] = mode_default(rows, source)
+            fields.append(f"_{name} AS {name}")
+        else:
+            narrow = f"CAST(_mean.{source} AS {kind.simpleString()})"
+            fields.append(f"CAST({narrow} AS {_fact_kind(name)}) AS {name}")
+    one_row = rows.limit(0).agg(F.count(F.lit(1)).alias("_rows")).withColumns(parts)
+    return one_row.selectExpr(f"struct({', '.join(fields)}) AS defaults").scalar()
 
 
 # --- marts ----------------------------------------------------------------------------
@@ -354,7 +403,7 @@ def mart_comorbidity_by_age(
     of the fact add at most one row each, so they change nothing here.
     """
     age_dim = ages.select(F.col("label").alias("age_label"), "age_min", "age_max")
-    base = grid_lookup(link, age_dim, F.floor("age"), "age_min", "age_max", "1").withColumn(
+    base = grid_lookup(link, age_dim, "floor(age)", "age_min", "age_max", 1).withColumn(
         "age_band", F.coalesce("age_label", F.lit(text.UNKNOWN))
     )
     defaults = apnea_defaults(apnea), breathing_defaults(breathing)

@@ -69,10 +69,14 @@ ROUNDED_MEASURES = {
 }
 
 
+# Text made here from fixed labels, digits of numbers or hashes.
+BOUNDED = ("gender", "bmi_category", "patient_key", "area_code")
+
+
 def _finish(rows: DataFrame, name: str, columns: dict[str, Column]) -> DataFrame:
     carried = [ID] if ID in rows.columns else []
     shaped = rows.select(*carried, *(value.alias(column) for column, value in columns.items()))
-    return conform(shaped, schemas.SILVER[name], keep=[ID])
+    return conform(shaped, schemas.SILVER[name], keep=[ID], bounded=BOUNDED)
 
 
 def sleep_apnea_core(raw: DataFrame) -> DataFrame:
@@ -253,12 +257,12 @@ def hypertension_risk(raw: DataFrame) -> DataFrame:
 
 def diabetes_aggregate_2016(raw: DataFrame) -> DataFrame:
     renamed = raw.withColumnsRenamed(AGGREGATE_NAMES)
-    return conform(renamed, schemas.SILVER["diabetes_aggregate_2016"], keep=[ID])
+    return conform(renamed, schemas.SILVER["diabetes_aggregate_2016"], [ID], BOUNDED)
 
 
 def diabetes_hypertension_aggregate_2016(raw: DataFrame) -> DataFrame:
     renamed = raw.withColumnsRenamed(AGGREGATE_HYPERTENSION_NAMES)
-    return conform(renamed, schemas.SILVER["diabetes_hypertension_aggregate_2016"], keep=[ID])
+    return conform(renamed, schemas.SILVER["diabetes_hypertension_aggregate_2016"], [ID], BOUNDED)
 
 
 LOADS = {

@@ -12,22 +12,29 @@ from pyspark.sql.types import DataType, StructType, VarcharType
 STAMP = "dwh_create_date"
 
 
-def _conformed(name: str, kind: DataType) -> str:
+def _conformed(name: str, kind: DataType, bounded: bool) -> str:
     if not isinstance(kind, VarcharType):
         return f"CAST({name} AS {kind.simpleString()}) AS {name}"
     text = f"CAST({name} AS string)"
+    if bounded:
+        return f"{text} AS {name}"
     problem = f"raise_error(concat('{name}: text longer than {kind.length}: ', {text}))"
     return f"CASE WHEN length({text}) > {kind.length} THEN {problem} ELSE {text} END AS {name}"
 
 
-def conform(rows: DataFrame, schema: StructType, keep: Sequence[str] = ()) -> DataFrame:
+def conform(
+    rows: DataFrame, schema: StructType, keep: Sequence[str] = (), bounded: Sequence[str] = ()
+) -> DataFrame:
     """Select the declared columns in order and cast each to its declared type.
 
     A number that does not fit its type and text longer than its column are errors.
-    ``keep`` names further columns to carry in front, where ``rows`` has them.
+    ``keep`` names further columns to carry in front, where ``rows`` has them;
+    ``bounded`` names text columns that cannot be too long, which are not measured.
     """
     carried = [name for name in keep if name in rows.columns]
-    return rows.selectExpr(*carried, *(_conformed(f.name, f.dataType) for f in schema))
+    return rows.selectExpr(
+        *carried, *(_conformed(f.name, f.dataType, f.name in bounded) for f in schema)
+    )
 
 
 def stamped(rows: DataFrame, moment: datetime.datetime) -> DataFrame:
