@@ -14,7 +14,7 @@ from somnolake.config import scratch_path
 from somnolake.functions import keys, numeric, text
 from somnolake.operators import impute, quality, rollups
 from somnolake.operators.identity import dense_id
-from somnolake.operators.joins import grid_lookup, skew_left_join
+from somnolake.operators.joins import grid_lookup, hot_keys, skew_left_join
 from somnolake.operators.windows import first_row_per, latest_row_per
 from somnolake.plans import gold, silver, views
 from somnolake.sources import tables
@@ -519,10 +519,9 @@ def join_left_fanout(t: Inputs) -> DataFrame:
         "patient_key", C("record_id").alias("detailed_id"), "cholesterol_total"
     )
     apnea = t.apnea.select("patient_key", C("record_id").alias("apnea_id"), "neck_circumference")
-    rows = skew_left_join(people, detailed, ["patient_key"], C("_row"), C("detailed_id"))
-    rows = skew_left_join(
-        rows, apnea, ["patient_key"], C("_row"), C("apnea_id"), profile=people
-    )
+    hot = hot_keys(people, ["patient_key"])
+    rows = skew_left_join(people, detailed, ["patient_key"], C("_row"), C("detailed_id"), hot)
+    rows = skew_left_join(rows, apnea, ["patient_key"], C("_row"), C("apnea_id"), hot)
     return rows.drop("_row")
 
 

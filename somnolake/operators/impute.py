@@ -87,7 +87,8 @@ def exact_median(rows: DataFrame, value: Column, precision: int, scale: int) ->
     within = Window.partitionBy("_block").orderBy("_u").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    ranked = counts.join(middle, "_block").withColumn(
+    # two blocks at most
+    ranked = counts.join(F.broadcast(middle), "_block").withColumn(
         "_last", F.col("_before") + F.sum("_n").over(within)
     )
 

@@ -3,35 +3,41 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
-# The hot keys of a side are its MAX_HOT commonest keys, as far as they hold HOT_ROWS rows.
-# Any key with more than 1 / MAX_HOT of a side is among them, and the list never grows
-# with the data.
-MAX_HOT = 1000
-HOT_ROWS = 1_000_000
-PIECES = 32
 
+@dataclass(frozen=True)
+class Skew:
+    """What counts as a hot key, and into how many pieces its rows are dealt.
 
-def hot_keys(
-    side: DataFrame, keys: Sequence[str], max_hot: int = MAX_HOT, min_rows: int = HOT_ROWS
-) -> list[Row]:
-    """The commonest keys with at least ``min_rows`` rows, at most ``max_hot`` of them.
+    The hot keys of a side are its ``max_hot`` commonest keys, as far as they hold
+    ``min_rows`` rows.  Any key with more than 1 / max_hot of a side is among them, and
+    the list never grows with the data.
+    """
+
+    max_hot: int = 1000
+    min_rows: int = 1_000_000
+    pieces: int = 32
+
+
+def hot_keys(side: DataFrame, keys: Sequence[str], skew: Skew = Skew()) -> list[Row]:
+    """The hot keys of one side.
 
-    A table shorter than that has none, which its row count alone tells; Parquet keeps
-    that in the footers.
+    A table of fewer than ``min_rows`` rows has none, which its row count alone tells;
+    Parquet keeps that in the footers.
     """
-    if side.count() < min_rows:
+    if side.count() < skew.min_rows:
         return []
     return (
         side.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") >= min_rows)
+        .where(F.col("_n") >= skew.min_rows)
         .orderBy(F.desc("_n"))
-        .limit(max_hot)
+        .limit(skew.max_hot)
         .select(*keys)
         .collect()
     )
@@ -43,22 +49,20 @@ def skew_left_join(
     keys: Sequence[str],
     left_id: Column,
     right_id: Column | None = None,
-    *,
-    profile: DataFrame | None = None,
-    max_hot: int = MAX_HOT,
-    min_rows: int = HOT_ROWS,
-    pieces: int = PIECES,
+    left_hot: list[Row] | None = None,
+    skew: Skew = Skew(),
 ) -> DataFrame:
     """``left LEFT JOIN right USING (keys)``, with hot keys cut into pieces.
 
-    Hot left keys are looked for in ``profile``, a table cheaper to scan than ``left``
-    with the keys spread alike (``left`` itself by default).  ``right_id=None`` states
-    that ``keys`` are unique on the right, where no key can be hot.  Without hot keys
-    this is a plain join; Spark broadcasts the right side if its size allows.
+    ``left_hot`` gives the hot left keys where they are known, or known well enough from
+    a table that is cheaper to scan.  ``right_id=None`` states that ``keys`` are unique
+    on the right, where no key can be hot.  Without hot keys this is a plain join;
+    Spark broadcasts the right side if its size allows.
     """
     keys = list(keys)
-    left_hot = hot_keys(left if profile is None else profile, keys, max_hot, min_rows)
-    right_hot = [] if right_id is None else hot_keys(right, keys, max_hot, min_rows)
+    if left_hot is None:
+        left_hot = hot_keys(left, keys, skew)
+    right_hot = [] if right_id is None else hot_keys(right, keys, skew)
     if not left_hot and not right_hot:
         return left.join(right, keys, "left")
     marks = {tuple(row): [True, False] for row in left_hot}
@@ -69,7 +73,7 @@ def skew_left_join(
         [(*key, *mark) for key, mark in marks.items()],
         f"{kinds}, _lhot boolean, _rhot boolean",
     )
-    return _pieced_left_join(left, right, keys, left_id, right_id, hot, pieces)
+    return _pieced_left_join(left, right, keys, left_id, right_id, hot, skew.pieces)
 
 
 def _pieced_left_join(

@@ -8,7 +8,7 @@ from pyspark.sql.types import VarcharType
 from somnolake import schemas
 from somnolake.functions import keys, numeric, text
 from somnolake.operators.impute import mean_default, mode_default, scalars_of
-from somnolake.operators.joins import grid_lookup, skew_left_join
+from somnolake.operators.joins import Skew, grid_lookup, hot_keys, skew_left_join
 from somnolake.operators.rollups import (
     Attached,
     fanout_rollup,
@@ -191,12 +191,12 @@ def fact_patient_health_snapshot(
     ages: DataFrame,
     categories: DataFrame,
     dedup: bool = False,
-    **skew,
+    skew: Skew = Skew(),
 ) -> DataFrame:
     """Every link row with its matches from four tables, missing measures filled.
 
     A link row stands once per pair of apnea and breathing rows of its key; ``dedup``
-    keeps the lowest record of each key instead.  ``skew`` goes to ``skew_left_join``.
+    keeps the lowest record of each key instead.
     """
     # means and modes are over all rows, also where the joins keep one per key
     defaults = {
@@ -230,14 +230,16 @@ def fact_patient_health_snapshot(
         first_detailed(detailed), "diabetes_detailed",
         "age AS _age", "gender", "bmi_whole AS _bmi",
     )
+    profile = ["_age", "gender", "_bmi"]
     rows = skew_left_join(
-        rows, detail, ["_age", "gender", "_bmi"], link_id, profile=located, **skew
+        rows, detail, profile, link_id, left_hot=hot_keys(located, profile, skew), skew=skew
     )
+    link_hot = hot_keys(link, [KEY], skew)
     for side, table in (
         (apnea, "sleep_apnea_core"), (breathing, "sleep_disordered_breathing")
     ):
         rows = skew_left_join(
-            rows, matches(side, table, KEY, *rid), [KEY], link_id, right_id, profile=link, **skew
+            rows, matches(side, table, KEY, *rid), [KEY], link_id, right_id, link_hot, skew
         ).drop("_rid")
 
     # A row without a match takes all the defaults of that table.
@@ -507,7 +509,7 @@ def mart_occupation_risk(lifestyle: DataFrame, apnea: DataFrame) -> DataFrame:
 
 
 def mart_clinical_severity(
-    breathing: DataFrame, apnea: DataFrame, dedup: bool = False, **skew
+    breathing: DataFrame, apnea: DataFrame, dedup: bool = False, skew: Skew = Skew()
 ) -> DataFrame:
     """Every breathing record with the apnea markers of its key."""
     if dedup:
@@ -518,7 +520,7 @@ def mart_clinical_severity(
         KEY, *rid, "neck_circumference", F.col("snoring_flag").alias("snoring_mark"),
         "fatigue_flag",
     )
-    rows = skew_left_join(breathing, markers, [KEY], F.col("record_id"), right_id, **skew)
+    rows = skew_left_join(breathing, markers, [KEY], F.col("record_id"), right_id, skew=skew)
     shaped = rows.withColumns({
         "patient_id": F.col("record_id"),
         "bmi_category": numeric.bmi_band(F.col("bmi")),

@@ -9,6 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DataType, StructType, VarcharType
 
+from somnolake.operators.quality import key_report
+
 STAMP = "dwh_create_date"
 
 
@@ -65,6 +67,17 @@ def point_table(spark: SparkSession, table: str, rows: DataFrame, path: str) ->
     return spark.table(table)
 
 
-def full_refresh(spark: SparkSession, rows: DataFrame, table: str, folder: str) -> DataFrame:
-    """Replace the content of ``table`` by ``rows``."""
-    return point_table(spark, table, rows, write_refresh(rows, folder))
+def full_refresh(
+    spark: SparkSession, rows: DataFrame, table: str, folder: str, key: str | None = None
+) -> DataFrame:
+    """Replace the content of ``table`` by ``rows``.
+
+    With a ``key``, the written files are checked first, and a key that repeats or is
+    missing leaves the table as it was.
+    """
+    path = write_refresh(rows, folder)
+    if key is not None:
+        report = key_report(spark.read.parquet(path), key).first()
+        if report["duplicate_keys"] or report["null_keys"]:
+            raise ValueError(f"primary key {key} of {table}: {report.asDict()}")
+    return point_table(spark, table, rows, path)

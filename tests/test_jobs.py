@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from somnolake import schemas
 from somnolake.checks.adapters import ADAPTERS
 from somnolake.config import WarehouseConfig, shared_folder
+from somnolake.operators.joins import Skew
 from somnolake.operators.quality import key_report, orphans
 from somnolake.plans import gold, jobs, silver
 from somnolake.plans.runlog import LoadStopped
@@ -186,10 +187,14 @@ def test_stop_quiet_logs_and_skips_the_rest(spark, extracts, tmp_path):
     assert "sleep_health_lifestyle" not in status and status["diabetes_data"] == "ok"
 
 
-def test_a_repeated_area_is_not_published(spark):
-    rows = spark.createDataFrame([(1,), (1,)], "census_tract long")
+def test_a_repeated_key_is_not_published(spark, tmp_path):
+    table, folder = "key_probe", str(tmp_path / "k")
+    good = spark.createDataFrame([(1,), (2,)], "census_tract long")
+    tables.full_refresh(spark, good, table, folder, "census_tract")
     with pytest.raises(ValueError, match="census_tract"):
-        jobs._checked_key(rows, "census_tract")
+        tables.full_refresh(spark, good.unionAll(good), table, folder, "census_tract")
+    assert spark.table(table).count() == 2
+    spark.sql(f"DROP TABLE {table}")
 
 
 def test_dim_patient_without_the_shuffle_is_the_same(spark, small):
@@ -244,7 +249,7 @@ def test_skewed_fact_equals_plain_fact(spark, small):
     inputs[2] = inputs[2].withColumn("patient_key", hot)
     dims = gold.dim_age_band(spark), gold.dim_bmi_category(spark)
     plain = gold.fact_patient_health_snapshot(*inputs, *dims)
-    salted = gold.fact_patient_health_snapshot(*inputs, *dims, min_rows=3, pieces=4)
+    salted = gold.fact_patient_health_snapshot(*inputs, *dims, skew=Skew(min_rows=3, pieces=4))
     assert Counter(map(tuple, plain.collect())) == Counter(map(tuple, salted.collect()))
 
 
