@@ -415,35 +415,19 @@ def imp_mean_conditional(t: Inputs) -> DataFrame:
 def imp_cross_table_means(t: Inputs) -> DataFrame:
     """Every default of the fact, in the type its column takes, next to the rows to fill."""
     sources = {
-        "sleep_health_lifestyle": gold.lifestyle_defaults(t.lifestyle),
-        "diabetes_detailed": gold.detailed_defaults(t.detailed),
-        "sleep_apnea_core": gold.apnea_defaults(t.apnea),
-        "sleep_disordered_breathing": gold.breathing_defaults(t.breathing),
-    }
-    wanted = {
-        "sleep_health_lifestyle": [
-            "systolic_bp", "diastolic_bp", "heart_rate", "daily_steps", "sleep_duration_hrs",
-            "quality_of_sleep", "stress_level", "physical_activity_level",
-        ],
-        "diabetes_detailed": [
-            "hba1c", "cholesterol_total", "cholesterol_ldl", "cholesterol_hdl",
-            "alcohol_consumption", "fatigue_level", "diet_quality", "quality_of_life_score",
-        ],
-        "sleep_apnea_core": [
-            "neck_circumference", "snoring_flag", "fatigue_flag", "alcohol_flag",
-        ],
-        "sleep_disordered_breathing": [
-            "oxygen_saturation", "apnea_hypopnea_index", "spo2_ratio", "nasal_airflow_rate",
-            "chest_movement_effort",
-        ],
+        "sleep_health_lifestyle": t.lifestyle,
+        "diabetes_detailed": t.detailed,
+        "sleep_apnea_core": t.apnea,
+        "sleep_disordered_breathing": t.breathing,
     }
+    defaults = {table: gold.mean_defaults(rows, table) for table, rows in sources.items()}
     columns: dict[str, Column] = {}
-    for table, names in wanted.items():
-        for name in names:
+    for table, means in gold.MEANS.items():
+        for name in means:
             kind = schemas.SILVER[table][name].dataType
             columns[f"{name}_mean"] = C(f"{table}.{name}")
             columns[f"{name}_default"] = C(f"{table}.{name}").cast(kind)
-    counted = t.link.agg(F.count(F.lit(1)).alias("link_rows")).withColumns(sources)
+    counted = t.link.agg(F.count(F.lit(1)).alias("link_rows")).withColumns(defaults)
     return counted.select("link_rows", *(value.alias(n) for n, value in columns.items()))
 
 
@@ -460,14 +444,16 @@ def imp_mode(t: Inputs) -> DataFrame:
 @query
 def imp_flag_majority(t: Inputs) -> DataFrame:
     counted = t.apnea.agg(F.count(F.lit(1)).alias("rows"))
-    return counted.withColumn("d", gold.apnea_defaults(t.apnea)).select(
+    return counted.withColumn("d", gold.mean_defaults(t.apnea, "sleep_apnea_core")).select(
         "rows", "d.snoring_flag", "d.fatigue_flag", "d.alcohol_flag"
     )
 
 
 @query
 def imp_typed_isnull(t: Inputs) -> DataFrame:
-    rows = t.lifestyle.withColumn("d", gold.lifestyle_defaults(t.lifestyle))
+    rows = t.lifestyle.withColumn(
+        "d", gold.mean_defaults(t.lifestyle, "sleep_health_lifestyle")
+    )
     return rows.select(
         "record_id",
         *(numeric.isnull_typed(C(name), C(f"d.{name}"), "smallint").alias(name)

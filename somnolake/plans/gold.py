@@ -83,61 +83,53 @@ def dim_patient(lifestyle: DataFrame, ids_unique: bool = False) -> DataFrame:
 # --- fact -----------------------------------------------------------------------------
 
 
-def lifestyle_defaults(lifestyle: DataFrame) -> Column:
-    return scalars_of(
-        lifestyle,
-        systolic_bp=mean_default("systolic_bp", 2, "decimal(6,2)"),
-        diastolic_bp=mean_default("diastolic_bp", 2, "decimal(6,2)"),
-        heart_rate=mean_default("heart_rate", 2, "decimal(6,2)"),
-        daily_steps=mean_default("daily_steps", 0, "int"),
-        sleep_duration_hrs=mean_default("sleep_duration_hrs", 2, "decimal(4,2)", scale=2),
-        quality_of_sleep=mean_default("quality_of_sleep", 0, "int"),
-        stress_level=mean_default("stress_level", 0, "int"),
-        physical_activity_level=mean_default("physical_activity_level", 0, "int"),
-    )
-
-
-def detailed_defaults(detailed: DataFrame) -> Column:
-    def two(column: str, kind: str = "decimal(5,2)") -> str:
-        return mean_default(column, 2, kind, scale=2)
-
-    return scalars_of(
-        detailed,
-        hba1c=two("hba1c"),
-        cholesterol_total=two("cholesterol_total", "decimal(7,2)"),
-        cholesterol_ldl=two("cholesterol_ldl", "decimal(7,2)"),
-        cholesterol_hdl=two("cholesterol_hdl", "decimal(7,2)"),
-        alcohol_consumption=two("alcohol_consumption"),
-        fatigue_level=mean_default("fatigue_level", 0, "int", scale=2),
-        diet_quality=two("diet_quality"),
-        quality_of_life_score=two("quality_of_life_score"),
-    )
+def _two(column: str, kind: str = "decimal(5,2)") -> str:
+    return mean_default(column, 2, kind, scale=2)
 
 
-def apnea_defaults(apnea: DataFrame) -> Column:
-    return scalars_of(
-        apnea,
-        neck_circumference=mean_default("neck_circumference", 2, "decimal(5,2)", scale=1),
+# Means that fill missing values, as aggregates of the cleansed tables.  Decimals and
+# types are fixed values.
+MEANS = {
+    "sleep_health_lifestyle": {
+        "systolic_bp": mean_default("systolic_bp", 2, "decimal(6,2)"),
+        "diastolic_bp": mean_default("diastolic_bp", 2, "decimal(6,2)"),
+        "heart_rate": mean_default("heart_rate", 2, "decimal(6,2)"),
+        "daily_steps": mean_default("daily_steps", 0, "int"),
+        "sleep_duration_hrs": _two("sleep_duration_hrs", "decimal(4,2)"),
+        "quality_of_sleep": mean_default("quality_of_sleep", 0, "int"),
+        "stress_level": mean_default("stress_level", 0, "int"),
+        "physical_activity_level": mean_default("physical_activity_level", 0, "int"),
+    },
+    "diabetes_detailed": {
+        "hba1c": _two("hba1c"),
+        "cholesterol_total": _two("cholesterol_total", "decimal(7,2)"),
+        "cholesterol_ldl": _two("cholesterol_ldl", "decimal(7,2)"),
+        "cholesterol_hdl": _two("cholesterol_hdl", "decimal(7,2)"),
+        "alcohol_consumption": _two("alcohol_consumption"),
+        "fatigue_level": mean_default("fatigue_level", 0, "int", scale=2),
+        "diet_quality": _two("diet_quality"),
+        "quality_of_life_score": _two("quality_of_life_score"),
+    },
+    "sleep_apnea_core": {
+        "neck_circumference": mean_default("neck_circumference", 2, "decimal(5,2)", scale=1),
         # the rounded mean of a 0/1 flag is its majority value
-        snoring_flag=mean_default("snoring_flag", 0, "smallint"),
-        fatigue_flag=mean_default("fatigue_flag", 0, "smallint"),
-        alcohol_flag=mean_default("alcohol_flag", 0, "smallint"),
-    )
+        "snoring_flag": mean_default("snoring_flag", 0, "smallint"),
+        "fatigue_flag": mean_default("fatigue_flag", 0, "smallint"),
+        "alcohol_flag": mean_default("alcohol_flag", 0, "smallint"),
+    },
+    "sleep_disordered_breathing": {
+        "oxygen_saturation": mean_default("oxygen_saturation", 2, "decimal(5,2)", scale=1),
+        "apnea_hypopnea_index": _two("apnea_hypopnea_index", "decimal(6,2)"),
+        "spo2_ratio": mean_default("spo2_ratio", 4, "decimal(7,4)", scale=1),
+        "nasal_airflow_rate": mean_default("nasal_airflow_rate", 4, "decimal(7,4)", scale=2),
+        "chest_movement_effort": mean_default("chest_movement_effort", 4, "decimal(7,4)", scale=2),
+    },
+}
 
 
-def breathing_defaults(breathing: DataFrame) -> Column:
-    return scalars_of(
-        breathing,
-        oxygen_saturation=mean_default("oxygen_saturation", 2, "decimal(5,2)", scale=1),
-        apnea_hypopnea_index=mean_default(
-            "apnea_hypopnea_index", 2, "decimal(6,2)", scale=2
-        ),
-        spo2_ratio=mean_default("spo2_ratio", 4, "decimal(7,4)", scale=1),
-        nasal_airflow_rate=mean_default("nasal_airflow_rate", 4, "decimal(7,4)", scale=2),
-        chest_movement_effort=mean_default(
-            "chest_movement_effort", 4, "decimal(7,4)", scale=2
-        ),
-    )
+def mean_defaults(rows: DataFrame, table: str) -> Column:
+    """The means of a cleansed table as one struct-valued scalar."""
+    return scalars_of(rows, **MEANS[table])
 
 
 def _kind(table: str, column: str):
@@ -306,32 +298,25 @@ def fact_values(table: str) -> str:
     return f"struct({', '.join(fields)})"
 
 
-MEANS = {
-    "sleep_health_lifestyle": lifestyle_defaults,
-    "diabetes_detailed": detailed_defaults,
-    "sleep_apnea_core": apnea_defaults,
-    "sleep_disordered_breathing": breathing_defaults,
-}
-
-
 def fact_defaults(rows: DataFrame, table: str) -> Column:
     """The defaults for a joined table's columns as one struct-valued scalar.
 
     A mean is first narrowed to the type of the cleansed column, then takes the type of
     the fact's column; text columns have their commonest value.
     """
-    parts = {"_mean": MEANS[table](rows)}
-    fields = []
+    means = MEANS[table]
+    modes, fields = {}, []
     for name, source in FACT_SOURCES[table].items():
-        kind = _kind(table, source)
-        if isinstance(kind, VarcharType):
-            parts[f"_{name}"] = mode_default(rows, source)
-            fields.append(f"_{name} AS {name}")
-        else:
-            narrow = f"CAST(_mean.{source} AS {kind.simpleString()})"
+        if source in means:
+            narrow = f"CAST({source} AS {_kind(table, source).simpleString()})"
             fields.append(f"CAST({narrow} AS {_fact_kind(name)}) AS {name}")
-    one_row = rows.limit(0).agg(F.count(F.lit(1)).alias("_rows")).withColumns(parts)
-    return one_row.selectExpr(f"struct({', '.join(fields)}) AS defaults").scalar()
+        else:
+            modes[name] = mode_default(rows, source)
+            fields.append(name)
+    one_row = rows.agg(*(F.expr(value).alias(source) for source, value in means.items()))
+    return one_row.withColumns(modes).selectExpr(
+        f"struct({', '.join(fields)}) AS defaults"
+    ).scalar()
 
 
 # --- marts ----------------------------------------------------------------------------
@@ -408,7 +393,10 @@ def mart_comorbidity_by_age(
     base = grid_lookup(link, age_dim, "floor(age)", "age_min", "age_max", 1).withColumn(
         "age_band", F.coalesce("age_label", F.lit(text.UNKNOWN))
     )
-    defaults = apnea_defaults(apnea), breathing_defaults(breathing)
+    defaults = (
+        mean_defaults(apnea, "sleep_apnea_core"),
+        mean_defaults(breathing, "sleep_disordered_breathing"),
+    )
     if dedup:
         apnea, breathing = lowest_record_per_key(apnea), lowest_record_per_key(breathing)
     flags = {"diabetes_count": "diabetes_flag", "sleep_apnea_count": "sleep_apnea_flag",

@@ -35,7 +35,10 @@ def risk_factor_correlation(
     left out by the fact's imputation, which leaves none missing.  NULL where a side
     does not vary.
     """
-    defaults = gold.apnea_defaults(apnea), gold.breathing_defaults(breathing)
+    defaults = (
+        gold.mean_defaults(apnea, "sleep_apnea_core"),
+        gold.mean_defaults(breathing, "sleep_disordered_breathing"),
+    )
     attached = []
     measures: dict[str, object] = dict(LINK_MEASURES)
     sides = (

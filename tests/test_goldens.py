@@ -144,7 +144,8 @@ def test_severity(breathing, no_apnea):
 
 def test_defaults(spark, lifestyle, breathing):
     row = spark.range(1).withColumns({
-        "l": gold.lifestyle_defaults(lifestyle), "b": gold.breathing_defaults(breathing),
+        "l": gold.mean_defaults(lifestyle, "sleep_health_lifestyle"),
+        "b": gold.mean_defaults(breathing, "sleep_disordered_breathing"),
         "fl": gold.fact_defaults(lifestyle, "sleep_health_lifestyle"),
         "fb": gold.fact_defaults(breathing, "sleep_disordered_breathing"),
     }).first()
