@@ -580,8 +580,8 @@ def agg_count(t: Inputs) -> DataFrame:
 @query
 def agg_sum_flag(t: Inputs) -> DataFrame:
     return _banded(t).groupBy("age_band").agg(
-        F.expr(rollups.total("diabetes_flag")).alias("diabetes_count"),
-        F.expr(rollups.total("sleep_apnea_flag")).alias("sleep_apnea_count"),
+        F.expr(rollups.sum_units("diabetes_flag")).alias("diabetes_count"),
+        F.expr(rollups.sum_units("sleep_apnea_flag")).alias("sleep_apnea_count"),
     )
 
 
@@ -606,7 +606,7 @@ def agg_avg_round(t: Inputs) -> DataFrame:
 @query
 def agg_rate_pct(t: Inputs) -> DataFrame:
     return _banded(t).groupBy("age_band").agg(*(
-        F.expr(rollups.rate_pct(rollups.total(f"{name}_flag"), "count(1)")).alias(
+        F.expr(rollups.rate_pct(rollups.sum_units(f"{name}_flag"), "count(1)")).alias(
             f"{name}_rate_pct"
         )
         for name in ("diabetes", "smoking")
@@ -617,7 +617,7 @@ def agg_rate_pct(t: Inputs) -> DataFrame:
 def agg_group_multi(t: Inputs) -> DataFrame:
     return t.prediction.groupBy("gender", "smoking_history", "hypertension_flag").agg(
         F.count(F.lit(1)).alias("total"),
-        F.expr(rollups.total("diabetes_flag")).alias("diabetes_count"),
+        F.expr(rollups.sum_units("diabetes_flag")).alias("diabetes_count"),
     )
 
 

@@ -5,7 +5,7 @@ Amounts and aggregates are SQL expression texts over column names.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -21,9 +21,14 @@ def units(value: str, scale: int = 0) -> str:
     return f"coalesce(CAST({value} * {10**scale} AS bigint), 0L)"
 
 
-def present(value: str) -> str:
-    """1 for a value, 0 for NULL: summed, the divisor of a mean."""
-    return f"CASE WHEN {value} IS NULL THEN 0L ELSE 1L END"
+def sum_units(value: str, scale: int = 0) -> str:
+    """Aggregate: ``units`` summed.
+
+    A DECIMAL of at most 8 digits is summed as a 64-bit number and scaled afterwards.
+    """
+    if scale == 0:
+        return f"coalesce(sum({value}), 0L)"
+    return f"coalesce(CAST(sum(CAST({value} AS decimal(8,{scale}))) * {10**scale} AS bigint), 0L)"
 
 
 def mean_of(total: str, count: str, scale: int, digits: int) -> str:
@@ -34,7 +39,7 @@ def mean_of(total: str, count: str, scale: int, digits: int) -> str:
 
 def mean(value: str, digits: int, scale: int = 0) -> str:
     """Aggregate: rounded mean of a DECIMAL(p, scale) or whole-number column."""
-    return mean_of(f"sum({units(value, scale)})", f"count({value})", scale, digits)
+    return mean_of(sum_units(value, scale), f"count({value})", scale, digits)
 
 
 def rate_pct(total: str, rows: str) -> str:
@@ -42,17 +47,12 @@ def rate_pct(total: str, rows: str) -> str:
     return f"round(100.0D * CAST({total} AS double) / CAST({rows} AS double), 1)"
 
 
-def total(value: str) -> str:
-    """Aggregate: sum of a 0/1 flag or whole number, NULL as 0."""
-    return f"sum({units(value)})"
-
-
 @dataclass(frozen=True)
 class Attached:
     """One side of a fan-out left join on the patient key.
 
-    ``sums`` maps a result name to a whole-number, never NULL quantity of one joined
-    row, and to its value where no row joins.  Both may use the fields of ``defaults``, a
+    ``sums`` maps a result name to a whole-number, never NULL aggregate of the rows of a
+    key, and to its value where no row joins.  Both may use the fields of ``defaults``, a
     struct-valued scalar, as ``_default``.
     """
 
@@ -64,6 +64,14 @@ class Attached:
         return rows if self.defaults is None else rows.withColumn("_default", self.defaults)
 
 
+@dataclass(frozen=True)
+class Banded:
+    """Columns to group by first, and what turns them into the columns asked for."""
+
+    columns: Sequence[str]
+    derive: Callable[[DataFrame], DataFrame]
+
+
 def fanout_rollup(
     base: DataFrame,
     key: str,
@@ -71,6 +79,7 @@ def fanout_rollup(
     base_sums: Mapping[str, str],
     attached: Sequence[Attached],
     count_as: str,
+    banded: Banded | None = None,
 ) -> DataFrame:
     """Group ``base LEFT JOIN a1 USING (key) LEFT JOIN a2 USING (key) …`` without joining rows.
 
@@ -79,14 +88,16 @@ def fanout_rollup(
     table a base row would stand once per pair of matches, so a sum over one input is
     its per-key sum times the row counts of the others.  Products use DECIMAL(38,0):
     row counts of a fan-out outgrow 64 bits long before the inputs do.
+
+    ``banded`` groups the base by finer columns and derives those of ``group_by`` from the
+    grouped rows, of which there are far fewer.
     """
-    sides = [
-        base.groupBy(*group_by, key).agg(
-            F.count(F.lit(1)).alias("_n0"),
-            *(F.expr(f"sum({amount})").alias(name) for name, amount in base_sums.items()),
-        )
-    ]
-    joined = sides[0]
+    joined = base.groupBy(*(banded.columns if banded else group_by), key).agg(
+        F.count(F.lit(1)).alias("_n0"),
+        *(F.expr(amount).alias(name) for name, amount in base_sums.items()),
+    )
+    if banded:
+        joined = banded.derive(joined)
     counts = ["_n0"]
     names = [list(base_sums)]
     for index, side in enumerate(attached, start=1):
@@ -96,7 +107,7 @@ def fanout_rollup(
             .groupBy(key)
             .agg(
                 F.count(F.lit(1)).alias(rows),
-                *(F.expr(f"sum({each})").alias(name) for name, (each, _) in side.sums.items()),
+                *(F.expr(amount).alias(name) for name, (amount, _) in side.sums.items()),
             )
         )
         matched = side.with_defaults(joined.join(per_key, key, "left"))

@@ -11,10 +11,11 @@ from somnolake.operators.impute import mean_default, mode_default, scalars_of
 from somnolake.operators.joins import Skew, grid_lookup, hot_keys, skew_left_join
 from somnolake.operators.rollups import (
     Attached,
+    Banded,
     fanout_rollup,
     mean_of,
-    present,
     rate_pct,
+    sum_units,
     units,
 )
 from somnolake.operators.windows import first_row_per, latest_row_per
@@ -326,16 +327,16 @@ def _observed(rows: DataFrame, **scales: int) -> Attached:
     """Sums and counts of the values present in each column; nothing where no row joins."""
     sums: dict[str, tuple[str, str]] = {}
     for column, scale in scales.items():
-        sums[f"{column}__sum"] = (units(column, scale), "0L")
-        sums[f"{column}__n"] = (present(column), "0L")
+        sums[f"{column}__sum"] = (sum_units(column, scale), "0L")
+        sums[f"{column}__n"] = (f"count({column})", "0L")
     return Attached(rows, sums)
 
 
 def _base_sums(**scales: int) -> dict[str, str]:
     sums = {}
     for column, scale in scales.items():
-        sums[f"{column}__sum"] = units(column, scale)
-        sums[f"{column}__n"] = present(column)
+        sums[f"{column}__sum"] = sum_units(column, scale)
+        sums[f"{column}__n"] = f"count({column})"
     return sums
 
 
@@ -349,8 +350,9 @@ def _imputed(rows: DataFrame, defaults: Column, **measures: tuple[str, int]) ->
     for column, (table, scale) in measures.items():
         default = typed_default(table, column)
         value = f"coalesce({column}, {default})"
-        sums[f"{column}__sum"] = (units(value, scale), units(default, scale))
-        sums[f"{column}__n"] = (present(value), present(default))
+        alone = f"CASE WHEN {default} IS NULL THEN 0L ELSE 1L END"
+        sums[f"{column}__sum"] = (sum_units(value, scale), units(default, scale))
+        sums[f"{column}__n"] = (f"count({value})", alone)
     return Attached(rows, sums, defaults)
 
 
@@ -390,9 +392,14 @@ def mart_comorbidity_by_age(
     of the fact add at most one row each, so they change nothing here.
     """
     age_dim = ages.select(F.col("label").alias("age_label"), "age_min", "age_max")
-    base = grid_lookup(link, age_dim, "floor(age)", "age_min", "age_max", 1).withColumn(
-        "age_band", F.coalesce("age_label", F.lit(text.UNKNOWN))
-    )
+    years = link.selectExpr("*", "CAST(floor(age) AS int) AS _years")
+
+    def band(grouped: DataFrame) -> DataFrame:
+        found = grid_lookup(grouped, age_dim, "_years", "age_min", "age_max", 1)
+        return found.withColumn("age_band", F.coalesce("age_label", F.lit(text.UNKNOWN))).drop(
+            *age_dim.columns
+        )
+
     defaults = (
         mean_defaults(apnea, "sleep_apnea_core"),
         mean_defaults(breathing, "sleep_disordered_breathing"),
@@ -403,15 +410,16 @@ def mart_comorbidity_by_age(
              "hypertension_count": "hypertension_flag"}
     all_three = " AND ".join(f"{name} = 1" for name in flags.values())
     rolled = fanout_rollup(
-        base, KEY, ["age_band"],
+        years, KEY, ["age_band"],
         {
-            **{count: units(name) for count, name in flags.items()},
-            "all_three_count": f"CASE WHEN {all_three} THEN 1L ELSE 0L END",
+            **{count: sum_units(name) for count, name in flags.items()},
+            "all_three_count": f"count_if({all_three})",
             **_base_sums(bmi=1, glucose=2, blood_pressure=0),
         },
         [_imputed(apnea, defaults[0], **APNEA_MEASURES),
          _imputed(breathing, defaults[1], **BREATHING_MEASURES)],
         count_as="total_patients",
+        banded=Banded(["_years"], band),
     )
     counts = [*flags, "all_three_count", "snoring_count", "fatigue_count"]
     renamed = rolled.withColumnsRenamed(
@@ -469,7 +477,7 @@ def mart_bmi_sleep_disorder(
 def mart_occupation_risk(lifestyle: DataFrame, apnea: DataFrame) -> DataFrame:
     """Disorder counts, lifestyle means and rates per occupation."""
     def has(disorder: str) -> str:
-        return f"CASE WHEN sleep_disorder = '{disorder}' THEN 1L ELSE 0L END"
+        return f"count_if(sleep_disorder = '{disorder}')"
 
     rolled = fanout_rollup(
         lifestyle, KEY, ["occupation"],
@@ -554,20 +562,25 @@ def mart_diabetes_risk_profile(
     prediction: DataFrame, detailed: DataFrame, apnea: DataFrame
 ) -> DataFrame:
     """Counts, means and rates per age band, gender and BMI band."""
-    known = prediction.where(F.col("gender") != text.UNKNOWN).withColumns({
-        "age_band": numeric.age_band(F.col("age")),
-        "bmi_category": numeric.bmi_band(F.col("bmi")),
-    })
+    known = prediction.where(F.col("gender") != text.UNKNOWN)
+
+    def band(grouped: DataFrame) -> DataFrame:
+        return grouped.withColumns({
+            "age_band": numeric.age_band(F.col("age")),
+            "bmi_category": numeric.bmi_band(F.col("bmi")),
+        }).drop("age", "bmi")
+
     rolled = fanout_rollup(
         known, KEY, ["age_band", "gender", "bmi_category"],
         {
-            "diabetes_count": units("diabetes_flag"),
-            "hypertension_count": units("hypertension_flag"),
+            "diabetes_count": sum_units("diabetes_flag"),
+            "hypertension_count": sum_units("hypertension_flag"),
             **_base_sums(hba1c_level=2, blood_glucose_level=0),
         },
         [_observed(detailed, cholesterol_total=2, cholesterol_ldl=2, cholesterol_hdl=2),
          _observed(apnea, sleep_apnea_flag=0, neck_circumference=1)],
         count_as="total",
+        banded=Banded(["age", "gender", "bmi"], band),
     )
     return _shaped(
         rolled.withColumnRenamed("sleep_apnea_flag__sum", "sleep_apnea_count"),

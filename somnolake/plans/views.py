@@ -11,6 +11,7 @@ from somnolake.operators.rollups import (
     fanout_rollup,
     mean,
     rate_pct,
+    sum_units,
     units,
 )
 from somnolake.plans import gold
@@ -20,9 +21,10 @@ LINK_MEASURES = {"bmi": 1, "glucose": 2, "insulin": 2, "blood_pressure": 0}
 HIGH_STRESS = 7
 
 
-def _moments(name: str, amount: str) -> dict[str, str]:
-    """Sum of units and of squared units; squares of 8-digit units fit 64 bits."""
-    return {f"{name}__sum": amount, f"{name}__sq": f"({amount}) * ({amount})"}
+def _sums(name: str, value: str, scale: int) -> dict[str, str]:
+    """Aggregates: sum of units and of squared units; squares of 8 digits fit 64 bits."""
+    amount = units(value, scale)
+    return {f"{name}__sum": sum_units(value, scale), f"{name}__sq": f"sum({amount} * {amount})"}
 
 
 def risk_factor_correlation(
@@ -49,14 +51,15 @@ def risk_factor_correlation(
         sums = {}
         for name, (table, scale) in columns.items():
             fill = gold.typed_default(table, name)
-            each = _moments(name, units(f"coalesce({name}, {fill})", scale))
-            alone = _moments(name, units(fill, scale))
-            sums.update({key: (each[key], alone[key]) for key in each})
+            each = _sums(name, f"coalesce({name}, {fill})", scale)
+            alone = units(fill, scale)
+            sums[f"{name}__sum"] = (each[f"{name}__sum"], alone)
+            sums[f"{name}__sq"] = (each[f"{name}__sq"], f"{alone} * {alone}")
         measures.update(columns)
         attached.append(Attached(rows, sums, default))
     base = {}
     for name, scale in LINK_MEASURES.items():
-        base |= _moments(name, units(name, scale))
+        base |= _sums(name, name, scale)
     # Grouped by the flags, a flag is constant in a group and its product sums follow.
     rolled = fanout_rollup(link, gold.KEY, list(OUTCOMES), base, attached, count_as="n")
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from somnolake.operators import impute, quality
 from somnolake.operators.identity import dense_id
 from somnolake.operators.joins import Skew, grid_lookup, hot_keys, skew_left_join
-from somnolake.operators.rollups import Attached, fanout_rollup, present, units
+from somnolake.operators.rollups import Attached, fanout_rollup, sum_units
 from somnolake.operators.windows import first_row_per, latest_row_per
 from somnolake.plans import gold
 
@@ -79,10 +79,10 @@ def test_rollup_equals_grouping_the_joined_rows(spark, base, one, two):
     b, o, t = frame(spark, base, "x"), frame(spark, one, "y"), frame(spark, two, "z")
     b = b.withColumn("g", F.expr("x % 2"))
     attached = [
-        Attached(o, {"y_sum": (units("y"), "0L"), "y_n": (present("y"), "0L")}),
-        Attached(t, {"z_sum": (units("z"), "100L")}),
+        Attached(o, {"y_sum": (sum_units("y"), "0L"), "y_n": ("count(y)", "0L")}),
+        Attached(t, {"z_sum": (sum_units("z"), "100L")}),
     ]
-    rolled = fanout_rollup(b, "k", ["g"], {"x_sum": units("x")}, attached, "n")
+    rolled = fanout_rollup(b, "k", ["g"], {"x_sum": sum_units("x")}, attached, "n")
     plain = b.join(o, "k", "left").join(t, "k", "left").groupBy("g").agg(
         F.count(F.lit(1)).alias("n"), F.sum("x").alias("x_sum"),
         F.coalesce(F.sum("y"), F.lit(0)).alias("y_sum"), F.count("y").alias("y_n"),
@@ -98,8 +98,8 @@ def test_rollup_does_not_expand_a_hot_key(spark):
     """10,000 x 10,000 x 10,000 joined rows, counted without making them."""
     rows = spark.range(10_000).selectExpr("'same' AS k", "1L AS x")
     rolled = fanout_rollup(
-        rows.withColumn("g", F.lit(1)), "k", ["g"], {"x_sum": "x"},
-        [Attached(rows, {"a": ("x", "0L")}), Attached(rows, {"b": ("x", "0L")})], "n",
+        rows.withColumn("g", F.lit(1)), "k", ["g"], {"x_sum": "sum(x)"},
+        [Attached(rows, {"a": ("sum(x)", "0L")}), Attached(rows, {"b": ("sum(x)", "0L")})], "n",
     ).first()
     assert int(rolled["n"]) == int(rolled["x_sum"]) == int(rolled["a"]) == 10_000**3
 
