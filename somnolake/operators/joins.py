@@ -12,33 +12,34 @@ from pyspark.sql import Column, DataFrame, Row, functions as F
 
 @dataclass(frozen=True)
 class Skew:
-    """What counts as a hot key, and into how many pieces its rows are dealt.
+    """When a key counts as hot: it has more rows than one task should get.
 
-    The hot keys of a side are its ``max_hot`` commonest keys, as far as they hold
-    ``min_rows`` rows.  Any key with more than 1 / max_hot of a side is among them, and
-    the list never grows with the data.
+    The hot keys of a side are its ``max_hot`` commonest keys, as far as they hold more
+    than ``piece_rows`` rows.  Any key with more than 1 / max_hot of a side is among them,
+    and the list never grows with the data.  A hot key is cut into pieces of about
+    ``piece_rows`` rows.
     """
 
     max_hot: int = 1000
-    min_rows: int = 1_000_000
-    pieces: int = 32
+    piece_rows: int = 1_000_000
 
 
 def hot_keys(side: DataFrame, keys: Sequence[str], skew: Skew = Skew()) -> list[Row]:
-    """The hot keys of one side.
+    """The hot keys of one side, each with its number of ``pieces``.
 
-    A table of fewer than ``min_rows`` rows has none, which its row count alone tells;
+    A table of no more than ``piece_rows`` rows has none, which its row count alone tells;
     Parquet keeps that in the footers.
     """
-    if side.count() < skew.min_rows:
+    if side.count() <= skew.piece_rows:
         return []
+    pieces = F.ceil(F.col("_n") / F.lit(skew.piece_rows)).cast("int")
     return (
         side.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") >= skew.min_rows)
+        .where(F.col("_n") > skew.piece_rows)
         .orderBy(F.desc("_n"))
         .limit(skew.max_hot)
-        .select(*keys)
+        .select(*keys, pieces.alias("pieces"))
         .collect()
     )
 
@@ -65,15 +66,16 @@ def skew_left_join(
     right_hot = [] if right_id is None else hot_keys(right, keys, skew)
     if not left_hot and not right_hot:
         return left.join(right, keys, "left")
-    marks = {tuple(row): [True, False] for row in left_hot}
-    for row in right_hot:
-        marks.setdefault(tuple(row), [False, False])[1] = True
+    pieces: dict[tuple, list[int]] = {}
+    for side, rows in enumerate((left_hot, right_hot)):
+        for *key, number in rows:
+            pieces.setdefault(tuple(key), [1, 1])[side] = number
+    no_key_pieces = max((cut[0] for key, cut in pieces.items() if None in key), default=1)
     kinds = ", ".join(f"{name} {left.schema[name].dataType.simpleString()}" for name in keys)
     hot = left.sparkSession.createDataFrame(
-        [(*key, *mark) for key, mark in marks.items()],
-        f"{kinds}, _lhot boolean, _rhot boolean",
+        [(*key, *cut) for key, cut in pieces.items()], f"{kinds}, _lcut int, _rcut int"
     )
-    return _pieced_left_join(left, right, keys, left_id, right_id, hot, skew.pieces)
+    return _pieced_left_join(left, right, keys, left_id, right_id, hot, no_key_pieces)
 
 
 def _pieced_left_join(
@@ -83,45 +85,42 @@ def _pieced_left_join(
     left_id: Column,
     right_id: Column | None,
     hot: DataFrame,
-    pieces: int,
+    no_key_pieces: int,
 ) -> DataFrame:
     """Left join in which the keys of ``hot`` are spread over many tasks.
 
-    A hot left key has its left rows dealt over ``pieces`` tasks and its right rows
-    copied to them; a hot right key the other way round; a key hot on both sides uses
+    A hot left key has its left rows dealt over ``_lcut`` pieces and its right rows
+    copied to each; a hot right key the other way round; a key hot on both sides uses
     a grid.  Every pair meets exactly once.  Rows are dealt by a hash of their id, so
     a retried task deals them alike.
     """
     hot = F.broadcast(hot)
+    no_key = reduce(or_, (F.col(key).isNull() for key in keys))
+    one = F.lit(1)
+    left_cut, right_cut = F.coalesce("_lcut", one), F.coalesce("_rcut", one)
 
-    def dealt(condition: Column, row_id: Column) -> Column:
-        piece = F.pmod(F.xxhash64(row_id), F.lit(pieces)).cast("int")
-        return F.when(condition, piece).otherwise(F.lit(0))
-
-    def copies(condition: Column) -> Column:
-        everywhere = F.sequence(F.lit(0), F.lit(pieces - 1))
-        return F.explode(F.when(condition, everywhere).otherwise(F.array(F.lit(0))))
+    def dealt(row_id: Column, cut: Column) -> Column:
+        return F.pmod(F.xxhash64(row_id), cut).cast("int")
 
-    no_key = reduce(or_, (F.col(key).isNull() for key in keys))
-    left_hot = F.coalesce("_lhot", F.lit(False))
-    right_hot = F.coalesce("_rhot", F.lit(False))
+    def copies(cut: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), cut - 1))
 
     # Rows without a key match nothing, so they may go anywhere.
+    spread = F.when(no_key, F.lit(no_key_pieces)).otherwise(left_cut)
     l = left.join(hot, keys, "left").select(
-        *left.columns, right_hot.alias("_split"), dealt(left_hot | no_key, left_id).alias("_i")
+        *left.columns, right_cut.alias("_rcut"), dealt(left_id, spread).alias("_i")
     )
-    r = right.where(~no_key).join(hot, keys, "left")
-    r = r.withColumn("_i", copies(left_hot))
+    r = right.where(~no_key).join(hot, keys, "left").withColumn("_i", copies(left_cut))
     if right_id is None:
-        return l.drop("_split").join(r.drop("_lhot", "_rhot"), [*keys, "_i"], "left").drop("_i")
+        return l.drop("_rcut").join(r.drop("_lcut", "_rcut"), [*keys, "_i"], "left").drop("_i")
 
-    l = l.withColumn("_j", copies(F.col("_split")))
-    r = r.withColumns({"_j": dealt(right_hot, right_id), "_matched": F.lit(True)})
-    joined = l.join(r.drop("_lhot", "_rhot"), [*keys, "_i", "_j"], "left")
+    l = l.withColumn("_j", copies(F.col("_rcut")))
+    r = r.withColumns({"_j": dealt(right_id, right_cut), "_matched": F.lit(True)})
+    joined = l.join(r.drop("_lcut", "_rcut"), [*keys, "_i", "_j"], "left")
     # A key hot on the right surely matches in some piece; its copies that met an empty
     # piece are not unmatched rows.
-    return joined.where(~F.col("_split") | F.col("_matched").isNotNull()).drop(
-        "_i", "_j", "_split", "_matched"
+    return joined.where((F.col("_rcut") == 1) | F.col("_matched").isNotNull()).drop(
+        "_i", "_j", "_rcut", "_matched"
     )
 
 

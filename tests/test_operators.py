@@ -42,7 +42,7 @@ def brute_left_join(left, right):
 def test_pieced_join_equals_left_join(spark, left, right):
     l, r = frame(spark, left, "x"), frame(spark, right, "y")
     joined = skew_left_join(
-        l, r, ["k"], F.col("id_x"), F.col("id_y"), skew=Skew(min_rows=3, pieces=4)
+        l, r, ["k"], F.col("id_x"), F.col("id_y"), skew=Skew(piece_rows=3)
     ).select("k", "x", "y")
     assert Counter(map(tuple, joined.collect())) == brute_left_join(left, right)
 
@@ -51,7 +51,7 @@ def test_pieced_join_equals_left_join(spark, left, right):
 @given(SIDE, st.dictionaries(st.sampled_from(["hot", "a", "b", "d"]), st.integers(0, 9)))
 def test_pieced_join_with_unique_right_side(spark, left, right):
     l, r = frame(spark, left, "x"), frame(spark, list(right.items()), "y").drop("id_y")
-    joined = skew_left_join(l, r, ["k"], F.col("id_x"), skew=Skew(min_rows=2, pieces=3))
+    joined = skew_left_join(l, r, ["k"], F.col("id_x"), skew=Skew(piece_rows=2))
     got = Counter(map(tuple, joined.select("k", "x", "y").collect()))
     assert got == brute_left_join(left, list(right.items()))
 
@@ -59,7 +59,7 @@ def test_pieced_join_with_unique_right_side(spark, left, right):
 def test_pieced_join_spreads_a_hot_key(spark):
     l = spark.range(4000).selectExpr("id", "if(id % 3 = 0, 'hot', cast(id AS string)) AS k")
     r = spark.range(300).selectExpr("id AS rid", "if(id % 3 = 0, 'hot', cast(id AS string)) AS k")
-    skew = Skew(min_rows=50, pieces=8)
+    skew = Skew(piece_rows=40)
     joined = skew_left_join(l, r, ["k"], F.col("id"), F.col("rid"), skew=skew)
     plain = l.join(r, "k", "left")
     assert joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty()
@@ -68,9 +68,10 @@ def test_pieced_join_spreads_a_hot_key(spark):
 
 def test_hot_keys_are_bounded(spark):
     rows = spark.range(1000).selectExpr("id % 100 AS k")
-    assert len(hot_keys(rows, ["k"], Skew(7, 10))) == 7
-    assert hot_keys(rows, ["k"], Skew(7, 11)) == []
-    assert hot_keys(rows, ["k"], Skew(7, 1001)) == []
+    few = hot_keys(rows, ["k"], Skew(max_hot=7, piece_rows=4))
+    assert len(few) == 7 and {r["pieces"] for r in few} == {3}
+    assert hot_keys(rows, ["k"], Skew(piece_rows=10)) == []
+    assert hot_keys(rows, ["k"], Skew(piece_rows=1000)) == []
 
 
 @FEW
