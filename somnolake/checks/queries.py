@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 from functools import cached_property
 
@@ -17,8 +18,9 @@ from somnolake.operators.identity import dense_id
 from somnolake.operators.joins import grid_lookup, hot_keys, skew_left_join
 from somnolake.operators.windows import first_row_per, latest_row_per
 from somnolake.plans import gold, silver, views
+from somnolake.plans.runlog import RunLog
 from somnolake.sources import tables
-from somnolake.sources.csv import read_csv
+from somnolake.sources.csv import SOURCE_STYLES, read_csv
 
 C = F.col
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,6 +158,46 @@ def sink_parquet_roundtrip(t: Inputs) -> DataFrame:
     return t.spark.read.parquet(path)
 
 
+@query
+def sink_load_timestamp(t: Inputs) -> DataFrame:
+    """Every row of a load carries the same time."""
+    loaded = tables.stamped(t.lifestyle, datetime.datetime.now())
+    return loaded.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct(tables.STAMP).alias("load_times")
+    )
+
+
+@query
+def job_run_log(t: Inputs) -> DataFrame:
+    """Both area extracts taken from CSV to raw and cleansed Parquet, as the log tells it."""
+    root = scratch_path(t.spark, "job")
+    written = {}
+
+    def run(layer: str, steps: dict[str, Callable[[], DataFrame]]) -> None:
+        log = RunLog(t.spark, layer, root, "raise")
+        for name, rows in steps.items():
+            def write(loaded: DataFrame, name=name) -> None:
+                written[name] = tables.write_refresh(loaded, f"{root}/{layer}/{name}")
+
+            log.step(name, rows, write)
+        log.finish()
+
+    def extract(name: str, adapter: str) -> DataFrame:
+        schema = schemas.BRONZE[name]
+        return _through_csv(t, t.raw(adapter), schema, SOURCE_STYLES[name])
+
+    def cleansed(name: str) -> DataFrame:
+        return silver.LOADS[name](t.spark.read.parquet(written[silver.SOURCES[name]]))
+
+    run("bronze", {
+        "diabetes_all_2016": lambda: extract("diabetes_all_2016", "b_agg"),
+        "diabetes_hypertension_2016": lambda: extract("diabetes_hypertension_2016", "b_aggh"),
+    })
+    areas = ("diabetes_aggregate_2016", "diabetes_hypertension_aggregate_2016")
+    run("silver", {name: (lambda name=name: cleansed(name)) for name in areas})
+    return t.spark.read.parquet(f"{root}/run_log").select("layer", "step", "rows", "status")
+
+
 @query
 def dim_age_band(t: Inputs) -> DataFrame:
     """The seeded dimension with the observations that fall in each band."""
