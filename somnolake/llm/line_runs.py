@@ -162,20 +162,20 @@ def kept_digest(text: str) -> str:
 LINE_SQL = """
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS at
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
   FROM documents
 ), runs AS (
-  SELECT doc_id, at, line || chr(10) || lead(line, 1) OVER w || chr(10) || lead(line, 2) OVER w AS run
-  FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY at)
+  SELECT doc_id, place, line || chr(10) || lead(line, 1) OVER w || chr(10) || lead(line, 2) OVER w AS run
+  FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY place)
 ), judged AS (
-  SELECT doc_id, at, run IS NOT NULL AND row_number() OVER (PARTITION BY run ORDER BY doc_id, at) > 1 AS later
+  SELECT doc_id, place, run IS NOT NULL AND row_number() OVER (PARTITION BY run ORDER BY doc_id, place) > 1 AS later
   FROM runs
 ), marked AS (
-  SELECT l.doc_id, l.at, l.line,
-         bool_or(j.later) OVER (PARTITION BY l.doc_id ORDER BY l.at ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS gone
-  FROM lines l JOIN judged j USING (doc_id, at)
+  SELECT l.doc_id, l.place, l.line,
+         bool_or(j.later) OVER (PARTITION BY l.doc_id ORDER BY l.place ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS gone
+  FROM lines l JOIN judged j USING (doc_id, place)
 )
 SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_removed,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT gone), '')) AS kept_sha256
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
