@@ -58,7 +58,7 @@ class SuffixQueue:
                 self.held -= rows.shape[1]
             parts.append(rows)
         if not parts:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return np.zeros(0, np.int32), np.zeros(0, np.int32)
         joined = np.concatenate(parts, axis=1) if len(parts) > 1 else parts[0]
         return joined[0], joined[1]
 
@@ -67,7 +67,7 @@ class _Order:
     """Suffixes in the order they are settled, each with the common prefix to the one before."""
 
     def __init__(self, most: int):
-        self.position = np.zeros(most, np.int64)
+        self.position = np.zeros(most, np.int32)
         self.shared = np.zeros(most, np.uint8)
         self.size = 0
 
@@ -76,19 +76,19 @@ class _Order:
         low, self.size = self.size, self.size + len(positions)
         self.position[low:self.size] = positions
         self.shared[low:self.size] = shared
-        return np.arange(low, self.size)
+        return np.arange(low, self.size, dtype=np.int32)
 
     def induced(self, ranks: np.ndarray, before: int) -> np.ndarray:
         """Common prefixes of suffixes that begin alike and go on as their sources do.
 
         `before` is the rank of the source of the suffix before the first one, or -1 for none.
         """
-        out = np.zeros(len(ranks), np.int64)
+        out = np.zeros(len(ranks), np.int32)
         if before >= 0:
             out[0] = self.shared[before + 1:ranks[0] + 1].min() + 1
         if len(ranks) > 1:
             span = self.shared[ranks[0] + 1:ranks[-1] + 1]
-            out[1:] = np.minimum.reduceat(span, ranks[:-1] - ranks[0]).astype(np.int64) + 1
+            out[1:] = np.minimum.reduceat(span, ranks[:-1] - ranks[0]).astype(np.int32) + 1
         return np.minimum(out, LIMIT)
 
 
@@ -182,7 +182,7 @@ def suffix_order(text: np.ndarray, budget: int = 1 << 23) -> tuple[np.ndarray, n
     lengths = ends - run_start + 1
     is_s = np.repeat(rises, lengths)
     is_s[text == 0] = True
-    run = (np.repeat(ends, lengths) - np.arange(size) + 1)
+    run = np.minimum(np.repeat(ends, lengths) - np.arange(size) + 1, LIMIT).astype(np.uint8)
     seeds = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
     if is_s[0] and text[0] == 0:
         seeds = np.append(0, seeds)
@@ -198,7 +198,7 @@ def suffix_order(text: np.ndarray, budget: int = 1 << 23) -> tuple[np.ndarray, n
 
     def push_l(positions, ranks):
         some = positions > 0
-        before, ranks = positions[some] - 1, ranks[some]
+        before, ranks = positions[some].astype(np.int32) - np.int32(1), ranks[some]
         l_type = ~is_s[before]
         queue.push(text[before[l_type]], ranks[l_type], before[l_type])
 
@@ -223,7 +223,7 @@ def suffix_order(text: np.ndarray, budget: int = 1 << 23) -> tuple[np.ndarray, n
 
     def push_s(positions, ranks):
         some = positions > 0
-        before, ranks = positions[some] - 1, ranks[some]
+        before, ranks = positions[some].astype(np.int32) - np.int32(1), ranks[some]
         s_type = is_s[before] & (text[before] != 0)
         queue.push(text[before[s_type]], ranks[s_type], before[s_type])
 

@@ -22,18 +22,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from somnolake.llm.columnar import (
-    BYTE_CODES, _power, blobs, column, mix, offsets, partitions, prefix_hashes, ranges, span_hashes, texts,
+    BYTE_CODES, _power, blobs, column, mix, offsets, partitions, pieces, prefix_hashes, ranges, span_hashes, texts,
 )
 from somnolake.llm.induced_sort import suffix_order
 
 PIECE_TEXT = 1 << 20
-FLUSH_BYTES = 24 << 20
+FLUSH_BYTES = 16 << 20
+SHARDS_A_PARTITION = 4  # a shard is sorted in memory, with about 60 bytes for each of its bytes
 MOST_WINDOWS = 64
-_ID = np.dtype("<i8")
 
 
 @dataclass(frozen=True)
@@ -76,7 +77,7 @@ class Pieces:
         self.content = span_hashes(running, self.begin, self.begin + size + length - 1)
 
 
-def _anchor_rows(documents: DataFrame, rules: RepeatRules, parts: int, shards: int) -> DataFrame:
+def _anchor_rows(documents: DataFrame, rules: RepeatRules, shards: int) -> DataFrame:
     """(shard, once, often): packed anchors of each shard; each is 40 bits above the part's 24.
 
     An anchor stands once for each document in `once`, or once in `often` where several of the
@@ -176,38 +177,76 @@ def _repeated_anchors(rows: DataFrame, shards: int) -> DataFrame:
     )
 
 
-def _with_side(documents: DataFrame, side: DataFrame, parts: int) -> DataFrame:
+def _packed(documents: DataFrame, parts: int) -> DataFrame:
+    """(part, kind, ids, lengths, side): texts packed by part, compressed, many to a row."""
+
+    def run(batches):
+        held, size = [], 0
+
+        def flush():
+            part, ids, absent, lengths = (np.concatenate([h[i] for h in held]) for i in range(4))
+            data = np.concatenate([h[4] for h in held])
+            order = np.argsort(part, kind="stable")
+            begin = offsets(lengths)[:-1]
+            cuts = np.searchsorted(part[order], np.arange(parts + 1))
+            rows = [order[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+            some = [i for i, r in enumerate(rows) if len(r)]
+            rows = [rows[i] for i in some]
+            pack = zstandard.ZstdCompressor(level=1).compress
+            return pa.RecordBatch.from_arrays([
+                pa.array(some, pa.int32()), pa.array(np.ones(len(some), np.int32)),
+                blobs([ids[r].tobytes() + absent[r].tobytes() for r in rows]), blobs([lengths[r].tobytes() for r in rows]),
+                blobs([pack(data[ranges(begin[r], lengths[r])].tobytes()) for r in rows]),
+            ], ["part", "kind", "ids", "lengths", "side"])
+
+        for batch in batches:
+            part = column(batch, "part").to_numpy()
+            ids = column(batch, "doc_id")
+            absent = ids.is_null().to_numpy(zero_copy_only=False)
+            ids = ids.fill_null(0).to_numpy()
+            for low, high, data, starts in texts(batch):
+                held.append((part[low:high], ids[low:high], absent[low:high], np.diff(starts), data))
+                size += len(data)
+                if size >= FLUSH_BYTES:
+                    yield flush()
+                    held, size = [], 0
+        if held:
+            yield flush()
+
+    return documents.mapInArrow(run, "part int, kind int, ids binary, lengths binary, side binary")
+
+
+def _with_side(packed: DataFrame, side: DataFrame, parts: int) -> DataFrame:
     """Texts and side rows of each part together, the side rows first."""
-    texts_ = documents.select("part", F.lit(1).alias("kind"), "doc_id", "text", F.lit(None).cast("binary").alias("side"))
-    sides = side.select(
-        "part", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"), "side",
-    )
-    return texts_.union(sides).repartition(parts, "part").sortWithinPartitions("part", "kind")
+    none = F.lit(None).cast("binary")
+    sides = side.select("part", F.lit(0).alias("kind"), none.alias("ids"), none.alias("lengths"), "side")
+    return packed.union(sides).repartition(parts, "part").sortWithinPartitions("part", "kind")
 
 
 def _by_part(batches, gather):
-    """(batch of texts of one part, what `gather` made of the part's side rows), batch by batch."""
+    """(part, ids, whether each is null, bytes, starts, what `gather` made of the part's side rows), piece by piece."""
     now, sides, made = None, [], None
     for batch in batches:
-        keys = column(batch, "part").to_numpy()
-        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            rows = batch.slice(a, b - a)
-            if not rows.num_rows:
+        for i in range(batch.num_rows):
+            part, kind, ids, lengths, side = (batch.column(c)[i].as_py() for c in range(5))
+            if part != now:
+                now, sides, made = part, [], None
+            if not kind:
+                sides.append(side)
                 continue
-            if keys[a] != now:
-                now, sides, made = keys[a], [], None
-            kind = column(rows, "kind").to_numpy()
-            split = int(np.searchsorted(kind, 1))
-            sides.extend(column(rows, "side").slice(0, split).to_pylist())
-            if split < rows.num_rows:
-                if made is None:
-                    made, sides = gather(sides), []
-                yield rows.slice(split), made
+            if made is None:
+                made, sides = gather(sides), []
+            lengths = np.frombuffer(lengths, np.int64)
+            absent = np.frombuffer(ids, bool, offset=8 * len(lengths))
+            ids = np.frombuffer(ids, np.int64, len(lengths))
+            data, starts = np.frombuffer(zstandard.ZstdDecompressor().decompress(side), np.uint8), offsets(lengths)
+            for low, high in pieces(starts, PIECE_TEXT):
+                own = starts[low:high + 1]
+                yield now, ids[low:high], absent[low:high], data[own[0]:own[-1]], own - own[0], made
 
 
 def _pieces_to_shards(together: DataFrame, rules: RepeatRules, shards: int) -> DataFrame:
-    """(shard, part, hashes, ids, lengths, bytes): each part's distinct pieces with a repeated anchor."""
+    """(shard, part, ids, lengths, bytes): each part's distinct pieces with a repeated anchor."""
 
     def run(batches):
         held, size, part = [], 0, None
@@ -217,57 +256,51 @@ def _pieces_to_shards(together: DataFrame, rules: RepeatRules, shards: int) -> D
             data = np.concatenate([h[4] for h in held])
             begin = offsets(lengths)[:-1]
             order = np.lexsort((ids, content, shard))
-            shard, content, ids, lengths, begin = (x[order] for x in (shard, content, ids, lengths, begin))
-            new = np.ones(len(content), bool)
-            new[1:] = content[1:] != content[:-1]
-            shard, content, ids, lengths, begin = (x[new] for x in (shard, content, ids, lengths, begin))
-            data = data[ranges(begin, lengths)]
-            cuts = np.searchsorted(shard, np.arange(shards + 1))
-            ends = offsets(lengths)
+            new = np.ones(len(order), bool)
+            new[1:] = content[order][1:] != content[order][:-1]
+            pick = order[new]  # each distinct piece, with the least id that has it
+            pick = pick[np.lexsort((begin[pick], shard[pick]))]  # in the order of the texts, which packs well
+            cuts = np.searchsorted(shard[pick], np.arange(shards + 1))
             some = np.flatnonzero(np.diff(cuts))
-            spans = [(cuts[s], cuts[s + 1]) for s in some]
+            rows = [pick[cuts[s]:cuts[s + 1]] for s in some]
+            pack = zstandard.ZstdCompressor(level=1).compress
             return pa.RecordBatch.from_arrays([
                 pa.array(some.astype(np.int32)), pa.array(np.full(len(some), part, np.int32)),
-                blobs([content[a:b].tobytes() for a, b in spans]), blobs([ids[a:b].astype(_ID).tobytes() for a, b in spans]),
-                blobs([lengths[a:b].astype(np.uint16).tobytes() for a, b in spans]),
-                blobs([data[ends[a]:ends[b]].tobytes() for a, b in spans]),
-            ], ["shard", "part", "hashes", "ids", "lengths", "bytes"])
+                blobs([pack(ids[r].tobytes()) for r in rows]), blobs([lengths[r].astype(np.uint16).tobytes() for r in rows]),
+                blobs([pack(data[ranges(begin[r], lengths[r])].tobytes()) for r in rows]),
+            ], ["shard", "part", "ids", "lengths", "bytes"])
 
-        for rows, anchors in _by_part(batches, lambda s: np.unique(np.frombuffer(b"".join(s), np.uint64))):
-            if held and column(rows, "part")[0].as_py() != part:
+        for now, ids, absent, data, starts, anchors in _by_part(batches, lambda s: np.unique(np.frombuffer(b"".join(s), np.uint64))):
+            if held and (now != part or size >= FLUSH_BYTES):
                 yield flush()
                 held, size = [], 0
-            part = column(rows, "part")[0].as_py()
-            ids = column(rows, "doc_id").to_numpy()
-            for low, _high, data, starts in texts(rows, limit=PIECE_TEXT):
-                found = Pieces(data, starts, rules)
-                if not len(found.begin) or not len(anchors):
-                    continue
-                short = found.anchor >> np.uint64(24)
-                at = np.minimum(np.searchsorted(anchors, short), len(anchors) - 1)
-                hit = np.flatnonzero(anchors[at] == short)
-                lengths = found.windows[hit] + rules.length - 1
-                content = data[ranges(found.begin[hit], lengths)]
-                held.append((
-                    (found.anchor[hit] % np.uint64(shards)).astype(np.int64), found.content[hit],
-                    ids[low + found.owner[hit]], lengths, content,
-                ))
-                size += len(content)
-                if size >= FLUSH_BYTES:
-                    yield flush()
-                    held, size = [], 0
+            part = now
+            found = Pieces(data, starts, rules)
+            if not len(found.begin) or not len(anchors):
+                continue
+            short = found.anchor >> np.uint64(24)
+            at = np.minimum(np.searchsorted(anchors, short), len(anchors) - 1)
+            hit = np.flatnonzero((anchors[at] == short) & ~absent[found.owner])
+            if not len(hit):
+                continue
+            lengths = found.windows[hit] + rules.length - 1
+            content = data[ranges(found.begin[hit], lengths)]
+            held.append((
+                (found.anchor[hit] % np.uint64(shards)).astype(np.int32), found.content[hit], ids[found.owner[hit]], lengths, content,
+            ))
+            size += len(content) + 32 * len(hit)
         if held:
             yield flush()
 
-    return together.mapInArrow(run, "shard int, part int, hashes binary, ids binary, lengths binary, bytes binary")
+    return together.mapInArrow(run, "shard int, part int, ids binary, lengths binary, bytes binary")
 
 
-def first_owners(pieces: list[bytes] | np.ndarray, lengths: np.ndarray, ids: np.ndarray, size: int) -> np.ndarray:
+def first_owners(data: np.ndarray, lengths: np.ndarray, ids: np.ndarray, size: int) -> np.ndarray:
     """For each window of each piece in order, the least id that has an equal window."""
     ends = offsets(lengths + 1)
     text = np.zeros(ends[-1], np.uint8)
     # no byte of UTF-8 is 0xFF, so bytes can be raised by one to keep 0 for the ends
-    text[ranges(ends[:-1], lengths)] = pieces + np.uint8(1)
+    text[ranges(ends[:-1], lengths)] = data + np.uint8(1)
     positions, shared = suffix_order(text)
     owner = np.repeat(np.arange(len(lengths)), lengths + 1)
     begins_window = ends[owner + 1] - 1 - np.arange(len(text)) >= size
@@ -279,16 +312,18 @@ def first_owners(pieces: list[bytes] | np.ndarray, lengths: np.ndarray, ids: np.
     return out[begins_window]
 
 
-def _owners(rows: DataFrame, rules: RepeatRules, shards: int) -> DataFrame:
+def _owners(rows: DataFrame, rules: RepeatRules, tasks: int) -> DataFrame:
     """(part, side): for the pieces of each part, the first owners of their windows, as runs."""
 
     def run(batches):
         for _shard, table in _grouped(batches, "shard"):
-            content = _column_bytes(table, "hashes", np.uint64)
-            ids = _column_bytes(table, "ids", _ID)
+            unpack = zstandard.ZstdDecompressor().decompress
+            ids = np.frombuffer(b"".join(map(unpack, table.column("ids").to_pylist())), np.int64)
             lengths = _column_bytes(table, "lengths", np.uint16).astype(np.int64)
-            data = _column_bytes(table, "bytes", np.uint8)
-            begin = offsets(lengths)[:-1]
+            data = np.frombuffer(b"".join(map(unpack, table.column("bytes").to_pylist())), np.uint8)
+            ends = offsets(lengths)
+            begin = ends[:-1]
+            content = span_hashes(prefix_hashes(BYTE_CODES[data]), begin, ends[1:])
             order = np.lexsort((ids, content))
             new = np.ones(len(order), bool)
             new[1:] = content[order][1:] != content[order][:-1]
@@ -305,20 +340,19 @@ def _owners(rows: DataFrame, rules: RepeatRules, shards: int) -> DataFrame:
             run_id, run_size = least[run_at], np.diff(np.append(run_at, len(least)))
             run_bounds = np.searchsorted(run_at, where)
             distinct = content[pick]
-            per_row = offsets(np.array([len(x) // 8 for x in table.column("hashes").to_pylist()], np.int64))
+            per_row = offsets(np.array([len(x) // 2 for x in table.column("lengths").to_pylist()], np.int64))
             parts, sides = table.column("part").to_numpy(), []
             for a, b in zip(per_row, per_row[1:], strict=False):
                 own = content[a:b]
                 at = np.searchsorted(distinct, own)
                 count = run_bounds[at + 1] - run_bounds[at]
                 take = ranges(run_bounds[at], count)
-                # a piece that no smaller id has, as a whole, needs no answer
                 sides.append(b"".join(x.tobytes() for x in (
                     np.array([len(own), len(take)], np.int64), own, count.astype(np.int64), run_id[take], run_size[take].astype(np.int64),
                 )))
             yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), blobs(sides)], ["part", "side"])
 
-    return rows.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(run, "part int, side binary")
+    return rows.repartition(tasks, "shard").sortWithinPartitions("shard").mapInArrow(run, "part int, side binary")
 
 
 def _read_owners(sides: list[bytes]):
@@ -340,46 +374,45 @@ def _read_owners(sides: list[bytes]):
 
 def _cut_texts(together: DataFrame, rules: RepeatRules, with_text: bool) -> DataFrame:
     def run(batches):
-        for rows, (hashes, run_at, run_count, run_id, run_size) in _by_part(batches, _read_owners):
-            ids = column(rows, "doc_id")
-            keys = ids.fill_null(-(1 << 63)).to_numpy()
-            for low, high, data, starts in texts(rows, limit=PIECE_TEXT):
-                gone = np.zeros(len(data) + 1, np.int64)
-                found = Pieces(data, starts, rules)
-                if len(hashes) and len(found.begin):
-                    at = np.minimum(np.searchsorted(hashes, found.content), len(hashes) - 1)
-                    hit = np.flatnonzero(hashes[at] == found.content)
-                    at = at[hit]
-                    take = ranges(run_at[at], run_count[at])
-                    size = run_size[take]
-                    before = offsets(size)[:-1]
-                    piece = np.repeat(np.arange(len(at)), run_count[at])
-                    first_run = offsets(run_count[at])[:-1]
-                    inside = before - before[first_run][piece] if len(take) else before
-                    begin = found.begin[hit][piece] + inside
-                    remove = run_id[take] < keys[low + found.owner[hit]][piece]
-                    begin, size = begin[remove], size[remove]
-                    np.add.at(gone, begin, 1)
-                    np.add.at(gone, begin + size + rules.length - 1, -1)
-                keep = np.cumsum(gone[:-1]) == 0
-                left = offsets(np.add.reduceat(np.append(keep, False), starts[:-1], dtype=np.int64) * (np.diff(starts) > 0))
-                raw = data[keep].tobytes()
-                change = ~keep
-                change[1:] &= keep[:-1]
-                inner = starts[:-1][np.diff(starts) > 0]
-                change[inner] = ~keep[inner]
-                spans = np.add.reduceat(np.append(change, False), starts[:-1], dtype=np.int64) * (np.diff(starts) > 0)
-                cuts = left.tolist()
-                out = [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
-                arrays = [
-                    ids.slice(low, high - low), pa.array(np.diff(starts)), pa.array(np.diff(starts) - np.diff(left)),
-                    pa.array(spans), pa.array([hashlib.sha256(x).hexdigest() for x in out], pa.string()),
-                ]
-                names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-                if with_text:
-                    arrays.append(blobs(out))
-                    names.append("kept")
-                yield pa.RecordBatch.from_arrays(arrays, names)
+        for _part, ids, absent, data, starts, owners in _by_part(batches, _read_owners):
+            hashes, run_at, run_count, run_id, run_size = owners
+            gone = np.zeros(len(data) + 1, np.int64)
+            found = Pieces(data, starts, rules)
+            if len(hashes) and len(found.begin):
+                at = np.minimum(np.searchsorted(hashes, found.content), len(hashes) - 1)
+                hit = np.flatnonzero(hashes[at] == found.content)
+                at = at[hit]
+                take = ranges(run_at[at], run_count[at])
+                size = run_size[take]
+                before = offsets(size)[:-1]
+                piece = np.repeat(np.arange(len(at)), run_count[at])
+                first_run = offsets(run_count[at])[:-1]
+                inside = before - before[first_run][piece] if len(take) else before
+                begin = found.begin[hit][piece] + inside
+                owner = found.owner[hit][piece]
+                remove = (run_id[take] < ids[owner]) & ~absent[owner]
+                begin, size = begin[remove], size[remove]
+                np.add.at(gone, begin, 1)
+                np.add.at(gone, begin + size + rules.length - 1, -1)
+            keep = np.cumsum(gone[:-1]) == 0
+            left = offsets(np.add.reduceat(np.append(keep, False), starts[:-1], dtype=np.int64) * (np.diff(starts) > 0))
+            raw = data[keep].tobytes()
+            change = ~keep
+            change[1:] &= keep[:-1]
+            inner = starts[:-1][np.diff(starts) > 0]
+            change[inner] = ~keep[inner]
+            spans = np.add.reduceat(np.append(change, False), starts[:-1], dtype=np.int64) * (np.diff(starts) > 0)
+            cuts = left.tolist()
+            out = [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+            arrays = [
+                pa.array(ids, mask=absent), pa.array(np.diff(starts)), pa.array(np.diff(starts) - np.diff(left)),
+                pa.array(spans), pa.array([hashlib.sha256(x).hexdigest() for x in out], pa.string()),
+            ]
+            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+            if with_text:
+                arrays.append(blobs(out))
+                names.append("kept")
+            yield pa.RecordBatch.from_arrays(arrays, names)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
     return together.mapInArrow(run, schema)
@@ -394,12 +427,12 @@ def remove_repeats(documents: DataFrame, rules: RepeatRules = RepeatRules(), wit
     bytes for it; rows that repeat an id don't count as earlier to each other.  kept may cut
     characters of several bytes, so it is binary.
     """
-    spark = documents.sparkSession
-    parts = shards = partitions(spark)
+    parts = partitions(documents.sparkSession)
+    shards = SHARDS_A_PARTITION * parts
     rows = documents.select(
         F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int").alias("part"), F.col("doc_id").cast("long").alias("doc_id"), "text",
     )
-    known = rows.where("doc_id is not null")
-    anchors = _repeated_anchors(_anchor_rows(known, rules, parts, shards), shards)
-    pieces = _pieces_to_shards(_with_side(known, anchors, parts), rules, shards)
-    return _cut_texts(_with_side(rows, _owners(pieces, rules, shards), parts), rules, with_text)
+    packed = _packed(rows, parts)
+    anchors = _repeated_anchors(_anchor_rows(rows.where("doc_id is not null"), rules, parts), parts)
+    pieces_ = _pieces_to_shards(_with_side(packed, anchors, parts), rules, shards)
+    return _cut_texts(_with_side(packed, _owners(pieces_, rules, parts), parts), rules, with_text)
