@@ -36,6 +36,22 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+HOT_SHARE = 1000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+    """Rows left-joined to the one row of their group; the rows of large groups don't move.
+
+    A group with more than 1 / HOT_SHARE of all rows, by the groups' `size`, is large.  There are
+    fewer than HOT_SHARE of them, whatever the data, so these are broadcast.
+    """
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    large = F.col(size) * HOT_SHARE > total
+    hot, cold = F.broadcast(groups.where(large)), groups.where(~large)
+    rest = rows.join(F.broadcast(groups.where(large).select(key)), key, "left_anti")
+    return rows.join(hot, key).unionByName(rest.join(cold, key, "left"))
+
+
 def bucket_of_id(column: str = "doc_id"):
     """crc32 of the id as text; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from somnolake.llm.columnar import written
+from somnolake.llm.columnar import join_groups, written
 
 
 def text_digest(text):
@@ -65,7 +65,11 @@ def add_documents(documents: DataFrame, index: DigestIndex) -> DataFrame:
     adds nothing.  Rows are counted per task before they move, so a text with very many copies
     costs one row a task.  A null id is smaller than any other.
     """
-    groups = digests(documents).groupBy("digest").agg(
+    return _add(digests(documents), index)
+
+
+def _add(rows: DataFrame, index: DigestIndex) -> DataFrame:
+    groups = rows.groupBy("digest").agg(
         F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")
     )
     # dealt as the index is: neither the join nor the bucketed files need another shuffle
@@ -82,8 +86,9 @@ def exact_duplicates(documents: DataFrame, index: DigestIndex) -> DataFrame:
     are all marked kept (`deduplicated` leaves one of them).  Where all ids of a text are null,
     keep_id is null and its rows are kept.
     """
-    add_documents(documents, index)
-    found = digests(documents).join(index.rows(documents.sparkSession).hint("merge"), "digest")
+    rows = written(digests(documents), "digests")
+    _add(rows, index)
+    found = join_groups(rows, index.rows(documents.sparkSession), "digest", "group_size")
     return found.select(
         "doc_id", "keep_id", "group_size",
         F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"),

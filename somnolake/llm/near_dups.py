@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from somnolake.llm.columnar import (
-    BYTE_CODES, blobs, column, list_array, mix, partitions, prefix_hashes, signed, span_hashes, texts, unsigned, written,
+    BYTE_CODES, blobs, column, join_groups, list_array, mix, partitions, prefix_hashes, signed, span_hashes, texts, unsigned, written,
 )
 from somnolake.llm.components import components
 
@@ -271,8 +271,10 @@ def near_duplicate_classes(documents: DataFrame, rules: NearDupRules = NearDupRu
     """
     rows = written(sketches(documents, rules), "sketches")
     known = rows.where("digest is not null and doc_id is not null")
-    classes = known.groupBy("digest").agg(F.min("doc_id").alias("class_id"))
-    lone = known.join(classes, "digest").where("doc_id = class_id").dropDuplicates(["doc_id", "digest"])
+    classes = known.groupBy("digest").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies"))
+    classes = written(classes, "classes")
+    firsts = classes.select("digest", F.col("class_id").alias("doc_id"))
+    lone = known.join(firsts, ["digest", "doc_id"], "left_semi").dropDuplicates(["digest", "doc_id"])
     banded = lone.select("doc_id", "digest", F.posexplode("bands").alias("band", "key"))
     shared = banded.groupBy("band", "key").agg(F.count("*").alias("members")).where("members > 1")
     hits = _blocks(banded.join(shared, ["band", "key"]), rules)
@@ -330,15 +332,17 @@ def near_duplicate_classes(documents: DataFrame, rules: NearDupRules = NearDupRu
 
     links = members.mapInArrow(confirmed, "x long, y long")
     # a repeated id may stand for several sets: its classes are one
-    same = known.join(classes, "digest").where("doc_id != class_id")
-    repeated = same.groupBy("doc_id").agg(F.countDistinct("class_id").alias("k"), F.min("class_id").alias("m"))
-    bridges = same.join(repeated.where("k > 1"), "doc_id").select(F.col("class_id").alias("x"), F.col("m").alias("y"))
+    several = known.groupBy("doc_id").agg(F.countDistinct("digest").alias("k")).where("k > 1").select("doc_id")
+    same = known.join(several, "doc_id", "left_semi").select("doc_id", "digest").distinct().join(classes, "digest")
+    bridges = same.groupBy("doc_id").agg(F.min("class_id").alias("m")).join(same, "doc_id").select(
+        F.col("class_id").alias("x"), F.col("m").alias("y")
+    )
     joined = components(links.union(bridges), "x", "y")
     of_class = (
         classes.join(joined, classes.class_id == joined.id, "left")
-        .select("digest", F.coalesce("component_id", "class_id").alias("component_id"))
+        .select("digest", F.coalesce("component_id", "class_id").alias("component_id"), "copies")
     )
-    found = rows.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")
+    found = join_groups(rows.select("doc_id", "n_shingles", "digest"), written(of_class, "components"), "digest", "copies")
     alone = F.col("digest").isNull() | F.col("doc_id").isNull()
     component = F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))
     return found.select(
