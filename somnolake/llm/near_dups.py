@@ -75,10 +75,10 @@ def shingle_sets(data: np.ndarray, starts: np.ndarray, size: int):
         if b - a >= size:
             own = np.unique(total[a:b - size + 1])
         elif b > a:
-            value = words[a]
-            for word in words[a + 1:b]:
-                value = mix(np.array([value]))[0] + word
-            own = np.array([value + np.uint64(b - a)], np.uint64)
+            own = words[a:a + 1]
+            for at in range(a + 1, b):
+                own = mix(own) + words[at:at + 1]
+            own = own + np.uint64(b - a)
         else:
             continue
         found.append(own)

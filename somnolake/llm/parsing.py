@@ -136,7 +136,7 @@ def fingerprints(values: list[str]) -> np.ndarray:
                 open_ = full == _EMPTY_SLOT
                 if not open_.any():
                     break
-                take = np.roll(sparse, -step, axis=1) + np.uint64(step) * np.uint64(0x9E3779B97F4A7C15)
+                take = mix(np.roll(sparse, -step, axis=1) + np.uint64(step << 32))
                 full = np.where(open_ & np.roll(has, -step, axis=1), take, full)
             table[wanting] = full
         slots = (mix(table) & np.uint64(0xFFFF)).astype(np.uint16)
