@@ -17,6 +17,7 @@ from somnolake.llm.columnar import column, mix, offsets, pieces, prefix_hashes,
 from somnolake.llm.encode_cache import EncodeCache
 
 PIECE_CHARS = 1 << 19
+CACHED_PIECES = 600_000
 _LETTER, _NUMBER, _SPACE, _OTHER = range(4)
 _NOT_YET = 255
 
@@ -64,7 +65,7 @@ class ByteBpe:
                 if (start := by_bytes.get(token[:size])) is not None:
                     self.shorter[rank] = start
                     break
-        self.compatible = lru_cache(maxsize=1 << 20)(self._compatible)
+        self.compatible = lru_cache(maxsize=1 << 16)(self._compatible)
 
     def _merge(self, token: bytes, below: int) -> tuple[int, ...]:
         """Plain merging with the pairs of lower rank; for the few bytes of a token."""
@@ -193,7 +194,7 @@ def _worker(key: str, ranks: dict[bytes, int]):
         digits = [b"%d," % i for i in range(size)]
         tokens = [bpe.bytes_of.get(i, b"") for i in range(size)]
         flat = lambda rows: (np.frombuffer(b"".join(rows), np.uint8), offsets(np.fromiter(map(len, rows), np.int64, size)))
-        _workers[key] = bpe, Splitter(), EncodeCache(), flat(digits), flat(tokens)
+        _workers[key] = bpe, Splitter(), EncodeCache(CACHED_PIECES), flat(digits), flat(tokens)
     return _workers[key]
 
 

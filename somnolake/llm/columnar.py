@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 _powers = {"forth": np.ones(1, np.uint64), "back": np.ones(1, np.uint64)}

@@ -253,14 +253,11 @@ def keep_good(documents: DataFrame, labels: DataFrame, threshold: float = 0.3, f
     stats = document_statistics(documents.select("doc_id", "text")).join(known, "doc_id", "left_semi")
     sent = documents.sparkSession.sparkContext.broadcast(fit_quality(stats, learned))
 
-    @F.pandas_udf("double")
-    def score(values):
-        array = pa.array(values, pa.string(), from_pandas=True)
-        batch = pa.RecordBatch.from_arrays([array], ["text"])
-        import pandas as pd
-
+    @F.arrow_udf("double")
+    def score(values: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([values], ["text"])
         parts = [sent.value.score(statistics(data, starts)) for _, _, data, starts in texts(batch)]
-        return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     return documents.where(score(F.coalesce("text", F.lit(""))) >= threshold)
 
