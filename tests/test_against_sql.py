@@ -6,8 +6,8 @@ import pytest
 from compare import connect, difference
 
 import __spark_entry__ as driver
-
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+from somnolake.checks.oracles import ORACLES as SQL
+from somnolake.checks.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
