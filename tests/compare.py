@@ -40,7 +40,7 @@ def rows_of(columns: list[str], rows) -> Counter:
 
 # Spark type -> DuckDB types that hold the same values.
 SAME_TYPES = {
-    "bigint": {"BIGINT"}, "int": {"INTEGER"}, "double": {"DOUBLE"}, "string": {"VARCHAR"},
+    "bigint": {"BIGINT"}, "int": {"INTEGER"}, "boolean": {"BOOLEAN"}, "double": {"DOUBLE"}, "string": {"VARCHAR"},
 }
 
 
