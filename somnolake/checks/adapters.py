@@ -58,9 +58,9 @@ ADAPTERS = {
         "patientid": "cast(o_orderkey AS int)",
         "age": "cast(o_orderkey % 103 AS double)",
         "bmi": tenths("150 + (o_custkey * 7 + o_orderkey) % 250"),
-        "glucose": "cast(70 + o_orderkey % 130 AS double)",
-        "insulin": "cast(o_custkey % 200 AS double) / 4",
-        "blood_pressure": "cast(90 + o_orderkey % 80 AS double)",
+        "glucose": "CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE cast(70 + o_orderkey % 130 AS double) END",
+        "insulin": "CASE WHEN o_custkey % 11 = 0 THEN NULL ELSE cast(o_custkey % 200 AS double) / 4 END",
+        "blood_pressure": "CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE cast(90 + o_orderkey % 80 AS double) END",
         "family_history": flag("o_custkey % 6 = 0"),
         "hypertension": "cast(o_orderkey % 2 AS int)",
         "sleep_apnea": flag("o_orderkey % 3 = 0"),
@@ -186,14 +186,14 @@ ADAPTERS = {
         "bman": "cast(p_partkey % 25 AS int)",
         "bman2": "cast(p_partkey % 12 AS int)",
     }),
-    # nine in ten areas, so that the inner join drops some
+    # one area in ten is unknown to the other table, so that the inner join drops some
     "b_aggh": Adapter("part", {
-        "ct": "cast(p_partkey AS int)",
+        "ct": "cast(CASE WHEN p_partkey % 10 = 0 THEN -p_partkey ELSE p_partkey END AS int)",
         "btpad": "cast((p_size - 1) % 7 AS int)",
         "btpan": "cast(p_partkey % 9 AS int)",
         "btwad": "cast(p_size % 5 AS int)",
         "btwan": "cast(p_partkey % 6 AS int)",
         "btmad": "cast(p_size % 6 AS int)",
         "btman": "cast(p_partkey % 5 AS int)",
-    }, where="p_partkey % 10 <> 0"),
+    }),
 }

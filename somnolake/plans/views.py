@@ -22,9 +22,13 @@ HIGH_STRESS = 7
 
 
 def _sums(name: str, value: str, scale: int) -> dict[str, str]:
-    """Aggregates: sum of units and of squared units; squares of 8 digits fit 64 bits."""
-    amount = units(value, scale)
-    return {f"{name}__sum": sum_units(value, scale), f"{name}__sq": f"sum({amount} * {amount})"}
+    """Aggregates: number of values, sum of units, and sum of squared units, which outgrow 64 bits."""
+    amount = f"CAST({units(value, scale)} AS decimal(18,0))"
+    return {
+        f"{name}__n": f"count({value})",
+        f"{name}__sum": sum_units(value, scale),
+        f"{name}__sq": f"coalesce(sum({amount} * {amount}), 0)",
+    }
 
 
 def risk_factor_correlation(
@@ -33,9 +37,9 @@ def risk_factor_correlation(
     """Pearson correlation of each outcome flag with each measure over the fact rows.
 
     Uses whole-number moments, so the result does not depend on the order of rows, and
-    takes them from the fact's inputs without the fan-out.  Rows lacking a measure are
-    left out by the fact's imputation, which leaves none missing.  NULL where a side
-    does not vary.
+    takes them from the fact's inputs without the fan-out.  Each pair is over the rows that
+    have both, as the fact fills only the joined tables' measures; ``n`` counts all rows.
+    NULL where a side does not vary.
     """
     defaults = (
         gold.mean_defaults(apnea, "sleep_apnea_core"),
@@ -53,6 +57,7 @@ def risk_factor_correlation(
             fill = gold.typed_default(table, name)
             each = _sums(name, f"coalesce({name}, {fill})", scale)
             alone = units(fill, scale)
+            sums[f"{name}__n"] = (each[f"{name}__n"], f"CAST({fill} IS NOT NULL AS bigint)")
             sums[f"{name}__sum"] = (each[f"{name}__sum"], alone)
             sums[f"{name}__sq"] = (each[f"{name}__sq"], f"{alone} * {alone}")
         measures.update(columns)
@@ -63,24 +68,28 @@ def risk_factor_correlation(
     # Grouped by the flags, a flag is constant in a group and its product sums follow.
     rolled = fanout_rollup(link, gold.KEY, list(OUTCOMES), base, attached, count_as="n")
 
-    totals = {"n": "sum(CAST(n AS double))"}
-    for name in measures:
-        totals[f"{name}__y"] = f"sum(CAST({name}__sum AS double))"
-        totals[f"{name}__yy"] = f"sum(CAST({name}__sq AS double))"
+    totals = {"n": "sum(n)"}
     for outcome in OUTCOMES:
-        totals[f"{outcome}__x"] = f"sum({outcome} * CAST(n AS double))"
         for name in measures:
-            totals[f"{outcome}__{name}"] = f"sum({outcome} * CAST({name}__sum AS double))"
+            count, total, square = (f"CAST({name}__{part} AS double)" for part in ("n", "sum", "sq"))
+            pair = f"{outcome}__{name}"
+            totals |= {
+                f"{pair}__x": f"sum({outcome} * {count})",
+                f"{pair}__xy": f"sum({outcome} * {total})",
+                f"{pair}__n": f"sum(IF({outcome} IS NULL, 0, {count}))",
+                f"{pair}__y": f"sum(IF({outcome} IS NULL, 0, {total}))",
+                f"{pair}__yy": f"sum(IF({outcome} IS NULL, 0, {square}))",
+            }
     one_row = rolled.agg(*(F.expr(value).alias(name) for name, value in totals.items()))
     lines = []
     for outcome in OUTCOMES:
         for name in measures:
-            sx, sy, syy, sxy = (
-                f"{outcome}__x", f"{name}__y", f"{name}__yy", f"{outcome}__{name}"
+            n, sx, sy, syy, sxy = (
+                f"{outcome}__{name}__{part}" for part in ("n", "x", "y", "yy", "xy")
             )
             # x is 0 or 1, so the sum of its squares is its sum
-            spread = f"(n * {sx} - {sx} * {sx}) * (n * {syy} - {sy} * {sy})"
-            value = f"round(try_divide(n * {sxy} - {sx} * {sy}, sqrt({spread})), 6)"
+            spread = f"({n} * {sx} - {sx} * {sx}) * ({n} * {syy} - {sy} * {sy})"
+            value = f"round(try_divide({n} * {sxy} - {sx} * {sy}, sqrt({spread})), 6)"
             lines.append(
                 f"struct('{outcome}' AS outcome, '{name}' AS measure, "
                 f"CAST(n AS bigint) AS n, {value} AS correlation)"
