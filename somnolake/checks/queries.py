@@ -15,7 +15,7 @@ from somnolake.config import scratch_path
 from somnolake.functions import keys, numeric, text
 from somnolake.operators import impute, quality, rollups
 from somnolake.operators.identity import dense_id
-from somnolake.operators.joins import grid_lookup, hot_keys, skew_left_join
+from somnolake.operators.joins import grid_lookup, joined_key_rows, key_rows, skew_left_join
 from somnolake.operators.windows import first_row_per, latest_row_per
 from somnolake.plans import gold, silver, views
 from somnolake.plans.runlog import RunLog
@@ -547,9 +547,11 @@ def join_left_fanout(t: Inputs) -> DataFrame:
         "patient_key", C("record_id").alias("detailed_id"), "cholesterol_total"
     )
     apnea = t.apnea.select("patient_key", C("record_id").alias("apnea_id"), "neck_circumference")
-    hot = hot_keys(people, ["patient_key"])
-    rows = skew_left_join(people, detailed, ["patient_key"], C("_row"), C("detailed_id"), hot)
-    rows = skew_left_join(rows, apnea, ["patient_key"], C("_row"), C("apnea_id"), hot)
+    key = ["patient_key"]
+    held = key_rows(t.prediction, key)
+    rows = skew_left_join(people, detailed, key, C("_row"), C("detailed_id"), held)
+    held = joined_key_rows(held, key_rows(detailed, key), key)
+    rows = skew_left_join(rows, apnea, key, C("_row"), C("apnea_id"), held)
     return rows.drop("_row")
 
 

@@ -7,40 +7,59 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Row, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+
+# Row counts of a fan-out outgrow 64 bits.
+_BIG = "decimal(38,0)"
 
 
 @dataclass(frozen=True)
 class Skew:
-    """When a key counts as hot: it has more rows than one task should get.
+    """When a key counts as hot: it has more than 1 / target_tasks of all the work of a join.
 
-    The hot keys of a side are its ``max_hot`` commonest keys, as far as they hold more
-    than ``piece_rows`` rows.  Any key with more than 1 / max_hot of a side is among them,
-    and the list never grows with the data.  A hot key is cut into pieces of about
-    ``piece_rows`` rows.
+    A key's work is its output rows.  So fewer than ``target_tasks`` keys are hot, whatever
+    the data, and a hot key is cut into pieces of about 1 / target_tasks of the work.
     """
 
-    max_hot: int = 1000
-    piece_rows: int = 1_000_000
+    target_tasks: int = 1000
 
 
-def hot_keys(side: DataFrame, keys: Sequence[str], skew: Skew = Skew()) -> list[Row]:
-    """The hot keys of one side, each with its number of ``pieces``.
+def key_rows(side: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of each key, counted before they move."""
+    return side.groupBy(*keys).agg(F.count(F.lit(1)).cast(_BIG).alias("_rows"))
 
-    A table of no more than ``piece_rows`` rows has none, which its row count alone tells;
-    Parquet keeps that in the footers.
-    """
-    if side.count() <= skew.piece_rows:
-        return []
-    pieces = F.ceil(F.col("_n") / F.lit(skew.piece_rows)).cast("int")
+
+def joined_key_rows(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of each key after a left join, from the ``key_rows`` of its sides."""
+    each = F.coalesce(F.col("_right_rows"), F.lit(1))
+    both = left.join(right.withColumnRenamed("_rows", "_right_rows"), list(keys), "left")
+    return both.select(*keys, (F.col("_rows") * each).cast(_BIG).alias("_rows"))
+
+
+def _hot_keys(
+    left_rows: DataFrame, right_rows: DataFrame | None, keys: list[str], skew: Skew
+) -> DataFrame:
+    """The hot keys, and into how many pieces each side's rows of the key are dealt."""
+    one = F.lit(1).cast(_BIG)
+    if right_rows is None:
+        sides = left_rows.withColumn("_r", one)
+    else:
+        sides = left_rows.join(right_rows.withColumnRenamed("_rows", "_r"), keys, "full")
+    sides = sides.select(
+        *keys, F.coalesce("_rows", one).alias("_l"), F.coalesce("_r", one).alias("_r")
+    )
+    work = sides.withColumn("_work", (F.col("_l") * F.col("_r")).cast(_BIG))
+    total = work.agg(F.sum("_work")).scalar()
+    pieces = F.ceil(F.col("_work").cast("double") * skew.target_tasks / total.cast("double"))
+    # as near to squares of left and right rows as the pieces allow
+    square = F.ceil(F.sqrt(F.col("_pieces") * F.col("_l").cast("double") / F.col("_r").cast("double")))
     return (
-        side.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > skew.piece_rows)
-        .orderBy(F.desc("_n"))
-        .limit(skew.max_hot)
-        .select(*keys, pieces.alias("pieces"))
-        .collect()
+        work.where(F.col("_work").cast("double") * skew.target_tasks > total.cast("double"))
+        .withColumn("_pieces", pieces.cast("int"))
+        .withColumn("_lcut", F.least("_l", "_pieces", F.greatest(square, F.lit(1))).cast("int"))
+        .withColumn("_rcut", F.least("_r", F.ceil(F.col("_pieces") / F.col("_lcut"))).cast("int"))
+        .select(*keys, "_lcut", "_rcut")
     )
 
 
@@ -50,32 +69,20 @@ def skew_left_join(
     keys: Sequence[str],
     left_id: Column,
     right_id: Column | None = None,
-    left_hot: list[Row] | None = None,
+    left_rows: DataFrame | None = None,
     skew: Skew = Skew(),
 ) -> DataFrame:
     """``left LEFT JOIN right USING (keys)``, with hot keys cut into pieces.
 
-    ``left_hot`` gives the hot left keys where they are known, or known well enough from
-    a table that is cheaper to scan.  ``right_id=None`` states that ``keys`` are unique
-    on the right, where no key can be hot.  Without hot keys this is a plain join;
-    Spark broadcasts the right side if its size allows.
+    ``left_rows`` gives the ``key_rows`` of the left side where they follow from a table that
+    is cheaper to scan, as after an earlier join.  ``right_id=None`` states that ``keys`` are
+    unique on the right.  The plan is the same at every size and runs nothing by itself.
     """
     keys = list(keys)
-    if left_hot is None:
-        left_hot = hot_keys(left, keys, skew)
-    right_hot = [] if right_id is None else hot_keys(right, keys, skew)
-    if not left_hot and not right_hot:
-        return left.join(right, keys, "left")
-    pieces: dict[tuple, list[int]] = {}
-    for side, rows in enumerate((left_hot, right_hot)):
-        for *key, number in rows:
-            pieces.setdefault(tuple(key), [1, 1])[side] = number
-    no_key_pieces = max((cut[0] for key, cut in pieces.items() if None in key), default=1)
-    kinds = ", ".join(f"{name} {left.schema[name].dataType.simpleString()}" for name in keys)
-    hot = left.sparkSession.createDataFrame(
-        [(*key, *cut) for key, cut in pieces.items()], f"{kinds}, _lcut int, _rcut int"
-    )
-    return _pieced_left_join(left, right, keys, left_id, right_id, hot, no_key_pieces)
+    left_rows = key_rows(left, keys) if left_rows is None else left_rows
+    right_rows = None if right_id is None else key_rows(right, keys)
+    hot = _hot_keys(left_rows, right_rows, keys, skew)
+    return _pieced_left_join(left, right, keys, left_id, right_id, hot, skew.target_tasks)
 
 
 def _pieced_left_join(

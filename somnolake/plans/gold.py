@@ -8,7 +8,7 @@ from pyspark.sql.types import VarcharType
 from somnolake import schemas
 from somnolake.functions import keys, numeric, text
 from somnolake.operators.impute import mean_default, mode_default, scalars_of
-from somnolake.operators.joins import Skew, grid_lookup, hot_keys, skew_left_join
+from somnolake.operators.joins import Skew, grid_lookup, joined_key_rows, key_rows, skew_left_join
 from somnolake.operators.rollups import (
     Attached,
     Banded,
@@ -225,15 +225,16 @@ def fact_patient_health_snapshot(
     )
     profile = ["_age", "gender", "_bmi"]
     rows = skew_left_join(
-        rows, detail, profile, link_id, left_hot=hot_keys(located, profile, skew), skew=skew
+        rows, detail, profile, link_id, left_rows=key_rows(located, profile), skew=skew
     )
-    link_hot = hot_keys(link, [KEY], skew)
+    link_rows = key_rows(link, [KEY])
     for side, table in (
         (apnea, "sleep_apnea_core"), (breathing, "sleep_disordered_breathing")
     ):
         rows = skew_left_join(
-            rows, matches(side, table, KEY, *rid), [KEY], link_id, right_id, link_hot, skew
+            rows, matches(side, table, KEY, *rid), [KEY], link_id, right_id, link_rows, skew
         ).drop("_rid")
+        link_rows = joined_key_rows(link_rows, key_rows(side, [KEY]), [KEY])
 
     # A row without a match takes all the defaults of that table.
     rows = rows.withColumns({

@@ -249,7 +249,7 @@ def test_skewed_fact_equals_plain_fact(spark, small):
     inputs[2] = inputs[2].withColumn("patient_key", hot)
     dims = gold.dim_age_band(spark), gold.dim_bmi_category(spark)
     plain = gold.fact_patient_health_snapshot(*inputs, *dims)
-    salted = gold.fact_patient_health_snapshot(*inputs, *dims, skew=Skew(piece_rows=3))
+    salted = gold.fact_patient_health_snapshot(*inputs, *dims, skew=Skew(target_tasks=50))
     assert Counter(map(tuple, plain.collect())) == Counter(map(tuple, salted.collect()))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from somnolake.operators import impute, quality
 from somnolake.operators.identity import dense_id
-from somnolake.operators.joins import Skew, grid_lookup, hot_keys, skew_left_join
+from somnolake.operators.joins import Skew, grid_lookup, joined_key_rows, key_rows, skew_left_join
 from somnolake.operators.rollups import Attached, fanout_rollup, sum_units
 from somnolake.operators.windows import first_row_per, latest_row_per
 from somnolake.plans import gold
@@ -42,7 +42,7 @@ def brute_left_join(left, right):
 def test_pieced_join_equals_left_join(spark, left, right):
     l, r = frame(spark, left, "x"), frame(spark, right, "y")
     joined = skew_left_join(
-        l, r, ["k"], F.col("id_x"), F.col("id_y"), skew=Skew(piece_rows=3)
+        l, r, ["k"], F.col("id_x"), F.col("id_y"), skew=Skew(target_tasks=9)
     ).select("k", "x", "y")
     assert Counter(map(tuple, joined.collect())) == brute_left_join(left, right)
 
@@ -51,7 +51,7 @@ def test_pieced_join_equals_left_join(spark, left, right):
 @given(SIDE, st.dictionaries(st.sampled_from(["hot", "a", "b", "d"]), st.integers(0, 9)))
 def test_pieced_join_with_unique_right_side(spark, left, right):
     l, r = frame(spark, left, "x"), frame(spark, list(right.items()), "y").drop("id_y")
-    joined = skew_left_join(l, r, ["k"], F.col("id_x"), skew=Skew(piece_rows=2))
+    joined = skew_left_join(l, r, ["k"], F.col("id_x"), skew=Skew(target_tasks=9))
     got = Counter(map(tuple, joined.select("k", "x", "y").collect()))
     assert got == brute_left_join(left, list(right.items()))
 
@@ -59,19 +59,35 @@ def test_pieced_join_with_unique_right_side(spark, left, right):
 def test_pieced_join_spreads_a_hot_key(spark):
     l = spark.range(4000).selectExpr("id", "if(id % 3 = 0, 'hot', cast(id AS string)) AS k")
     r = spark.range(300).selectExpr("id AS rid", "if(id % 3 = 0, 'hot', cast(id AS string)) AS k")
-    skew = Skew(piece_rows=40)
+    skew = Skew(target_tasks=40)
     joined = skew_left_join(l, r, ["k"], F.col("id"), F.col("rid"), skew=skew)
     plain = l.join(r, "k", "left")
     assert joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty()
     assert joined.columns == plain.columns
 
 
-def test_hot_keys_are_bounded(spark):
-    rows = spark.range(1000).selectExpr("id % 100 AS k")
-    few = hot_keys(rows, ["k"], Skew(max_hot=7, piece_rows=4))
-    assert len(few) == 7 and {r["pieces"] for r in few} == {3}
-    assert hot_keys(rows, ["k"], Skew(piece_rows=10)) == []
-    assert hot_keys(rows, ["k"], Skew(piece_rows=1000)) == []
+def test_chained_joins_spread_a_key_hot_on_all_sides(spark):
+    """Nine tenths of three tables of 60 rows are one key: 157,464 of the joined rows."""
+    def side(name):
+        key = f"if(id % 10 > 0, 'hot', concat(id, '{name}')) AS k"
+        return spark.range(60).selectExpr(f"id AS {name}", key)
+
+    a, b, c = side("a"), side("b"), side("c")
+    spark.sparkContext.setJobGroup("building", "")
+    rows = skew_left_join(a, b, ["k"], F.col("a"), F.col("b"), skew=Skew(target_tasks=64))
+    held = joined_key_rows(key_rows(a, ["k"]), key_rows(b, ["k"]), ["k"])
+    both = F.struct("a", "b")
+    rows = skew_left_join(rows, c, ["k"], both, F.col("c"), held, Skew(target_tasks=64))
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    spark.sparkContext.setJobGroup("other", "")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = rows.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    total = sum(r["count"] for r in sizes)
+    assert total == 54**3 + 6
+    assert max(r["count"] for r in sizes) <= 4 * total / 8
 
 
 @FEW
