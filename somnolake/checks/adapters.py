@@ -42,14 +42,15 @@ def tenths(whole: str) -> str:
 ADAPTERS = {
     "b_sleep_apnea": Adapter("customer", {
         "age": "cast(18 + c_custkey % 70 AS double)",
-        "bmi": tenths("150 + (c_custkey * 13) % 250"),
+        # few distinct profiles, so that keys repeat
+        "bmi": tenths("150 + c_custkey % 25 * 10"),
         "diabetes": flag("c_custkey % 3 = 0"),
         "hypertension": flag("c_custkey % 4 = 0"),
         "gender_male": "cast(c_custkey % 2 AS int)",
-        "neck_circumference": tenths("300 + c_custkey % 150"),
+        "neck_circumference": "CASE WHEN c_custkey % 9 = 4 THEN NULL ELSE cast(300 + c_custkey % 150 AS double) / 10 END",
         "smoking": flag("c_custkey % 5 = 0"),
         "alcohol_use": flag("c_custkey % 7 = 0"),
-        "snoring": "cast(c_nationkey % 2 AS int)",
+        "snoring": "CASE WHEN c_custkey % 8 = 0 THEN NULL ELSE cast(c_nationkey % 2 AS int) END",
         "fatigue": flag("c_nationkey % 3 = 0"),
         "sleep_apnea": flag("c_acctbal < 0"),
         "record_id": "c_custkey + 1",
@@ -63,10 +64,11 @@ ADAPTERS = {
         "blood_pressure": "CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE cast(90 + o_orderkey % 80 AS double) END",
         "family_history": flag("o_custkey % 6 = 0"),
         "hypertension": "cast(o_orderkey % 2 AS int)",
-        "sleep_apnea": flag("o_orderkey % 3 = 0"),
+        "sleep_apnea": "CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE cast(o_orderkey % 3 = 0 AS int) END",
         "smoking": flag("o_orderkey % 5 = 0"),
         "gender_male": "cast(o_custkey % 2 AS int)",
-        "diabetes": flag("o_custkey % 4 = 0"),
+        # nothing is known of the youngest band
+        "diabetes": "CASE WHEN o_orderkey % 103 < 18 THEN NULL ELSE cast(o_custkey % 4 = 0 AS int) END",
         "record_id": "o_orderkey + 1",
     }),
     "b_prediction": Adapter("lineitem", {
@@ -135,10 +137,10 @@ ADAPTERS = {
     "b_sdb": Adapter("supplier", {
         "age": "cast(18 + s_suppkey % 70 AS int)",
         "gender": "CASE WHEN s_suppkey % 2 = 1 THEN 'Male' ELSE 'Female' END",
-        "bmi": tenths("150 + (s_suppkey * 13) % 250"),
+        "bmi": tenths("150 + s_suppkey % 5 * 10"),
         "snoring": "CASE WHEN s_suppkey % 3 = 0 THEN 'Yes' ELSE 'No' END",
-        "oxygen_saturation": tenths("850 + s_suppkey % 140"),
-        "apnea_hypopnea_index_ahi": "cast(s_suppkey % 60 AS int)",
+        "oxygen_saturation": "CASE WHEN s_suppkey % 7 = 0 THEN NULL ELSE cast(850 + s_suppkey % 140 AS double) / 10 END",
+        "apnea_hypopnea_index_ahi": "CASE WHEN s_suppkey % 11 = 0 THEN NULL ELSE cast(s_suppkey % 60 AS int) END",
         "nasal_airflow_flow_rate": "cast(s_suppkey % 50 AS double) / 100",
         "chest_movement_effort": "cast(s_suppkey % 90 AS double) / 100",
         "ecg_heart_rate": "cast(60 + s_suppkey % 40 AS int)",

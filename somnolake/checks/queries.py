@@ -3,21 +3,22 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DecimalType, ShortType
+from pyspark.sql.types import DataType, DecimalType, ShortType
 
 from somnolake import schemas
 from somnolake.checks.adapters import ADAPTERS
-from somnolake.config import scratch_path
+from somnolake.config import WarehouseConfig, scratch_path
 from somnolake.functions import keys, numeric, text
 from somnolake.operators import impute, quality, rollups
 from somnolake.operators.identity import dense_id
 from somnolake.operators.joins import grid_lookup, joined_key_rows, key_rows, skew_left_join
 from somnolake.operators.windows import first_row_per, latest_row_per
-from somnolake.plans import gold, silver, views
+from somnolake.plans import gold, jobs, silver, views
 from somnolake.plans.runlog import RunLog
 from somnolake.sources import tables
 from somnolake.sources.csv import SOURCE_STYLES, read_csv
@@ -76,11 +77,14 @@ class Inputs:
 
 
 def plain(rows: DataFrame) -> DataFrame:
-    """Decimals as DOUBLE and SMALLINT as INT, as two engines can compare them."""
-    swaps = {DecimalType: "double", ShortType: "int"}
+    """Decimals as DOUBLE, counts as BIGINT and SMALLINT as INT, as two engines can compare them."""
+    def swap(kind: DataType) -> str | None:
+        if kind == schemas.COUNT:
+            return "bigint"
+        return {DecimalType: "double", ShortType: "int"}.get(type(kind))
+
     return rows.selectExpr(*(
-        f"CAST({f.name} AS {swaps[type(f.dataType)]}) AS {f.name}" if type(f.dataType) in swaps
-        else f.name
+        f"CAST({f.name} AS {swap(f.dataType)}) AS {f.name}" if swap(f.dataType) else f.name
         for f in rows.schema
     ))
 
@@ -135,10 +139,9 @@ def src_csv_keepnulls(t: Inputs) -> DataFrame:
 @query
 def sink_full_refresh(t: Inputs) -> DataFrame:
     """Loading twice leaves one copy, also when the second load reads the first."""
-    folder = scratch_path(t.spark, "refresh")
-    first = tables.write_refresh(t.lifestyle, folder)
-    second = tables.write_refresh(t.spark.read.parquet(first), folder)
-    return t.spark.read.parquet(second)
+    folder, table = scratch_path(t.spark, "refresh"), f"refresh_{uuid.uuid4().hex}"
+    first = tables.full_refresh(t.spark, t.lifestyle, table, folder)
+    return tables.full_refresh(t.spark, first, table, folder)
 
 
 CONFORM_TARGET = schemas.table(
@@ -198,6 +201,68 @@ def job_run_log(t: Inputs) -> DataFrame:
     return t.spark.read.parquet(f"{root}/run_log").select("layer", "step", "rows", "status")
 
 
+# Raw extract -> adapter that stands in for it.
+STAND_INS = {
+    "diabetes_data": "b_diabetes",
+    "diabetes_dataset_10k": "b_link",
+    "diabetes_prediction": "b_prediction",
+    "enhanced_sleep_sdb": "b_sdb",
+    "sleep_apnea_dataset": "b_sleep_apnea",
+    "diabetes_all_2016": "b_agg",
+    "diabetes_hypertension_2016": "b_aggh",
+    "hypertension_risk": "b_hyp",
+    "sleep_data_sampled": "b_shl",
+    "sleep_health_lifestyle": "b_shl",
+}
+
+
+def write_extracts(spark: SparkSession, folder: str, target: str) -> None:
+    """All ten raw extracts as folders of CSV files, from the test tables in ``folder``."""
+    for name, adapter in STAND_INS.items():
+        rows = ADAPTERS[adapter].rows(spark, folder)
+        columns = [
+            C(f.name) if f.name in rows.columns else F.lit(None).cast("string").alias(f.name)
+            for f in schemas.BRONZE[name]
+        ]
+        writer = rows.select(*columns).write.option("header", True).option("emptyValue", "")
+        for option in ("ignoreLeadingWhiteSpace", "ignoreTrailingWhiteSpace"):
+            writer = writer.option(option, False)
+        writer.csv(f"{target}/{name}.csv")
+
+
+def _jobs(t: Inputs, *layers: Callable[[SparkSession, WarehouseConfig], bool]) -> WarehouseConfig:
+    """Run the load jobs over all ten extracts, in databases of their own."""
+    source = scratch_path(t.spark, "extracts")
+    write_extracts(t.spark, t.folder, source)
+    prefix = f"run_{uuid.uuid4().hex}_"
+    config = WarehouseConfig(source, scratch_path(t.spark, "lake"), prefix=prefix)
+    for layer in layers:
+        layer(t.spark, config)
+    return config
+
+
+@query
+def job_bronze(t: Inputs) -> DataFrame:
+    """The raw load, as the stored link extract shows it."""
+    config = _jobs(t, jobs.run_bronze)
+    return t.spark.table(config.table("bronze", "diabetes_dataset_10k"))
+
+
+@query
+def job_silver(t: Inputs) -> DataFrame:
+    """The raw and the cleansing load, as the stored link table shows them."""
+    config = _jobs(t, jobs.run_bronze, jobs.run_silver)
+    stored = t.spark.table(config.table("silver", "diabetes_sleep_link"))
+    return stored.drop("record_id", tables.STAMP)
+
+
+@query
+def job_gold(t: Inputs) -> DataFrame:
+    """All three loads, as the stored comorbidity mart shows them."""
+    config = _jobs(t, jobs.run_bronze, jobs.run_silver, jobs.run_gold)
+    return t.spark.table(config.table("gold", "mart_comorbidity_by_age")).drop(tables.STAMP)
+
+
 @query
 def dim_age_band(t: Inputs) -> DataFrame:
     """The seeded dimension with the observations that fall in each band."""
@@ -624,8 +689,8 @@ def agg_count(t: Inputs) -> DataFrame:
 @query
 def agg_sum_flag(t: Inputs) -> DataFrame:
     return _banded(t).groupBy("age_band").agg(
-        F.expr(rollups.sum_units("diabetes_flag")).alias("diabetes_count"),
-        F.expr(rollups.sum_units("sleep_apnea_flag")).alias("sleep_apnea_count"),
+        F.sum("diabetes_flag").alias("diabetes_count"),
+        F.sum("sleep_apnea_flag").alias("sleep_apnea_count"),
     )
 
 
@@ -650,7 +715,7 @@ def agg_avg_round(t: Inputs) -> DataFrame:
 @query
 def agg_rate_pct(t: Inputs) -> DataFrame:
     return _banded(t).groupBy("age_band").agg(*(
-        F.expr(rollups.rate_pct(rollups.sum_units(f"{name}_flag"), "count(1)")).alias(
+        F.expr(rollups.rate_pct(f"sum({name}_flag)", "count(1)")).alias(
             f"{name}_rate_pct"
         )
         for name in ("diabetes", "smoking")
@@ -661,7 +726,7 @@ def agg_rate_pct(t: Inputs) -> DataFrame:
 def agg_group_multi(t: Inputs) -> DataFrame:
     return t.prediction.groupBy("gender", "smoking_history", "hypertension_flag").agg(
         F.count(F.lit(1)).alias("total"),
-        F.expr(rollups.sum_units("diabetes_flag")).alias("diabetes_count"),
+        F.sum("diabetes_flag").alias("diabetes_count"),
     )
 
 
@@ -844,13 +909,16 @@ def dq_fk_orphans(t: Inputs) -> DataFrame:
     return quality.orphans(t.table("lineitem"), "l_orderkey", t.table("orders"), "o_orderkey")
 
 
+@query
+def dq_fk_orphans_found(t: Inputs) -> DataFrame:
+    """Parts of order lines that no supplier shares a number with: most of them."""
+    return quality.orphans(t.table("lineitem"), "l_partkey", t.table("supplier"), "s_suppkey")
+
+
 @query
 def dq_join_fanout(t: Inputs) -> DataFrame:
     sides = [t.detailed, t.apnea]
-    audit = quality.fanout_audit(t.prediction, sides, "patient_key")
-    return audit.withColumns({
-        name: C(name).cast("bigint") for name in ("multiplicity", "rows_after")
-    })
+    return quality.fanout_audit(t.prediction, sides, "patient_key")
 
 
 # --- cleansed tables ------------------------------------------------------------------------

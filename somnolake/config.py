@@ -2,30 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
+from somnolake.sources.csv import FREE_TEXT_SOURCES
+
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by the cluster.
-
-    A machine-local folder is made only for a local session that names none, and
-    it is stored in the session so that later calls agree.
-    """
+    """Folder every executor can reach, as named by the cluster, or below its warehouse."""
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="somnolake-")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir") + "/scratch"
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -51,6 +44,15 @@ class WarehouseConfig:
     dedup: bool = False
     # write midpoint keys as "22" rather than "22.0", so that they meet numeric keys
     numeric_midpoint: bool = False
+    # sources read with line breaks inside quotes; each of their files is one task, so
+    # they should come as folders of many files
+    multi_line: Collection[str] = FREE_TEXT_SOURCES
+    # silver tables whose raw rows are taken once where they repeat in every column
+    drop_repeats: Collection[str] = ()
+    # silver table -> column -> closed range; other rows go to "<table>_rejected"
+    ranges: Mapping[str, Mapping[str, tuple[float, float]]] = field(default_factory=dict)
+    # also load "hypertension_imputed", with a mark on each value that the load fills
+    imputed_flags: bool = False
 
     def __post_init__(self) -> None:
         if self.on_error not in ("raise", "stop_quiet"):

@@ -21,14 +21,16 @@ def units(value: str, scale: int = 0) -> str:
     return f"coalesce(CAST({value} * {10**scale} AS bigint), 0L)"
 
 
-def sum_units(value: str, scale: int = 0) -> str:
-    """Aggregate: ``units`` summed.
+def sum_units(value: str, scale: int = 0, digits: int = 8) -> str:
+    """Aggregate: ``units`` summed, 0 for no values.
 
-    A DECIMAL of at most 8 digits is summed as a 64-bit number and scaled afterwards.
+    ``digits`` is the precision of a DECIMAL value; up to 8 of them are summed as a 64-bit
+    number.  Scaled afterwards.
     """
     if scale == 0:
         return f"coalesce(sum({value}), 0L)"
-    return f"coalesce(CAST(sum(CAST({value} AS decimal(8,{scale}))) * {10**scale} AS bigint), 0L)"
+    total = f"sum(CAST({value} AS decimal({digits},{scale})))"
+    return f"coalesce(CAST({total} * {10**scale} AS {_BIG if digits > 8 else 'bigint'}), 0)"
 
 
 def mean_of(total: str, count: str, scale: int, digits: int) -> str:
@@ -89,6 +91,8 @@ def fanout_rollup(
     its per-key sum times the row counts of the others.  Products use DECIMAL(38,0):
     row counts of a fan-out outgrow 64 bits long before the inputs do.
 
+    An amount of the base may be a plain ``sum``: it is NULL where a group has no value.
+
     ``banded`` groups the base by finer columns and derives those of ``group_by`` from the
     grouped rows, of which there are far fewer.
     """

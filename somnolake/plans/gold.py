@@ -141,17 +141,19 @@ def lowest_record_per_key(rows: DataFrame) -> DataFrame:
     return first_row_per(rows, [KEY], ["record_id"])
 
 
-# Link ages are DECIMAL(5,1), so their whole years have at most four digits.
-LARGEST_AGE = 9999
+def largest_age() -> int:
+    """The largest whole number of years that a link row's age can hold."""
+    kind = _kind("diabetes_sleep_link", "age")
+    return 10 ** (kind.precision - kind.scale) - 1
 
 
 def first_lifestyle(lifestyle: DataFrame) -> DataFrame:
     """First record per age and gender.
 
-    Only ages a link row can have are kept, which bounds the result: at most 19,999
-    ages times the three gender labels.
+    Only ages a link row can have are kept, which bounds the result: with four digits at
+    most 19,999 ages times the three gender labels.
     """
-    reachable = lifestyle.where(F.col("age").between(-LARGEST_AGE, LARGEST_AGE))
+    reachable = lifestyle.where(F.col("age").between(-largest_age(), largest_age()))
     return first_row_per(reachable, ["age", "gender"], ["record_id"])
 
 
@@ -413,7 +415,8 @@ def mart_comorbidity_by_age(
     rolled = fanout_rollup(
         years, KEY, ["age_band"],
         {
-            **{count: sum_units(name) for count, name in flags.items()},
+            # a plain SUM: NULL where a group has no value
+            **{count: f"sum({name})" for count, name in flags.items()},
             "all_three_count": f"count_if({all_three})",
             **_base_sums(bmi=1, glucose=2, blood_pressure=0),
         },
@@ -574,8 +577,8 @@ def mart_diabetes_risk_profile(
     rolled = fanout_rollup(
         known, KEY, ["age_band", "gender", "bmi_category"],
         {
-            "diabetes_count": sum_units("diabetes_flag"),
-            "hypertension_count": sum_units("hypertension_flag"),
+            "diabetes_count": "sum(diabetes_flag)",
+            "hypertension_count": "sum(hypertension_flag)",
             **_base_sums(hba1c_level=2, blood_glucose_level=0),
         },
         [_observed(detailed, cholesterol_total=2, cholesterol_ldl=2, cholesterol_hdl=2),

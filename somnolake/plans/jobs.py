@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from somnolake import schemas
 from somnolake.config import WarehouseConfig
 from somnolake.operators.identity import dense_id
+from somnolake.operators.quality import deduplicate, range_split
 from somnolake.plans import gold, silver, views
 from somnolake.plans.runlog import RunLog
 from somnolake.sources.csv import SOURCE_STYLES, read_csv
@@ -49,7 +50,10 @@ def run_bronze(spark: SparkSession, config: WarehouseConfig) -> bool:
     log = _log(spark, config, "bronze")
     for name, schema in schemas.BRONZE.items():
         def load(name=name, schema=schema) -> DataFrame:
-            raw = read_csv(spark, config.source_path(name), schema, SOURCE_STYLES[name])
+            raw = read_csv(
+                spark, config.source_path(name), schema, SOURCE_STYLES[name],
+                multi_line=name in config.multi_line,
+            )
             return conform(raw, schema)
 
         log.step(name, load, _writer(spark, config, "bronze", name))
@@ -58,18 +62,41 @@ def run_bronze(spark: SparkSession, config: WarehouseConfig) -> bool:
 
 
 def run_silver(spark: SparkSession, config: WarehouseConfig) -> bool:
-    """Cleanse every raw table; row ids follow the order of the raw table's files."""
+    """Cleanse every raw table; row ids follow the order of the raw table's files.
+
+    Where ``config`` asks for it, repeated raw rows are dropped first (the lowest id stays)
+    and rows out of range are written to a table of their own, with the columns at fault.
+    """
     create_layers(spark, config)
     log = _log(spark, config, "silver")
     moment = datetime.datetime.now()
     for name, transform in silver.LOADS.items():
         def load(name=name, transform=transform) -> DataFrame:
-            raw = dense_id(spark.table(config.table("bronze", silver.SOURCES[name])))
+            source = spark.table(config.table("bronze", silver.SOURCES[name]))
+            raw = dense_id(source)
+            if name in config.drop_repeats:
+                raw = deduplicate(raw, source.columns, silver.ID)
             if name in ("sleep_lifestyle", "sleep_health_lifestyle"):
                 return stamped(transform(raw, config.numeric_midpoint), moment)
             return stamped(transform(raw), moment)
 
-        log.step(name, load, _writer(spark, config, "silver", name))
+        if name in config.ranges:
+            rules = config.ranges[name]
+            log.step(
+                f"{name}_rejected", lambda: range_split(load(), rules)[1],
+                _writer(spark, config, "silver", f"{name}_rejected"),
+            )
+            log.step(
+                name, lambda: range_split(load(), rules)[0], _writer(spark, config, "silver", name)
+            )
+        else:
+            log.step(name, load, _writer(spark, config, "silver", name))
+    if config.imputed_flags:
+        def marked() -> DataFrame:
+            raw = dense_id(spark.table(config.table("bronze", "hypertension_risk")))
+            return stamped(views.hypertension_with_flags(raw), moment)
+
+        log.step("hypertension_imputed", marked, _writer(spark, config, "silver", "hypertension_imputed"))
     log.finish()
     return not log.stopped
 

@@ -92,7 +92,7 @@ def risk_factor_correlation(
             value = f"round(try_divide({n} * {sxy} - {sx} * {sy}, sqrt({spread})), 6)"
             lines.append(
                 f"struct('{outcome}' AS outcome, '{name}' AS measure, "
-                f"CAST(n AS bigint) AS n, {value} AS correlation)"
+                f"n, {value} AS correlation)"
             )
     return one_row.selectExpr(f"inline(array({', '.join(lines)}))")
 

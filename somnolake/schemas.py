@@ -1,8 +1,8 @@
 """Declared schemas of the 32 tables.
 
 Column names, order, lengths and decimal scales are fixed values: results are
-compared on them.  Two widenings keep the tables usable beyond 2^31 rows: row ids
-and row counts are BIGINT.  Unsigned one-byte columns are SMALLINT, since Spark's
+compared on them.  Two widenings keep the tables usable beyond 2^31 rows: row ids are
+BIGINT, and counts over joined rows, which outgrow 64 bits, DECIMAL(38,0).  Unsigned one-byte columns are SMALLINT, since Spark's
 BYTE is signed.
 """
 
@@ -25,7 +25,7 @@ INT, BIGINT, SMALL, DOUBLE, TEXT = (
     IntegerType(), LongType(), ShortType(), DoubleType(), StringType(),
 )
 TINY = SMALL
-COUNT = BIGINT
+COUNT = DecimalType(38, 0)
 
 
 def dec(precision: int, scale: int) -> DecimalType:

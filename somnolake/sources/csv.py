@@ -39,6 +39,9 @@ SOURCE_STYLES = {
     "sleep_health_lifestyle": "keepnulls",
 }
 
+# Extracts with notes that may hold line breaks inside quotes.
+FREE_TEXT_SOURCES = frozenset({"enhanced_sleep_sdb"})
+
 
 def _readable(schema: StructType) -> StructType:
     return StructType(

@@ -13,6 +13,9 @@ from somnolake.operators.quality import key_report
 
 STAMP = "dwh_create_date"
 
+# A load is written by at most as many tasks, a file each, at any size.
+MAX_FILES = 100_000
+
 
 def _conformed(name: str, kind: DataType, bounded: bool) -> str:
     if not isinstance(kind, VarcharType):
@@ -51,7 +54,7 @@ def write_refresh(rows: DataFrame, folder: str) -> str:
     failed write leaves that version in place.
     """
     path = f"{folder}/v-{uuid.uuid4().hex}"
-    rows.write.mode("errorifexists").parquet(path)
+    rows.coalesce(MAX_FILES).write.mode("errorifexists").parquet(path)
     return path
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from somnolake import schemas
 from somnolake.checks.adapters import ADAPTERS
+from somnolake.checks.queries import write_extracts
 from somnolake.config import WarehouseConfig, shared_folder
 from somnolake.operators.joins import Skew
 from somnolake.operators.quality import key_report, orphans
@@ -21,36 +22,10 @@ from somnolake.plans.runlog import LoadStopped
 from somnolake.sources import tables
 from somnolake.sources.csv import read_csv
 
-STAND_INS = {
-    "diabetes_data": "b_diabetes",
-    "diabetes_dataset_10k": "b_link",
-    "diabetes_prediction": "b_prediction",
-    "enhanced_sleep_sdb": "b_sdb",
-    "sleep_apnea_dataset": "b_sleep_apnea",
-    "diabetes_all_2016": "b_agg",
-    "diabetes_hypertension_2016": "b_aggh",
-    "hypertension_risk": "b_hyp",
-    "sleep_data_sampled": "b_shl",
-    "sleep_health_lifestyle": "b_shl",
-}
-
-
-def write_extracts(spark, folder, target):
-    for name, adapter in STAND_INS.items():
-        rows = ADAPTERS[adapter].rows(spark, folder)
-        columns = [
-            F.col(f.name) if f.name in rows.columns else F.lit(None).cast("string").alias(f.name)
-            for f in schemas.BRONZE[name]
-        ]
-        rows.select(*columns).write.option("header", True).option(
-            "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option(
-            "emptyValue", "").csv(f"{target}/{name}.csv")
-
-
 @pytest.fixture(scope="module")
 def extracts(spark, small, tmp_path_factory):
     target = tmp_path_factory.mktemp("extracts")
-    write_extracts(spark, small, target)
+    write_extracts(spark, small, str(target))
     return target
 
 
@@ -185,6 +160,50 @@ def test_stop_quiet_logs_and_skips_the_rest(spark, extracts, tmp_path):
     status = {r["step"]: r["status"] for r in log.collect()}
     assert status["diabetes_all_2016"] == "failed"
     assert "sleep_health_lifestyle" not in status and status["diabetes_data"] == "ok"
+    failed = log.where("status = 'failed'").first()
+    assert failed["error_class"] == "PATH_NOT_FOUND" and failed["sql_state"] == "42K03"
+
+
+def test_notes_with_line_breaks_pass_the_raw_load(spark, extracts, tmp_path):
+    target = tmp_path / "extracts"
+    shutil.copytree(extracts, target, ignore=shutil.ignore_patterns("enhanced_sleep_sdb.csv"))
+    schema = schemas.BRONZE["enhanced_sleep_sdb"]
+    row = ",".join('"two\nlines"' if f.name == "physician_notes" else "" for f in schema)
+    (target / "enhanced_sleep_sdb.csv").write_text(",".join(schema.names) + "\n" + row + "\n")
+    config = WarehouseConfig(str(target), str(tmp_path / "lake"), prefix="n_")
+    assert jobs.run_bronze(spark, config)
+    stored = spark.table(config.table("bronze", "enhanced_sleep_sdb")).collect()
+    assert [r["physician_notes"] for r in stored] == ["two\nlines"]
+
+
+def test_cleansing_options(spark, loaded, extracts, tmp_path):
+    rules = {"heart_rate": (60, 70)}
+    config = WarehouseConfig(
+        str(extracts), str(tmp_path / "lake"), prefix="c_", imputed_flags=True,
+        drop_repeats=("sleep_health_lifestyle",), ranges={"sleep_health_lifestyle": rules},
+    )
+    assert jobs.run_bronze(spark, config) and jobs.run_silver(spark, config)
+    raw = spark.table(config.table("bronze", "sleep_health_lifestyle"))
+    kept = spark.table(config.table("silver", "sleep_health_lifestyle"))
+    rejected = spark.table(config.table("silver", "sleep_health_lifestyle_rejected"))
+    assert kept.where("heart_rate NOT BETWEEN 60 AND 70").isEmpty()
+    assert {r["broken"] for r in rejected.select("broken").distinct().collect()} == {"heart_rate"}
+    assert kept.count() + rejected.count() == raw.distinct().count()
+    marks = spark.table(config.table("silver", "hypertension_imputed"))
+    assert marks.where("glucose_imputed = 1").count() == marks.where("glucose IS NULL").count() > 0
+
+
+def test_counts_over_joined_rows_outgrow_64_bits(spark, small):
+    def one_key(name, adapter):
+        rows = silver.LOADS[name](ADAPTERS[adapter].rows(spark, small)).limit(1)
+        hot = rows.withColumn("patient_key", F.lit("0123456789ABCDEF"))
+        return spark.range(2_200_000).crossJoin(F.broadcast(hot)).drop("id")
+
+    mart = gold.mart_comorbidity_by_age(
+        one_key("diabetes_sleep_link", "b_link"), one_key("sleep_apnea_core", "b_sleep_apnea"),
+        one_key("sleep_disordered_breathing", "b_sdb"), gold.dim_age_band(spark),
+    )
+    assert [int(r["total_patients"]) for r in mart.collect()] == [2_200_000**3]
 
 
 def test_a_repeated_key_is_not_published(spark, tmp_path):
@@ -298,7 +317,8 @@ def test_plain_style_takes_quotes_as_text(spark, tmp_path):
 def test_shared_folder_comes_from_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     folder = shared_folder(spark)
-    assert folder == (named.rstrip("/") if named else spark.conf.get("spark.checkpoint.dir"))
+    below = spark.conf.get("spark.sql.warehouse.dir") + "/scratch"
+    assert folder == (named.rstrip("/") if named else below)
 
 
 def test_unknown_failure_policy_is_refused():

@@ -121,6 +121,12 @@ def test_rollup_does_not_expand_a_hot_key(spark):
     assert int(rolled["n"]) == int(rolled["x_sum"]) == int(rolled["a"]) == 10_000**3
 
 
+def test_wide_decimals_are_summed_whole(spark):
+    rows = spark.createDataFrame([("123456789012.34",), ("0.01",), (None,)], "x string")
+    total = rows.selectExpr("CAST(x AS decimal(14,2)) AS x").agg(F.expr(sum_units("x", 2, digits=14)).alias("s"))
+    assert int(total.first()["s"]) == 12345678901235
+
+
 def test_dense_ids_follow_files_and_rows(spark, tmp_path):
     path = str(tmp_path / "rows")
     spark.range(0, 1000, 1, 7).selectExpr("id AS v").write.parquet(path)
