@@ -5,6 +5,8 @@ of GRAM bytes, so equal windows have equal anchors.  Consecutive windows of one
 piece, a string of at most LENGTH + MOST_WINDOWS - 1 bytes; pieces are dealt out by anchor, so that
 all equal windows of the corpus meet in one shard, whose suffixes are then sorted.
 
+0. Bytes are counted for each anchor.  Where an anchor has too many for a shard, its pieces are
+   cut into single windows, which are dealt out by their content: equal ones still meet.
 1. Anchors are counted: only those that occur in two documents can hold a repeated window.
 2. Texts, dealt to parts by a hash of the id, are cut into pieces; each part sends each piece with
    such an anchor once, with the least doc_id that has it.
@@ -12,7 +14,8 @@ all equal windows of the corpus meet in one shard, whose suffixes are then sorte
    LENGTH bytes begin with one window; the least doc_id of these goes back to the parts.
 4. The parts cut their texts again and remove the windows that have a smaller doc_id.
 
-What a very common passage costs is one piece a part, not one a document.
+What a very common passage costs is one piece a part, not one a document; its ends, which differ
+from document to document, are hot.
 """
 
 from __future__ import annotations
@@ -27,13 +30,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from somnolake.llm.columnar import (
-    BYTE_CODES, _power, blobs, column, mix, offsets, partitions, pieces, prefix_hashes, ranges, span_hashes, texts,
+    BYTE_CODES, _power, blobs, column, mix, offsets, partitions, pieces, prefix_hashes, ranges, signed, span_hashes, texts,
+    unsigned,
 )
 from somnolake.llm.induced_sort import suffix_order
 
 PIECE_TEXT = 1 << 20
 FLUSH_BYTES = 16 << 20
-SHARDS_A_PARTITION = 4  # a shard is sorted in memory, with about 60 bytes for each of its bytes
+COUNT_BYTES = 32 << 20
+SHARDS_A_PARTITION = 4  # at least; a shard is sorted in memory, with about 60 bytes for each of its bytes
+ANCHORS_A_SHARD = 32  # an anchor with more than this part of a shard's bytes is hot
 MOST_WINDOWS = 64
 
 
@@ -41,19 +47,23 @@ MOST_WINDOWS = 64
 class RepeatRules:
     length: int = 50
     gram: int = 20
+    shard_bytes: int = 8 << 20  # of pieces that a shard has on average, at most
 
 
 class Pieces:
-    """The pieces of a run of texts: begin, number of windows, anchor, owner, and hash of the content."""
+    """The pieces of a run of texts: begin, number of windows, anchor, owner, and hash of the content.
 
-    def __init__(self, data: np.ndarray, starts: np.ndarray, rules: RepeatRules):
+    Pieces of the sorted anchors `hot` are single windows.  Equal windows have equal `deal`.
+    """
+
+    def __init__(self, data: np.ndarray, starts: np.ndarray, rules: RepeatRules, hot: np.ndarray | None = None):
         length, gram = rules.length, rules.gram
         long = np.flatnonzero(np.diff(starts) >= length)
         counts = np.diff(starts)[long] - length + 1
         at = ranges(starts[long], counts)
         if not len(at):
             self.begin = self.windows = self.owner = np.zeros(0, np.int64)
-            self.anchor = self.content = np.zeros(0, np.uint64)
+            self.anchor = self.content = self.deal = np.zeros(0, np.uint64)
             return
         running = prefix_hashes(BYTE_CODES[data])
         low = mix((running[gram:] - running[:-gram]) * _power("back", len(running))[:len(running) - gram])
@@ -69,12 +79,74 @@ class Pieces:
         first = np.flatnonzero(new)
         size = np.diff(np.append(first, len(at)))
         # very long runs (of periodic text) are cut; each window stays in one piece
-        cut = -(-size // MOST_WINDOWS)
-        place = ranges(np.zeros(len(cut), np.int64), cut) * MOST_WINDOWS
-        first, size = np.repeat(first, cut) + place, np.minimum(np.repeat(size, cut) - place, MOST_WINDOWS)
+        single = np.zeros(len(first), bool)
+        if hot is not None and len(hot):
+            single = hot[np.minimum(np.searchsorted(hot, low[first]), len(hot) - 1)] == low[first]
+        most = np.where(single, 1, MOST_WINDOWS)
+        cut = -(-size // most)
+        most, single = np.repeat(most, cut), np.repeat(single, cut)
+        place = ranges(np.zeros(len(cut), np.int64), cut) * most
+        first, size = np.repeat(first, cut) + place, np.minimum(np.repeat(size, cut) - place, most)
         self.begin, self.windows, self.anchor = at[first], size, low[first]
         self.owner = np.searchsorted(starts, self.begin, "right") - 1
         self.content = span_hashes(running, self.begin, self.begin + size + length - 1)
+        self.deal = np.where(single, self.content, self.anchor)
+
+
+def _piece_bytes(documents: DataFrame, rules: RepeatRules) -> DataFrame:
+    """(anchor, bytes, windows): of the distinct pieces of each anchor, and of all pieces with a null anchor.
+
+    Counted in about COUNT_BYTES of a task's texts at a time.  Anchors that have one piece there
+    are left out, so of an anchor one piece for each such stretch of the corpus may be missing.
+    """
+
+    def run(batches):
+        held, size = [], 0
+
+        def flush():
+            anchor, content, lengths = (np.concatenate([h[i] for h in held]) for i in range(3))
+            order = np.lexsort((content, anchor))
+            anchor, content, lengths = anchor[order], content[order], lengths[order]
+            new = np.ones(len(anchor), bool)
+            new[1:] = (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])
+            anchor, lengths = anchor[new], lengths[new]
+            windows = lengths - rules.length + 1
+            new = np.ones(len(anchor), bool)
+            new[1:] = anchor[1:] != anchor[:-1]
+            first = np.flatnonzero(new)
+            several = np.diff(np.append(first, len(anchor))) > 1
+            both = [np.add.reduceat(x, first) if len(first) else x for x in (lengths, windows)]
+            return pa.RecordBatch.from_arrays([
+                pa.array([*signed(anchor[first[several]]).tolist(), None], pa.int64()),
+                *[pa.array(np.append(x[several], x.sum())) for x in both],
+            ], ["anchor", "bytes", "windows"])
+
+        for batch in batches:
+            for _low, _high, data, starts in texts(batch, limit=PIECE_TEXT):
+                found = Pieces(data, starts, rules)
+                held.append((found.anchor, found.content, found.windows + rules.length - 1))
+                size += len(data)
+                if size >= COUNT_BYTES:
+                    yield flush()
+                    held, size = [], 0
+        if held:
+            yield flush()
+
+    return documents.mapInArrow(run, "anchor long, bytes long, windows long")
+
+
+def shard_plan(documents: DataFrame, rules: RepeatRules) -> tuple[int, np.ndarray]:
+    """How many shards there are, and the sorted hot anchors.
+
+    A hot anchor has more than rules.shard_bytes / ANCHORS_A_SHARD bytes; there are fewer than
+    ANCHORS_A_SHARD of them for each rules.shard_bytes of pieces.
+    """
+    counted = _piece_bytes(documents, rules).groupBy("anchor").agg(F.sum("bytes").alias("bytes"), F.sum("windows").alias("windows"))
+    found = counted.where(F.col("anchor").isNull() | (F.col("bytes") * ANCHORS_A_SHARD > rules.shard_bytes)).collect()
+    # the single windows of a hot anchor have more bytes than its pieces
+    total = sum(r["bytes"] if r["anchor"] is None else r["windows"] * rules.length - r["bytes"] for r in found)
+    hot = np.sort(unsigned(np.array([r["anchor"] for r in found if r["anchor"] is not None], np.int64)))
+    return max(SHARDS_A_PARTITION * partitions(documents.sparkSession), -(-total // rules.shard_bytes)), hot
 
 
 def _anchor_rows(documents: DataFrame, rules: RepeatRules, shards: int) -> DataFrame:
@@ -245,7 +317,7 @@ def _by_part(batches, gather):
                 yield now, ids[low:high], absent[low:high], data[own[0]:own[-1]], own - own[0], made
 
 
-def _pieces_to_shards(together: DataFrame, rules: RepeatRules, shards: int) -> DataFrame:
+def _pieces_to_shards(together: DataFrame, rules: RepeatRules, shards: int, hot: np.ndarray) -> DataFrame:
     """(shard, part, ids, lengths, bytes): each part's distinct pieces with a repeated anchor."""
 
     def run(batches):
@@ -275,7 +347,7 @@ def _pieces_to_shards(together: DataFrame, rules: RepeatRules, shards: int) -> D
                 yield flush()
                 held, size = [], 0
             part = now
-            found = Pieces(data, starts, rules)
+            found = Pieces(data, starts, rules, hot)
             if not len(found.begin) or not len(anchors):
                 continue
             short = found.anchor >> np.uint64(24)
@@ -286,7 +358,7 @@ def _pieces_to_shards(together: DataFrame, rules: RepeatRules, shards: int) -> D
             lengths = found.windows[hit] + rules.length - 1
             content = data[ranges(found.begin[hit], lengths)]
             held.append((
-                (found.anchor[hit] % np.uint64(shards)).astype(np.int32), found.content[hit], ids[found.owner[hit]], lengths, content,
+                (found.deal[hit] % np.uint64(shards)).astype(np.int32), found.content[hit], ids[found.owner[hit]], lengths, content,
             ))
             size += len(content) + 32 * len(hit)
         if held:
@@ -372,12 +444,12 @@ def _read_owners(sides: list[bytes]):
     return hashes[order], offsets(counts)[:-1][order], counts[order], ids, sizes
 
 
-def _cut_texts(together: DataFrame, rules: RepeatRules, with_text: bool) -> DataFrame:
+def _cut_texts(together: DataFrame, rules: RepeatRules, hot: np.ndarray, with_text: bool) -> DataFrame:
     def run(batches):
         for _part, ids, absent, data, starts, owners in _by_part(batches, _read_owners):
             hashes, run_at, run_count, run_id, run_size = owners
             gone = np.zeros(len(data) + 1, np.int64)
-            found = Pieces(data, starts, rules)
+            found = Pieces(data, starts, rules, hot)
             if len(hashes) and len(found.begin):
                 at = np.minimum(np.searchsorted(hashes, found.content), len(hashes) - 1)
                 hit = np.flatnonzero(hashes[at] == found.content)
@@ -418,6 +490,12 @@ def _cut_texts(together: DataFrame, rules: RepeatRules, with_text: bool) -> Data
     return together.mapInArrow(run, schema)
 
 
+def _dealt_pieces(rows: DataFrame, packed: DataFrame, rules: RepeatRules, shards: int, hot: np.ndarray) -> DataFrame:
+    parts = partitions(rows.sparkSession)
+    anchors = _repeated_anchors(_anchor_rows(rows.where("doc_id is not null"), rules, parts), parts)
+    return _pieces_to_shards(_with_side(packed, anchors, parts), rules, shards, hot)
+
+
 def remove_repeats(documents: DataFrame, rules: RepeatRules = RepeatRules(), with_text: bool = False) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept]) of every row of `documents`.
 
@@ -428,11 +506,10 @@ def remove_repeats(documents: DataFrame, rules: RepeatRules = RepeatRules(), wit
     characters of several bytes, so it is binary.
     """
     parts = partitions(documents.sparkSession)
-    shards = SHARDS_A_PARTITION * parts
     rows = documents.select(
         F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int").alias("part"), F.col("doc_id").cast("long").alias("doc_id"), "text",
     )
+    shards, hot = shard_plan(rows.where("doc_id is not null"), rules)
     packed = _packed(rows, parts)
-    anchors = _repeated_anchors(_anchor_rows(rows.where("doc_id is not null"), rules, parts), parts)
-    pieces_ = _pieces_to_shards(_with_side(packed, anchors, parts), rules, shards)
-    return _cut_texts(_with_side(packed, _owners(pieces_, rules, parts), parts), rules, with_text)
+    pieces_ = _dealt_pieces(rows, packed, rules, shards, hot)
+    return _cut_texts(_with_side(packed, _owners(pieces_, rules, parts), parts), rules, hot, with_text)

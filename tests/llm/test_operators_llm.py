@@ -11,6 +11,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
+from somnolake.llm import suffix_dedup
 from somnolake.llm.byte_bpe import decode, encode_documents, read_ranks
 from somnolake.llm.components import components
 from somnolake.llm.digest_index import DigestIndex, deduplicated, exact_duplicates
@@ -22,7 +23,7 @@ from somnolake.llm.near_dups import NearDupRules, near_duplicate_classes
 from somnolake.llm.parsing import compare_with_next, fingerprints, likeness
 from somnolake.llm.quality import isotonic, keep_good, quality_scores
 from somnolake.llm.shipping import ship
-from somnolake.llm.suffix_dedup import remove_repeats
+from somnolake.llm.suffix_dedup import RepeatRules, remove_repeats
 from somnolake.llm.token_files import WaveletMatrix, token_documents, write_token_files
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -281,6 +282,29 @@ def test_repeats(docs, empty, spark):
     assert remove_repeats(empty).count() == 0
 
 
+def test_repeats_of_a_hot_anchor(spark, monkeypatch):
+    """A short stretch amid differing text gives one distinct piece a document, all of one anchor."""
+    rng = np.random.default_rng(8)
+
+    def noise():
+        return "".join(rng.choice(list("abcdefghij"), 60))
+
+    texts = [(i, f"{noise()}-- a footer of 35 bytes, no more --{noise()}") for i in range(1200)]
+    texts += [(i + 1200, f"{noise()}{texts[i][1][40:140]}{noise()}") for i in range(20)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    rules, shards = RepeatRules(shard_bytes=1 << 14), {}
+    dealt = suffix_dedup._owners
+
+    def owners(rows, *others):
+        for r in rows.collect():
+            shards[r["shard"]] = shards.get(r["shard"], 0) + int(np.frombuffer(r["lengths"], np.uint16).sum())
+        return dealt(rows, *others)
+
+    monkeypatch.setattr(suffix_dedup, "_owners", owners)
+    assert rows(remove_repeats(frame, rules)) == repeats_by_brute_force(texts, 50)
+    assert 0 < max(shards.values()) < 2 * rules.shard_bytes
+
+
 @pytest.mark.parametrize("budget", [4, 1 << 20])
 def test_induced_sort(budget):
     rng = np.random.default_rng(6)
