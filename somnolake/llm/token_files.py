@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 import numpy as np
 import pyarrow as pa
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from somnolake.llm.columnar import (
-    BYTE_CODES, blobs, column, offsets, partitions, prefix_hashes, shared_path, span_hashes, sums, texts,
+    BYTE_CODES, blobs, column, mix, offsets, partitions, prefix_hashes, shared_path, span_hashes, sums, texts,
 )
 from somnolake.llm.encode_cache import EncodeCache
 
@@ -134,10 +135,12 @@ _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[ord("A"):ord("Z") + 1] += 32
 
 
-def units(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(begin, end) of stretches that the tokenizer encodes alike alone and in their text.
+def units(
+    data: np.ndarray, starts: np.ndarray, added: tuple[np.ndarray, np.ndarray],
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(begin, end, number of the added token or -1) of stretches that are encoded alike alone and in their text.
 
-    White space parts them, and so does a change between plain letters, ASCII digits and other
+    The strings of added tokens, from added[0] to added[1], are stretches of their own.  White space parts them, and so does a change between plain letters, ASCII digits and other
     ASCII characters, where no apostrophe and no character that normalising might join is near.
     """
     kinds = _CLASSES[data]
@@ -151,10 +154,37 @@ def units(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     space = (left == _SPACE) | (right == _SPACE)
     change[1:-1] = (left != right) & (space | ((left != _GLUE) & (right != _GLUE)))
     change[starts] = True
+    added_begin, added_end = added
+    for a, b in zip(added_begin.tolist(), added_end.tolist(), strict=True):
+        change[a + 1:b] = False
+    change[added_begin] = change[added_end] = True
     begin = np.flatnonzero(change[:-1])
     end = np.append(begin[1:], len(data))
-    solid = kinds[begin] != _SPACE
-    return begin[solid], end[solid]
+    number = np.full(len(begin), -1, np.int64)
+    number[np.searchsorted(begin, added_begin)] = np.arange(len(added_begin))
+    solid = (kinds[begin] != _SPACE) | (number >= 0)
+    return begin[solid], end[solid], number[solid]
+
+
+class AddedTokens:
+    """The strings that a tokenizer takes out of the raw text, before it is normalised, and their ids."""
+
+    def __init__(self, tokenizer: Tokenizer):
+        found = tokenizer.get_added_tokens_decoder()
+        if any(t.normalized or t.single_word or t.lstrip or t.rstrip for t in found.values()):
+            raise ValueError("added tokens are matched as they are, in raw text")
+        self.ids = {t.content.encode(): i for i, t in found.items()}
+        longest_first = sorted(self.ids, key=len, reverse=True)
+        self.pattern = re.compile(b"|".join(map(re.escape, longest_first))) if found else None
+
+    def find(self, data: np.ndarray, starts: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], list[int]]:
+        """((begin, end), ids) of all places; none crosses the border of two texts."""
+        places, raw = [], data.tobytes()
+        if self.pattern and self.pattern.search(raw):
+            for a, b in zip(starts.tolist(), starts[1:].tolist(), strict=False):
+                places.extend(self.pattern.finditer(raw, a, b))
+        begin, end = (np.array([m.span()[i] for m in places], np.int64) for i in range(2))
+        return (begin, end), [self.ids[m.group()] for m in places]
 
 
 _workers: dict = {}
@@ -163,22 +193,26 @@ _workers: dict = {}
 def _worker(path: str, source: str):
     if path not in _workers:
         tokenizer = Tokenizer.from_str(source)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        _workers[path] = tokenizer, EncodeCache()
+        tokenizer.encode_special_tokens = True  # they are found in raw text; what folding makes alike is ordinary
+        _workers[path] = tokenizer, AddedTokens(tokenizer), EncodeCache()
     return _workers[path]
 
 
-def encode_ids(batch: pa.RecordBatch, tokenizer: Tokenizer, cache: EncodeCache, end_id: int):
+def encode_ids(batch: pa.RecordBatch, tokenizer: Tokenizer, added: AddedTokens, cache: EncodeCache, end_id: int):
     """(first row, last row + 1, ids, lengths) of pieces of a batch, each document with its end id."""
     for low, high, data, starts in texts(batch, limit=PIECE_TEXT):
         folded = _FOLD[data]
-        begin, end = units(folded, starts)
+        places, added_ids = added.find(data, starts)
+        begin, end, number = units(folded, starts, places)
         hashes = span_hashes(prefix_hashes(BYTE_CODES[folded]), begin, end)
+        special = number >= 0
+        hashes[special] = mix(~hashes[special])  # the same string as ordinary text has other ids
         raw = folded.tobytes()
 
-        def missing(places, raw=raw, begin=begin, end=end):
+        def missing(places, raw=raw, begin=begin, end=end, number=number, added_ids=added_ids):
             words = [raw[a:b].decode() for a, b in zip(begin[places].tolist(), end[places].tolist(), strict=True)]
-            return [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+            found = [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+            return [[added_ids[n]] if n >= 0 else ids for n, ids in zip(number[places].tolist(), found, strict=True)]
 
         ids, lengths = cache.encode(hashes, missing)
         counts = sums(lengths, np.searchsorted(begin, starts))
@@ -209,10 +243,10 @@ def write_token_files(
         source = spark.sparkContext.broadcast(file.read())
 
     def encode(batches):
-        tokenizer, cache = _worker(tokenizer_path, source.value)
+        tokenizer, added, cache = _worker(tokenizer_path, source.value)
         for batch in batches:
             doc_ids = column(batch, "doc_id").fill_null(low).to_numpy()
-            for first, last, ids, lengths in encode_ids(batch, tokenizer, cache, end_id):
+            for first, last, ids, lengths in encode_ids(batch, tokenizer, added, cache, end_id):
                 starts, raw = offsets(lengths * 2).tolist(), ids.tobytes()
                 keys = doc_ids[first:last]
                 yield pa.RecordBatch.from_arrays([

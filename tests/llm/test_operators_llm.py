@@ -255,6 +255,20 @@ def test_token_files(docs, empty, spark, tmp_path):
     assert token_documents(spark, f"file://{tmp_path}/none").count() == 0
 
 
+def test_token_files_with_added_tokens(spark, tmp_path):
+    tokenizer = Tokenizer.from_file(WORDS)
+    texts = [
+        "<|endoftext|>", "one<|endoftext|>two <|startoftext|> three", "<|EndOfText|> <|ENDOFTEXT|>", "<|endoftext|><|endoftext|>x",
+        "<<|startoftext|>|> é<|endoftext|>́ it<|endoftext|>'s", "<|endof", "text|>", "<|endof text|> <|endoftext|", ">", " <|startoftext|>\n",
+    ]
+    frame = ship(spark).createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    write_token_files(frame, WORDS, f"file://{tmp_path}/tokens", shards=2)
+    found = token_documents(spark, f"file://{tmp_path}/tokens").orderBy("start").collect()
+    for r, t in zip(found, texts, strict=True):
+        ids = np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 1], "<u4")
+        assert (r["n_tokens"], r["ids_crc32"]) == (len(ids), zlib.crc32(ids.tobytes()))
+
+
 def repeats_by_brute_force(texts, size):
     first, out = {}, []
     for i, t in sorted((i, (t or "").encode()) for i, t in texts if i is not None):
