@@ -17,6 +17,8 @@ from somnolake.llm.quality import quality_scores
 from somnolake.llm.shipping import ship
 from somnolake.llm.suffix_dedup import remove_repeats
 from somnolake.llm.token_files import token_files
+from somnolake.llm.variants import VariantRules, variant_groups
+from somnolake.llm.word_runs import periodic_runs
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -70,6 +72,14 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encode_documents(_documents(spark, folder), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op12_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variant_groups(_documents(spark, folder), VariantRules(slip=97))
+
+
+def op13_word_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs(_documents(spark, folder), edit=True).drop("collapsed")
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -79,7 +89,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f for f in (
         op1_quality, op2_fingerprints, op3_near_dups, op4_line_dedup, op5_mixing, op6_exact_dedup, op7_token_files,
-        op8_suffix_dedup, op9_language, op10_byte_bpe, pipeline,
+        op8_suffix_dedup, op9_language, op10_byte_bpe, op12_variants, op13_word_runs, pipeline,
     )
 }
 
