@@ -19,6 +19,7 @@ from somnolake.llm.suffix_dedup import remove_repeats
 from somnolake.llm.token_files import token_files
 from somnolake.llm.variants import VariantRules, variant_groups
 from somnolake.llm.word_runs import periodic_runs
+from somnolake.llm.wrappers import extracted
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -72,6 +73,10 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encode_documents(_documents(spark, folder), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op11_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extracted(ship(spark).read.parquet(f"{folder}/pages.parquet"))
+
+
 def op12_variants(spark: SparkSession, folder: str) -> DataFrame:
     return variant_groups(_documents(spark, folder), VariantRules(slip=97))
 
@@ -89,7 +94,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f for f in (
         op1_quality, op2_fingerprints, op3_near_dups, op4_line_dedup, op5_mixing, op6_exact_dedup, op7_token_files,
-        op8_suffix_dedup, op9_language, op10_byte_bpe, op12_variants, op13_word_runs, pipeline,
+        op8_suffix_dedup, op9_language, op10_byte_bpe, op11_html_text, op12_variants, op13_word_runs, pipeline,
     )
 }
 
