@@ -13,11 +13,9 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from somnolake.llm.columnar import column, mix, offsets, pieces, prefix_hashes, ranges, span_hashes, sums
+from somnolake.llm.columnar import column, offsets, ranges, sums, texts
 from somnolake.llm.encode_cache import EncodeCache
 
-PIECE_CHARS = 1 << 19
-CACHED_PIECES = 600_000
 _LETTER, _NUMBER, _SPACE, _OTHER = range(4)
 _NOT_YET = 255
 
@@ -194,7 +192,7 @@ def _worker(key: str, ranks: dict[bytes, int]):
         digits = [b"%d," % i for i in range(size)]
         tokens = [bpe.bytes_of.get(i, b"") for i in range(size)]
         flat = lambda rows: (np.frombuffer(b"".join(rows), np.uint8), offsets(np.fromiter(map(len, rows), np.int64, size)))
-        _workers[key] = bpe, Splitter(), EncodeCache(CACHED_PIECES), flat(digits), flat(tokens)
+        _workers[key] = bpe, Splitter(), EncodeCache(), flat(digits), flat(tokens)
     return _workers[key]
 
 
@@ -217,38 +215,32 @@ def encode_documents(documents: DataFrame, vocabulary: str, with_ids: bool = Fal
     def run(batches):
         bpe, splitter, cache, digits, tokens = _worker(vocabulary, ranks.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
-                values = [v or "" for v in column(part, "text").to_pylist()]
-                bounds = offsets(np.fromiter(map(len, values), np.int64, len(values)))
-                for low, high in pieces(bounds, PIECE_CHARS):
-                    joined = "".join(values[low:high])
-                    codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
-                    starts = bounds[low:high + 1] - bounds[low]
-                    begin = splitter.begins(codes, starts)
-                    end = np.append(begin[1:], len(codes))
-                    hashes = span_hashes(prefix_hashes(mix(codes + np.uint64(1))), begin, end)
-
-                    def missing(places, joined=joined, begin=begin, end=end):
-                        return [bpe.encode(joined[a:b].encode()) for a, b in zip(begin[places].tolist(), end[places].tolist(), strict=True)]
-
-                    ids, lengths = cache.encode(hashes, missing)
-                    counts = sums(lengths, np.searchsorted(begin, starts))
-                    cuts = offsets(counts)
-                    spelled, width = _spelled(ids, digits)
-                    decoded, size = _spelled(ids, tokens)
-                    spelled_at, decoded_at = offsets(width)[cuts].tolist(), offsets(size)[cuts].tolist()
-                    sha = lambda data, a, b: hashlib.sha256(memoryview(data)[a:b]).hexdigest()
-                    columns = [
-                        column(part, "doc_id").slice(low, high - low), pa.array(counts),
-                        pa.array([sha(spelled, a, max(a, b - 1)) for a, b in zip(spelled_at, spelled_at[1:], strict=False)]),
-                        pa.array([sha(decoded, a, b) for a, b in zip(decoded_at, decoded_at[1:], strict=False)]),
-                    ]
-                    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-                    if with_ids:
-                        columns.append(pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(ids)))
-                        names.append("ids")
-                    yield pa.RecordBatch.from_arrays(columns, names)
+            for low, high, data, byte_starts in texts(batch):
+                codes = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+                leads = (data & 0xC0) != 0x80
+                starts = offsets(leads.astype(np.int64))[byte_starts]
+                begin = splitter.begins(codes, starts)
+                bounds = np.append(np.flatnonzero(leads)[begin], len(data))
+                pieces = pa.LargeBinaryArray.from_buffers(
+                    pa.large_binary(), len(begin), [None, pa.py_buffer(bounds), pa.py_buffer(data)]
+                )
+                ids, lengths = cache.encode(pieces, lambda found: list(map(bpe.encode, found)))
+                counts = sums(lengths, np.searchsorted(begin, starts))
+                cuts = offsets(counts)
+                spelled, width = _spelled(ids, digits)
+                decoded, size = _spelled(ids, tokens)
+                spelled_at, decoded_at = offsets(width)[cuts].tolist(), offsets(size)[cuts].tolist()
+                sha = lambda data, a, b: hashlib.sha256(memoryview(data)[a:b]).hexdigest()
+                columns = [
+                    column(batch, "doc_id").slice(low, high - low), pa.array(counts),
+                    pa.array([sha(spelled, a, max(a, b - 1)) for a, b in zip(spelled_at, spelled_at[1:], strict=False)]),
+                    pa.array([sha(decoded, a, b) for a, b in zip(decoded_at, decoded_at[1:], strict=False)]),
+                ]
+                names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+                if with_ids:
+                    columns.append(pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(ids)))
+                    names.append("ids")
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator
 
@@ -146,6 +147,34 @@ def span_hashes(running: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
     return mix(cut + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+LONG_SPAN = 256
+
+
+def slice_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of spans of bytes that stand for them: no polynomial, whose collisions can be written down.
+
+    Eight bytes at a time are mixed into what came before; long spans have a cryptographic hash.
+    """
+    length = ends - starts
+    state = mix(length.astype(np.uint64) + np.uint64(0xD6E8FEB86659FD93))
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    order = np.argsort(-length, kind="stable")
+    falling = -length[order]
+    first = int(np.searchsorted(falling, -LONG_SPAN))
+    for at in order[:first].tolist():
+        digest = hashlib.blake2b(data[starts[at]:ends[at]].tobytes(), digest_size=8).digest()
+        state[at] = int.from_bytes(digest, "little")
+    for done in range(0, LONG_SPAN, 8):
+        live = order[first:int(np.searchsorted(falling, -done))]
+        if not len(live):
+            break
+        kept = np.minimum(length[live] - done, 8).astype(np.uint64)
+        word = eight[starts[live] + done] & (~np.uint64(0) >> (np.uint64(64) - np.uint64(8) * kept))
+        state[live] = mix(state[live] ^ word)
+    return state
+
+
 BYTE_CODES = mix(np.arange(1, 257, dtype=np.uint64))
 
 

@@ -5,43 +5,44 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 
 from somnolake.llm.columnar import offsets, ranges
 
+# of an entry beside its bytes: the object, its slot and its place
+_ENTRY = 140
+
 
 class EncodeCache:
-    """Ids by 64-bit hash of the piece; emptied when it holds `most` pieces."""
+    """Ids by the bytes of the piece; emptied when its entries take `most` bytes or so."""
 
-    def __init__(self, most: int = 1_500_000):
+    def __init__(self, most: int = 48 << 20):
         self.most = most
         self._clear()
 
     def _clear(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.place = np.zeros((0, 2), np.int64)  # start and length in `flat`
+        self.known: dict[bytes, int] = {}
+        self.size = 0
+        self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.int32)
 
-    def encode(self, hashes: np.ndarray, missing: Callable[[np.ndarray], list[list[int]]]):
-        """(ids, lengths) of all pieces in order; `missing` encodes the pieces at given positions."""
-        codes, distinct = pd.factorize(hashes)
-        first = np.zeros(len(distinct), np.int64)
-        first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
-        at = np.minimum(np.searchsorted(self.keys, distinct), max(0, len(self.keys) - 1))
-        known = self.keys[at] == distinct if len(self.keys) else np.zeros(len(distinct), bool)
-        if not known.all():
-            if len(self.keys) > self.most:
-                self._clear()
-                known[:] = False
-            found = missing(first[~known])
-            length = np.fromiter(map(len, found), np.int64, len(found))
-            start = len(self.flat) + offsets(length)[:-1]
-            self.flat = np.concatenate([self.flat, np.fromiter((i for ids in found for i in ids), np.int32, int(length.sum()))])
-            keys = np.concatenate([self.keys, distinct[~known]])
-            order = np.argsort(keys, kind="stable")
-            self.keys = keys[order]
-            self.place = np.concatenate([self.place, np.stack([start, length], axis=1)])[order]
-            at = np.searchsorted(self.keys, distinct)
-        start, length = self.place[at].T if len(at) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        lengths = length[codes]
-        return self.flat[ranges(start[codes], lengths)], lengths
+    def _add(self, pieces: list[bytes], found: list[list[int]]) -> None:
+        length = np.fromiter(map(len, found), np.int64, len(found))
+        self.known.update(zip(pieces, range(len(self.length), len(self.length) + len(pieces)), strict=True))
+        self.start = np.concatenate([self.start, len(self.flat) + offsets(length)[:-1]])
+        self.length = np.concatenate([self.length, length])
+        self.flat = np.concatenate([self.flat, np.fromiter((i for ids in found for i in ids), np.int32, int(length.sum()))])
+        self.size += sum(map(len, pieces)) + _ENTRY * len(pieces)
+
+    def encode(self, pieces: pa.Array, missing: Callable[[list[bytes]], list[list[int]]]):
+        """(ids, lengths) of all pieces of a binary array in order; `missing` encodes new ones."""
+        coded = pieces.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if self.size > self.most:
+            self._clear()
+        fresh = [piece for piece in distinct if piece not in self.known]
+        if fresh:
+            self._add(fresh, missing(fresh))
+        at = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+        lengths = self.length[at]
+        return self.flat[ranges(self.start[at], lengths)], lengths

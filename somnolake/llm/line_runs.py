@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from somnolake.llm.columnar import (
-    BYTE_CODES, column, list_array, mix, offsets, prefix_hashes, ranges, signed, span_hashes, texts, written,
+    column, list_array, mix, offsets, ranges, signed, slice_hashes, texts, written,
 )
 
 
@@ -67,7 +67,7 @@ def _fingerprints(documents: DataFrame, rules: LineRules) -> DataFrame:
         for batch in batches:
             for low, high, data, starts in texts(batch):
                 begin, end, bounds = line_spans(data, starts)
-                lines = span_hashes(prefix_hashes(BYTE_CODES[data]), begin, end)
+                lines = slice_hashes(data, begin, end)
                 counts = np.diff(bounds)
                 owner = np.repeat(np.arange(high - low), counts)
                 place = np.arange(len(lines)) - bounds[owner]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from somnolake.llm.columnar import (
-    BYTE_CODES, blobs, column, join_groups, list_array, mix, partitions, prefix_hashes, signed, span_hashes, texts, unsigned, written,
+    blobs, column, join_groups, list_array, mix, partitions, signed, slice_hashes, texts, unsigned, written,
 )
 from somnolake.llm.components import components
 
@@ -47,7 +47,6 @@ _SPACES = np.zeros(256, bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[ord("A"):ord("Z") + 1] += 32
-_FOLDED_CODES = BYTE_CODES[_FOLD]
 
 
 def shingle_sets(data: np.ndarray, starts: np.ndarray, size: int):
@@ -65,7 +64,7 @@ def shingle_sets(data: np.ndarray, starts: np.ndarray, size: int):
     left = inner[inner > 0] - 1
     ends[left] = solid[left]
     begin, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    words = span_hashes(prefix_hashes(_FOLDED_CODES[data]), begin, end)
+    words = slice_hashes(_FOLD[data], begin, end)
     bounds = np.searchsorted(begin, starts)
     total = words.copy()
     for step in range(1, size):
@@ -201,12 +200,15 @@ def _blocks(buckets: DataFrame, rules: NearDupRules) -> DataFrame:
 KEYS = ("band", "key", "a", "b")
 
 
-def _whole_groups(batches, least_rows: int = 20_000):
-    """Tables of whole groups from batches sorted by KEYS, of about `least_rows` rows; and each row's group."""
+def _whole_groups(batches, least_rows: int = 20_000, least_bytes: int = 8 << 20):
+    """Tables of whole groups from batches sorted by KEYS, and each row's group.
+
+    They have about `least_rows` rows or, where rows are large, about `least_bytes` bytes.
+    """
     held = []
     for batch in batches:
         held.append(batch)
-        if sum(b.num_rows for b in held) < least_rows:
+        if sum(b.num_rows for b in held) < least_rows and sum(b.nbytes for b in held) < least_bytes:
             continue
         table = pa.Table.from_batches(held).combine_chunks()
         group = _group_numbers(table)

@@ -9,10 +9,14 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 ARCHIVE = "somnolake-package.zip"
+# Texts differ in size by orders: batches for Python workers end by bytes, unless the session says otherwise.
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
 
 
 def ship(spark: SparkSession) -> SparkSession:
     """Send this package's sources to all executors, once a Spark context; Spark serves the file."""
+    if spark.conf.get(BATCH_BYTES[0], None) is None:
+        spark.conf.set(*BATCH_BYTES)
     context = spark.sparkContext
     if not any(name.endswith(ARCHIVE) for name in context._python_includes):
         package = Path(__file__).resolve().parent.parent

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from somnolake.llm.columnar import (
-    BYTE_CODES, blobs, column, mix, offsets, partitions, prefix_hashes, shared_path, span_hashes, sums, texts,
+    blobs, column, offsets, partitions, ranges, shared_path, sums, texts,
 )
 from somnolake.llm.encode_cache import EncodeCache
 
@@ -200,21 +200,27 @@ def _worker(path: str, source: str):
 
 def encode_ids(batch: pa.RecordBatch, tokenizer: Tokenizer, added: AddedTokens, cache: EncodeCache, end_id: int):
     """(first row, last row + 1, ids, lengths) of pieces of a batch, each document with its end id."""
+
+    def missing(pieces: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
+
     for low, high, data, starts in texts(batch, limit=PIECE_TEXT):
         folded = _FOLD[data]
         places, added_ids = added.find(data, starts)
         begin, end, number = units(folded, starts, places)
-        hashes = span_hashes(prefix_hashes(BYTE_CODES[folded]), begin, end)
-        special = number >= 0
-        hashes[special] = mix(~hashes[special])  # the same string as ordinary text has other ids
-        raw = folded.tobytes()
-
-        def missing(places, raw=raw, begin=begin, end=end, number=number, added_ids=added_ids):
-            words = [raw[a:b].decode() for a, b in zip(begin[places].tolist(), end[places].tolist(), strict=True)]
-            found = [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-            return [[added_ids[n]] if n >= 0 else ids for n, ids in zip(number[places].tolist(), found, strict=True)]
-
-        ids, lengths = cache.encode(hashes, missing)
+        size = end - begin
+        ordinary = number < 0
+        plain = pa.LargeBinaryArray.from_buffers(pa.large_binary(), int(ordinary.sum()), [
+            None, pa.py_buffer(offsets(size[ordinary])), pa.py_buffer(folded[ranges(begin[ordinary], size[ordinary])]),
+        ])
+        found, found_lengths = cache.encode(plain, missing)
+        # the same string as ordinary text has other ids
+        lengths = np.ones(len(begin), np.int64)
+        lengths[ordinary] = found_lengths
+        ids = np.empty(int(lengths.sum()), np.int64)
+        at = offsets(lengths)[:-1]
+        ids[ranges(at[ordinary], found_lengths)] = found
+        ids[at[~ordinary]] = np.array(added_ids, np.int64)[number[~ordinary]]
         counts = sums(lengths, np.searchsorted(begin, starts))
         after = np.cumsum(counts)
         yield low, high, np.insert(ids.astype(np.uint16), after, np.uint16(end_id)), counts + 1
