@@ -16,7 +16,7 @@ from somnolake.config import WarehouseConfig, scratch_path
 from somnolake.functions import keys, numeric, text
 from somnolake.operators import impute, quality, rollups
 from somnolake.operators.identity import dense_id
-from somnolake.operators.joins import grid_lookup, joined_key_rows, key_rows, skew_left_join
+from somnolake.operators.joins import grid_lookup, skew_left_joins
 from somnolake.operators.windows import first_row_per, latest_row_per
 from somnolake.plans import gold, jobs, silver, views
 from somnolake.plans.runlog import RunLog
@@ -582,6 +582,32 @@ def imp_median(t: Inputs) -> DataFrame:
     )
 
 
+@query
+def imp_median_double(t: Inputs) -> DataFrame:
+    """The median of a DOUBLE column, as it is."""
+    raw = t.raw("b_link")
+    middle = impute.median(raw, C("insulin")).scalar()
+    return raw.select("record_id", F.coalesce("insulin", middle).alias("insulin"))
+
+
+# Fixed value: numbers of up to eighteen digits, four of them decimals.
+WIDE_NUMBER = """cast(concat(cast(l_partkey * 7919 + l_orderkey * 104729 AS string), '.',
+    lpad(cast(l_suppkey * 37 % 10000 AS string), 4, '0')) AS decimal(18,4))"""
+
+
+@query
+def imp_median_decimal(t: Inputs) -> DataFrame:
+    """The median of DECIMAL(18,4) values by return flag, in ten-thousandths doubled."""
+    rows = t.table("lineitem").select("l_returnflag", F.expr(WIDE_NUMBER).alias("amount"))
+    lines = [
+        impute.median(rows.where(C("l_returnflag") == mark), C("amount")).select(
+            F.lit(mark).alias("l_returnflag"), (C("median") * 20000).cast("bigint").alias("twice")
+        )
+        for mark in ("A", "N", "R")
+    ]
+    return lines[0].unionByName(lines[1]).unionByName(lines[2])
+
+
 @query
 def imp_flags(t: Inputs) -> DataFrame:
     return views.hypertension_with_flags(t.raw("b_hyp")).select(
@@ -613,11 +639,8 @@ def join_left_fanout(t: Inputs) -> DataFrame:
     )
     apnea = t.apnea.select("patient_key", C("record_id").alias("apnea_id"), "neck_circumference")
     key = ["patient_key"]
-    held = key_rows(t.prediction, key)
-    rows = skew_left_join(people, detailed, key, C("_row"), C("detailed_id"), held)
-    held = joined_key_rows(held, key_rows(detailed, key), key)
-    rows = skew_left_join(rows, apnea, key, C("_row"), C("apnea_id"), held)
-    return rows.drop("_row")
+    sides = [(detailed, C("detailed_id")), (apnea, C("apnea_id"))]
+    return skew_left_joins(people, sides, key, C("_row"), counted=t.prediction).drop("_row")
 
 
 def _aged(t: Inputs) -> DataFrame:
@@ -638,6 +661,16 @@ def join_range_bmi(t: Inputs) -> DataFrame:
     return rows.select("record_id", "bmi", "bmi_cat_id", "bmi_category")
 
 
+@query
+def join_range_gaps(t: Inputs) -> DataFrame:
+    """Values of two decimals: those between two categories, as 24.95, meet none."""
+    rows = t.table("orders").selectExpr(
+        "o_orderkey AS record_id", "CAST((1500 + (o_orderkey * 7) % 9000) / 100.0 AS decimal(6,2)) AS bmi"
+    )
+    bands = t.categories.where(C("label") != text.UNKNOWN).select("label", "bmi_min", "bmi_max")
+    return grid_lookup(rows, bands, "bmi", "bmi_min", "bmi_max", 10).select("record_id", "bmi", "label")
+
+
 @query
 def join_left_first_row(t: Inputs) -> DataFrame:
     first = gold.first_lifestyle(t.lifestyle).select(
@@ -658,7 +691,7 @@ def join_left_computed_key(t: Inputs) -> DataFrame:
     rows = t.link.withColumns({
         "_age": F.floor("age").cast("int"), "_bmi": F.round("bmi", 0).cast("int")
     })
-    joined = skew_left_join(rows, first, ["_age", "gender", "_bmi"], C("record_id"))
+    joined = rows.join(first, ["_age", "gender", "_bmi"], "left")
     return joined.select("record_id", "gender", "age", "bmi", "first_id", "hba1c")
 
 

@@ -44,13 +44,14 @@ class WarehouseConfig:
     dedup: bool = False
     # write midpoint keys as "22" rather than "22.0", so that they meet numeric keys
     numeric_midpoint: bool = False
-    # sources read with line breaks inside quotes; each of their files is one task, so
-    # they should come as folders of many files
+    # sources read with line breaks inside quotes; quotes must enclose whole fields
     multi_line: Collection[str] = FREE_TEXT_SOURCES
     # silver tables whose raw rows are taken once where they repeat in every column
     drop_repeats: Collection[str] = ()
     # silver table -> column -> closed range; other rows go to "<table>_rejected"
     ranges: Mapping[str, Mapping[str, tuple[float, float]]] = field(default_factory=dict)
+    # joined rows that one task should write at most; keys with more are cut into pieces
+    rows_a_task: int = 5_000_000
     # also load "hypertension_imputed", with a mark on each value that the load fills
     imputed_flags: bool = False
 

@@ -50,6 +50,71 @@ def mode_default(rows: DataFrame, column: str) -> Column:
     return most_frequent(rows, column).scalar()
 
 
+def modes_of(rows: DataFrame, columns: Sequence[str]) -> Column:
+    """The commonest value of each text column, as one struct-valued scalar from one scan.
+
+    NULL counts as a value; ties go to the smallest, NULL first; an empty table has NULLs.
+    """
+    pairs = F.array(*(F.struct(F.lit(name).alias("_column"), F.col(name).alias("_value")) for name in columns))
+    counted = rows.select(F.inline(pairs)).groupBy("_column", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    # the least of (fewest last, NULL first, smallest)
+    rank = F.struct((-F.col("_n")).alias("a"), F.col("_value").isNotNull().alias("b"), F.col("_value").alias("c"))
+    best = counted.agg(*(
+        F.min(F.when(F.col("_column") == name, rank)).alias(name) for name in columns
+    ))
+    return best.select(F.struct(*(F.col(f"{name}.c").alias(name) for name in columns))).scalar()
+
+
+# --- medians ----------------------------------------------------------------------------
+
+SKETCH_ACCURACY = 10_000
+BLOCKS = 1 << 16
+
+
+def median(rows: DataFrame, value: Column) -> DataFrame:
+    """One row ``median``: the exact median of a numeric value of any type and number of digits.
+
+    The range is narrowed twice.  A quantile sketch gives two values around the middle; rows
+    are counted below, above and in BLOCKS equal stretches between them; only values of the
+    one or two stretches that hold the middle are ordered, equal ones as one.  Stretches
+    follow the order of the values and every row is counted in one, so the result is exact
+    however good the sketch is.  NULL is left out, NaN is the largest value; without a value
+    the median is NULL.
+    """
+    share = 2 / SKETCH_ACCURACY
+    values = rows.select(value.alias("_v")).where("_v IS NOT NULL")
+    ends = values.agg(F.struct(
+        *(F.percentile_approx(F.col("_v").cast("double"), half, SKETCH_ACCURACY).alias(name)
+          for name, half in (("low", 0.5 - share), ("high", 0.5 + share))),
+    )).scalar()
+    placed = values.withColumn("_ends", ends).selectExpr(
+        "_v", "CAST(_v AS double) AS _d", "_ends.low AS _low", "_ends.high AS _high"
+    ).selectExpr("_v", f"""CASE WHEN _d < _low THEN -1 WHEN _d > _high THEN {BLOCKS} WHEN _low = _high THEN 0
+        ELSE CAST(least({BLOCKS - 1}D, floor((_d - _low) / (_high - _low) * {BLOCKS})) AS int) END AS _block""")
+    in_order = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    middle = (
+        placed.groupBy("_block").agg(F.count(F.lit(1)).alias("_rows"))
+        .select(
+            "_block", "_rows", F.coalesce(F.sum("_rows").over(in_order), F.lit(0)).alias("_before"),
+            F.expr("sum(_rows) OVER () AS _total"),
+        )
+        .withColumns({"_lo": F.expr("(_total + 1) DIV 2"), "_hi": F.expr("(_total + 2) DIV 2")})
+        .where("_before < _hi AND _before + _rows >= _lo")
+    )
+    within = Window.partitionBy("_block").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = (
+        placed.join(F.broadcast(middle), "_block")
+        .groupBy("_block", "_before", "_lo", "_hi", "_v").agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_last", F.col("_before") + F.sum("_n").over(within))
+    )
+
+    def at(rank: str) -> Column:
+        here = (F.col("_last") >= F.col(rank)) & (F.col("_last") - F.col("_n") < F.col(rank))
+        return F.max(F.when(here, F.col("_v")))
+
+    return counted.agg(((at("_lo") + at("_hi")) / F.lit(2)).alias("median"))
+
+
 def exact_median(rows: DataFrame, value: Column, precision: int, scale: int) -> DataFrame:
     """One row ``median``: the exact median of a value stored as DECIMAL(precision, scale).
 

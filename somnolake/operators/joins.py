@@ -13,16 +13,36 @@ from pyspark.sql import Column, DataFrame, functions as F
 # Row counts of a fan-out outgrow 64 bits.
 _BIG = "decimal(38,0)"
 
+# Rows without a key match nothing, so each may go to any task.
+_ANYWHERE = 1 << 30
+
 
 @dataclass(frozen=True)
 class Skew:
-    """When a key counts as hot: it has more than 1 / target_tasks of all the work of a join.
+    """When a key counts as hot: its output rows are more than one task should write.
 
-    A key's work is its output rows.  So fewer than ``target_tasks`` keys are hot, whatever
-    the data, and a hot key is cut into pieces of about 1 / target_tasks of the work.
+    A hot key is cut into pieces of about ``rows_a_task`` output rows, so there is at most
+    one hot key for every ``rows_a_task`` rows of the output.  ``target_tasks`` takes that
+    share of a join's output instead, which needs the sum over all keys.
     """
 
-    target_tasks: int = 1000
+    target_tasks: int | None = None
+    rows_a_task: int = 5_000_000
+
+    def piece(self, work: DataFrame) -> Column:
+        """Output rows of a piece, for keys with ``_work`` output rows each."""
+        if self.target_tasks is None:
+            return F.lit(float(self.rows_a_task))
+        return work.agg(F.sum("_work")).scalar().cast("double") / F.lit(self.target_tasks)
+
+
+def _grid(work: Column, piece: Column, left: Column, right: Column) -> tuple[Column, Column]:
+    """Into how many parts the left and the right rows of a key are dealt: near squares."""
+    whole = F.lit(1.0)
+    pieces = F.greatest(whole, F.ceil(work / piece))
+    square = F.ceil(F.sqrt(pieces * left / right))
+    lcut = F.least(left, pieces, F.greatest(square, whole))
+    return lcut.cast("int"), F.least(right, F.ceil(pieces / lcut)).cast("int")
 
 
 def key_rows(side: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -50,17 +70,10 @@ def _hot_keys(
         *keys, F.coalesce("_rows", one).alias("_l"), F.coalesce("_r", one).alias("_r")
     )
     work = sides.withColumn("_work", (F.col("_l") * F.col("_r")).cast(_BIG))
-    total = work.agg(F.sum("_work")).scalar()
-    pieces = F.ceil(F.col("_work").cast("double") * skew.target_tasks / total.cast("double"))
-    # as near to squares of left and right rows as the pieces allow
-    square = F.ceil(F.sqrt(F.col("_pieces") * F.col("_l").cast("double") / F.col("_r").cast("double")))
-    return (
-        work.where(F.col("_work").cast("double") * skew.target_tasks > total.cast("double"))
-        .withColumn("_pieces", pieces.cast("int"))
-        .withColumn("_lcut", F.least("_l", "_pieces", F.greatest(square, F.lit(1))).cast("int"))
-        .withColumn("_rcut", F.least("_r", F.ceil(F.col("_pieces") / F.col("_lcut"))).cast("int"))
-        .select(*keys, "_lcut", "_rcut")
-    )
+    piece = skew.piece(work)
+    rows = F.col("_work").cast("double")
+    lcut, rcut = _grid(rows, piece, F.col("_l").cast("double"), F.col("_r").cast("double"))
+    return work.where(rows > piece).select(*keys, lcut.alias("_lcut"), rcut.alias("_rcut"))
 
 
 def skew_left_join(
@@ -82,7 +95,7 @@ def skew_left_join(
     left_rows = key_rows(left, keys) if left_rows is None else left_rows
     right_rows = None if right_id is None else key_rows(right, keys)
     hot = _hot_keys(left_rows, right_rows, keys, skew)
-    return _pieced_left_join(left, right, keys, left_id, right_id, hot, skew.target_tasks)
+    return _pieced_left_join(left, right, keys, left_id, right_id, hot)
 
 
 def _pieced_left_join(
@@ -92,7 +105,6 @@ def _pieced_left_join(
     left_id: Column,
     right_id: Column | None,
     hot: DataFrame,
-    no_key_pieces: int,
 ) -> DataFrame:
     """Left join in which the keys of ``hot`` are spread over many tasks.
 
@@ -112,8 +124,7 @@ def _pieced_left_join(
     def copies(cut: Column) -> Column:
         return F.explode(F.sequence(F.lit(0), cut - 1))
 
-    # Rows without a key match nothing, so they may go anywhere.
-    spread = F.when(no_key, F.lit(no_key_pieces)).otherwise(left_cut)
+    spread = F.when(no_key, F.lit(_ANYWHERE)).otherwise(left_cut)
     l = left.join(hot, keys, "left").select(
         *left.columns, right_cut.alias("_rcut"), dealt(left_id, spread).alias("_i")
     )
@@ -131,20 +142,108 @@ def _pieced_left_join(
     )
 
 
+def chain_key_rows(tables: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Rows of each key in every table, as ``_n0``, ``_n1`` and so on: one scan a table, one shuffle.
+
+    Counted before they move: a key is one row a task, however often it stands.
+    """
+    def own(table: DataFrame, index: int) -> DataFrame:
+        here = (F.lit(int(at == index)).cast("bigint").alias(f"_n{at}") for at in range(len(tables)))
+        return table.where(~_no_key(keys)).select(*keys, *here)
+
+    every = reduce(DataFrame.unionByName, (own(table, index) for index, table in enumerate(tables)))
+    return every.groupBy(*keys).agg(*(F.sum(f"_n{at}").alias(f"_n{at}") for at in range(len(tables))))
+
+
+def _no_key(keys: Sequence[str]) -> Column:
+    return reduce(or_, (F.col(key).isNull() for key in keys))
+
+
+def _chain_cuts(counts: DataFrame, keys: Sequence[str], sides: int, skew: Skew) -> DataFrame:
+    """The keys that are hot at some step of a chain, with the cuts of every step."""
+    def at_least_one(name: str) -> Column:
+        return F.greatest(F.col(name), F.lit(1)).cast("double")
+
+    steps, rows = [], at_least_one("_n0")
+    for step in range(1, sides + 1):
+        right = at_least_one(f"_n{step}")
+        steps.append((rows, right, rows * right))
+        rows = rows * right
+    piece = skew.piece(counts.select(rows.alias("_work")))
+    cuts = []
+    for step, (left, right, work) in enumerate(steps):
+        lcut, rcut = _grid(work, piece, left, right)
+        cuts += [lcut.alias(f"_lcut{step}"), rcut.alias(f"_rcut{step}")]
+    # the work only grows along the chain
+    return counts.where(rows > piece).select(*keys, *cuts)
+
+
+def skew_left_joins(
+    left: DataFrame,
+    sides: Sequence[tuple[DataFrame, Column]],
+    keys: Sequence[str],
+    left_id: Column,
+    counted: DataFrame | None = None,
+    skew: Skew = Skew(),
+) -> DataFrame:
+    """``left LEFT JOIN side1 USING (keys) LEFT JOIN side2 …``, with hot keys cut into pieces.
+
+    Each side comes with the id of its rows.  The rows of each key are counted once for the
+    whole chain; the hot keys, one for every ``skew.rows_a_task`` rows of the output at most,
+    are attached to each table by one and the same broadcast.  ``counted`` has the keys of
+    ``left`` where a cheaper table has them too.  A hot key's rows are dealt by a hash of
+    their ids, in which the ids of the sides joined before take part.
+    """
+    keys = list(keys)
+    tables = [left if counted is None else counted, *(side for side, _ in sides)]
+    counts = chain_key_rows([table.select(*keys) for table in tables], keys)
+    hot = F.broadcast(_chain_cuts(counts, keys, len(sides), skew))
+    cuts = [f"_{side}cut{step}" for step in range(len(sides)) for side in "lr"]
+    uncut = [F.coalesce(cut, F.lit(1)).alias(cut) for cut in cuts]
+
+    def dealt(row_id: Column, cut: Column) -> Column:
+        return F.pmod(F.xxhash64(row_id), cut).cast("int")
+
+    def copies(cut: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(cut) - 1))
+
+    rows = left.join(hot, keys, "left").select(*left.columns, left_id.alias("_id"), *uncut)
+    ids = ["_id"]
+    for step, (side, side_id) in enumerate(sides):
+        lcut, rcut = f"_lcut{step}", f"_rcut{step}"
+        spread = F.when(_no_key(keys), F.lit(_ANYWHERE)).otherwise(F.col(lcut))
+        ours = rows.withColumn("_i", dealt(F.struct(*ids), spread)).withColumn("_j", copies(rcut))
+        theirs = side.where(~_no_key(keys)).join(hot, keys, "left").select(
+            *side.columns, side_id.alias(f"_id{step}"), *uncut
+        )
+        theirs = theirs.select(
+            *side.columns, f"_id{step}", dealt(F.col(f"_id{step}"), F.col(rcut)).alias("_j"),
+            F.lit(True).alias("_matched"), copies(lcut).alias("_i"),
+        )
+        joined = ours.join(theirs, [*keys, "_i", "_j"], "left")
+        # A key hot on the right surely matches in some piece; its copies that met an empty
+        # piece are not unmatched rows.
+        rows = joined.where((F.col(rcut) == 1) | F.col("_matched").isNotNull()).drop("_i", "_j", "_matched")
+        ids.append(f"_id{step}")
+    return rows.drop(*ids, *cuts)
+
+
 def grid_lookup(
     rows: DataFrame, dim: DataFrame, value: str, low: str, high: str, per_unit: int
 ) -> DataFrame:
     """Left join to the closed interval a value lies in, as a hash join.
 
-    ``dim`` is a hand-written dimension of a few intervals whose ends, like the values,
-    are multiples of ``1 / per_unit``; one dimension row per such multiple makes the range
-    condition an equality.  Intervals with a NULL end match nothing.
+    ``dim`` is a hand-written dimension of a few disjoint intervals.  Intervals and values
+    meet by the cell of ``1 / per_unit`` they reach into, and are compared there: any value
+    and any ends are placed exactly, a value in a gap matches nothing, and ``per_unit`` only
+    decides how many intervals a cell has.  Intervals with a NULL end match nothing.
     """
-    def at(number: str) -> str:
-        return f"CAST({number} * {per_unit} AS bigint)"
+    def cell(number: str) -> str:
+        return f"CAST(floor({number} * {per_unit}) AS bigint)"
 
-    points = dim.where(f"{low} IS NOT NULL AND {high} IS NOT NULL").selectExpr(
-        "*", f"explode(sequence({at(low)}, {at(high)})) AS _at"
+    ends = dim.where(f"{low} IS NOT NULL AND {high} IS NOT NULL").selectExpr(
+        "*", f"explode(sequence({cell(low)}, {cell(high)})) AS _cell"
     )
-    located = rows.selectExpr("*", f"{at(value)} AS _at")
-    return located.join(F.broadcast(points), "_at", "left").drop("_at")
+    located = rows.selectExpr("*", f"{value} AS _value").selectExpr("*", f"{cell('_value')} AS _at")
+    inside = (F.col("_at") == F.col("_cell")) & F.col("_value").between(F.col(low), F.col(high))
+    return located.join(F.broadcast(ends), inside, "left").drop("_at", "_cell", "_value")

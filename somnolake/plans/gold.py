@@ -7,8 +7,8 @@ from pyspark.sql.types import VarcharType
 
 from somnolake import schemas
 from somnolake.functions import keys, numeric, text
-from somnolake.operators.impute import mean_default, mode_default, scalars_of
-from somnolake.operators.joins import Skew, grid_lookup, joined_key_rows, key_rows, skew_left_join
+from somnolake.operators.impute import mean_default, modes_of, scalars_of
+from somnolake.operators.joins import Skew, grid_lookup, skew_left_joins
 from somnolake.operators.rollups import (
     Attached,
     Banded,
@@ -202,21 +202,15 @@ def fact_patient_health_snapshot(
     }
 
     def matches(side: DataFrame, table: str, *keys: str) -> DataFrame:
-        return side.withColumn("_default", defaults[table]).selectExpr(
-            *keys, f"{fact_values(table)} AS {table}"
-        )
+        return side.selectExpr(*keys, f"{fact_values(table)} AS {table}")
 
-    if dedup:
-        apnea, breathing = lowest_record_per_key(apnea), lowest_record_per_key(breathing)
     link_id = F.col("record_id")
-    right_id = None if dedup else F.col("_rid")
-    rid = [] if dedup else ["record_id AS _rid"]
-
     located = link.selectExpr(
         "*", "CAST(floor(age) AS int) AS _age", "CAST(round(bmi, 0) AS int) AS _bmi"
     )
     rows = banded_link(located, ages, categories)
-    # The joins to at most one row come first, while the table is at its smallest.
+    # The joins to at most one row come first, while the table is at its smallest.  Of such a
+    # join adaptive execution splits the larger side by itself.
     life = matches(
         first_lifestyle(lifestyle), "sleep_health_lifestyle", "age AS _age", "gender"
     )
@@ -225,24 +219,25 @@ def fact_patient_health_snapshot(
         first_detailed(detailed), "diabetes_detailed",
         "age AS _age", "gender", "bmi_whole AS _bmi",
     )
-    profile = ["_age", "gender", "_bmi"]
-    rows = skew_left_join(
-        rows, detail, profile, link_id, left_rows=key_rows(located, profile), skew=skew
-    )
-    link_rows = key_rows(link, [KEY])
-    for side, table in (
-        (apnea, "sleep_apnea_core"), (breathing, "sleep_disordered_breathing")
-    ):
-        rows = skew_left_join(
-            rows, matches(side, table, KEY, *rid), [KEY], link_id, right_id, link_rows, skew
-        ).drop("_rid")
-        link_rows = joined_key_rows(link_rows, key_rows(side, [KEY]), [KEY])
-
-    # A row without a match takes all the defaults of that table.
-    rows = rows.withColumns({
-        table: F.coalesce(table, default) for table, default in defaults.items()
-    })
-    joined = {name: f"{table}.{name}" for table, own in FACT_SOURCES.items() for name in own}
+    rows = rows.join(detail, ["_age", "gender", "_bmi"], "left")
+    sides = ((apnea, "sleep_apnea_core"), (breathing, "sleep_disordered_breathing"))
+    if dedup:
+        for side, table in sides:
+            rows = rows.join(matches(lowest_record_per_key(side), table, KEY), KEY, "left")
+    else:
+        rows = skew_left_joins(
+            rows,
+            [(matches(side, table, KEY, f"record_id AS _rid_{table}"), F.col(f"_rid_{table}"))
+             for side, table in sides],
+            [KEY], link_id, counted=link, skew=skew,
+        )
+
+    rows = rows.withColumns({f"_default_{table}": default for table, default in defaults.items()})
+    # A missing match and a missing measure both take the table's default.
+    joined = {
+        name: f"coalesce({table}.{name}, _default_{table}.{name}) AS {name}"
+        for table, own in FACT_SOURCES.items() for name in own
+    }
     rows = rows.withColumns({
         "patient_primarykey": keys.composite_key(F.col("bmi"), F.col("gender"), F.col("age")),
         "gender_male_flag": numeric.flag(F.col("gender") == text.MALE),
@@ -290,13 +285,12 @@ def _fact_kind(column: str) -> str:
 
 
 def fact_values(table: str) -> str:
-    """A joined table's columns as one struct, in the fact's names and types, NULLs filled.
+    """A joined table's columns as one struct, in the fact's names and types.
 
-    Made on the joined side, which is smaller, and before the join, so that a row of the
-    fact only chooses between its match and the defaults.
+    Made on the joined side, which is smaller, and before the join.
     """
     fields = (
-        f"coalesce(CAST({source} AS {_fact_kind(name)}), _default.{name}) AS {name}"
+        f"CAST({source} AS {_fact_kind(name)}) AS {name}"
         for name, source in FACT_SOURCES[table].items()
     )
     return f"struct({', '.join(fields)})"
@@ -309,18 +303,18 @@ def fact_defaults(rows: DataFrame, table: str) -> Column:
     the fact's column; text columns have their commonest value.
     """
     means = MEANS[table]
-    modes, fields = {}, []
+    modes, fields = [], []
     for name, source in FACT_SOURCES[table].items():
         if source in means:
             narrow = f"CAST({source} AS {_kind(table, source).simpleString()})"
             fields.append(f"CAST({narrow} AS {_fact_kind(name)}) AS {name}")
         else:
-            modes[name] = mode_default(rows, source)
-            fields.append(name)
+            modes.append(source)
+            fields.append(f"_mode.{source} AS {name}")
     one_row = rows.agg(*(F.expr(value).alias(source) for source, value in means.items()))
-    return one_row.withColumns(modes).selectExpr(
-        f"struct({', '.join(fields)}) AS defaults"
-    ).scalar()
+    if modes:
+        one_row = one_row.withColumn("_mode", modes_of(rows, modes))
+    return one_row.selectExpr(f"struct({', '.join(fields)}) AS defaults").scalar()
 
 
 # --- marts ----------------------------------------------------------------------------
@@ -514,13 +508,14 @@ def mart_clinical_severity(
     """Every breathing record with the apnea markers of its key."""
     if dedup:
         apnea = lowest_record_per_key(apnea)
-    right_id = None if dedup else F.col("_rid")
-    rid = [] if dedup else [F.col("record_id").alias("_rid")]
     markers = apnea.select(
-        KEY, *rid, "neck_circumference", F.col("snoring_flag").alias("snoring_mark"),
-        "fatigue_flag",
+        KEY, F.col("record_id").alias("_rid"), "neck_circumference",
+        F.col("snoring_flag").alias("snoring_mark"), "fatigue_flag",
     )
-    rows = skew_left_join(breathing, markers, [KEY], F.col("record_id"), right_id, skew=skew)
+    if dedup:
+        rows = breathing.join(markers, KEY, "left")
+    else:
+        rows = skew_left_joins(breathing, [(markers, F.col("_rid"))], [KEY], F.col("record_id"), skew=skew)
     shaped = rows.withColumns({
         "patient_id": F.col("record_id"),
         "bmi_category": numeric.bmi_band(F.col("bmi")),

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from somnolake import schemas
 from somnolake.config import WarehouseConfig
 from somnolake.operators.identity import dense_id
+from somnolake.operators.joins import Skew
 from somnolake.operators.quality import deduplicate, range_split
 from somnolake.plans import gold, silver, views
 from somnolake.plans.runlog import RunLog
@@ -114,6 +115,7 @@ def run_gold(spark: SparkSession, config: WarehouseConfig) -> bool:
     apnea, breathing = tables["sleep_apnea_core"], tables["sleep_disordered_breathing"]
     lifestyle, detailed = tables["sleep_health_lifestyle"], tables["diabetes_detailed"]
     link = tables["diabetes_sleep_link"]
+    skew = Skew(rows_a_task=config.rows_a_task)
 
     def ages() -> DataFrame:
         return spark.table(config.table("gold", "dim_age_band")).drop(STAMP)
@@ -127,7 +129,7 @@ def run_gold(spark: SparkSession, config: WarehouseConfig) -> bool:
     steps |= {
         "dim_patient": lambda: gold.dim_patient(lifestyle, ids_unique=True),
         "fact_patient_health_snapshot": lambda: gold.fact_patient_health_snapshot(
-            link, apnea, breathing, lifestyle, detailed, ages(), categories(), config.dedup
+            link, apnea, breathing, lifestyle, detailed, ages(), categories(), config.dedup, skew
         ),
         "mart_comorbidity_by_age": lambda: gold.mart_comorbidity_by_age(
             link, apnea, breathing, ages(), config.dedup
@@ -137,7 +139,7 @@ def run_gold(spark: SparkSession, config: WarehouseConfig) -> bool:
         ),
         "mart_occupation_risk": lambda: gold.mart_occupation_risk(lifestyle, apnea),
         "mart_clinical_severity": lambda: gold.mart_clinical_severity(
-            breathing, apnea, config.dedup
+            breathing, apnea, config.dedup, skew
         ),
         "mart_epidemiology_combined": lambda: gold.mart_epidemiology_combined(
             tables["diabetes_aggregate_2016"], tables["diabetes_hypertension_aggregate_2016"]
