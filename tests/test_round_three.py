@@ -17,6 +17,7 @@ from somnolake.checks.queries import QUERIES
 from somnolake.operators import impute
 from somnolake.operators.joins import Skew, chain_key_rows, grid_lookup, skew_left_joins
 from somnolake.plans import gold
+from somnolake.plans.runlog import RunLog
 from somnolake.sources.csv import read_csv
 
 FEW = settings(max_examples=6, deadline=None)
@@ -147,3 +148,14 @@ def test_several_files_and_an_empty_one(spark, tmp_path):
     (tmp_path / "a" / "none.csv").write_text("id,note,other\n")
     found = read_csv(spark, [str(tmp_path / "a"), str(tmp_path / "b")], NOTES, "quoted", multi_line=True)
     assert sorted(map(str, (r["note"] for r in found.collect()))) == ["a", "a\n1", "b", "b\n1"]
+
+
+def test_log_rows_are_stored_as_their_steps_end(spark, tmp_path):
+    """Nothing after the last step runs, as when the driver is lost."""
+    log = RunLog(spark, "silver", str(tmp_path), "stop_quiet")
+    log.step("one", lambda: spark.range(7), lambda rows: rows.write.parquet(f"{tmp_path}/one"))
+    log.step("two", lambda: spark.range(1).selectExpr("raise_error('no')"), lambda rows: rows.collect())
+    stored = spark.read.parquet(f"{tmp_path}/run_log").select("step", "rows", "status").collect()
+    assert sorted(map(tuple, stored)) == [("one", 7, "ok"), ("two", None, "failed")]
+    log.finish()
+    assert spark.read.parquet(f"{tmp_path}/run_log").count() == 3
