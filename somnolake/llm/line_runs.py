@@ -114,8 +114,9 @@ def drop_repeated_runs(documents: DataFrame, rules: LineRules = LineRules()) ->
     """(doc_id, n_lines, n_removed, text) of every row, without the lines of repeated runs.
 
     Lines are cut at "\\n" and compared as they are; what is left is joined by "\\n".  A line goes
-    when it lies in a run of rules.run lines that also begins at an earlier place (runs are judged
-    on the input, and may overlap).  Null texts count as empty (one empty line); rows with a null
+    when it lies in a run of rules.run lines that also begins at an earlier place, or when it has
+    200 bytes or more and stands at an earlier place too (runs are judged on the input, and may
+    overlap).  Null texts count as empty (one empty line); rows with a null
     id are left as they are; rows that repeat an id are judged alike, and not against each other
     at the same line.
     """
@@ -158,22 +159,25 @@ def kept_digest(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
 
-# The same in SQL, for runs of three lines: the window functions see every run.
+# The same in SQL, for runs of three lines and lines of 200 bytes: the window functions see every run.
 LINE_SQL = """
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
   FROM documents
 ), runs AS (
-  SELECT doc_id, place, line || chr(10) || lead(line, 1) OVER w || chr(10) || lead(line, 2) OVER w AS run
+  SELECT doc_id, place, line,
+         line || chr(10) || lead(line, 1) OVER w || chr(10) || lead(line, 2) OVER w AS run
   FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY place)
 ), judged AS (
-  SELECT doc_id, place, run IS NOT NULL AND row_number() OVER (PARTITION BY run ORDER BY doc_id, place) > 1 AS later
+  SELECT doc_id, place, line,
+         run IS NOT NULL AND row_number() OVER (PARTITION BY run ORDER BY doc_id, place) > 1 AS later,
+         strlen(line) >= 200 AND row_number() OVER (PARTITION BY line ORDER BY doc_id, place) > 1 AS again
   FROM runs
 ), marked AS (
-  SELECT l.doc_id, l.place, l.line,
-         bool_or(j.later) OVER (PARTITION BY l.doc_id ORDER BY l.place ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS gone
-  FROM lines l JOIN judged j USING (doc_id, place)
+  SELECT doc_id, place, line,
+         again OR bool_or(later) OVER (PARTITION BY doc_id ORDER BY place ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS gone
+  FROM judged
 )
 SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_removed,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256

@@ -163,15 +163,18 @@ def test_components_of_a_chain(spark):
     assert found == {i: 0 for i in range(51)} | {70: 70, 71: 70}
 
 
-def lines_by_brute_force(texts, run):
-    first, out = {}, {}
+def lines_by_brute_force(texts, run, long=200):
+    first, whole, out = {}, {}, {}
     for i, t in sorted(texts):
         lines = (t or "").split("\n")
+        for k in range(len(lines)):
+            whole.setdefault(lines[k], (i, k))
         for k in range(len(lines) - run + 1):
             first.setdefault(tuple(lines[k:k + run]), (i, k))
     for i, t in texts:
         lines = (t or "").split("\n")
         gone = {k + j for k in range(len(lines) - run + 1) if first[tuple(lines[k:k + run])] < (i, k) for j in range(run)}
+        gone |= {k for k, x in enumerate(lines) if len(x.encode()) >= long and whole[x] < (i, k)}
         out[i] = (len(lines), len(gone), "\n".join(x for k, x in enumerate(lines) if k not in gone))
     return out
 
@@ -186,6 +189,15 @@ def test_line_runs(rules, docs, empty, spark):
     assert drop_repeated_runs(docs, rules).count() == len(TEXTS) and drop_repeated_runs(empty, rules).count() == 0
 
 
+def test_long_lines_match_alone(spark):
+    rng = np.random.default_rng(5)
+    words = ["x" * 199, "x" * 200, "\u00e9" * 100, "\u00e9" * 99, "short", "", "y " * 400]
+    texts = [(i, "\n".join(rng.choice(words, rng.integers(1, 5)))) for i in range(80)] + [(90, None), (91, words[1])]
+    frame = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    found = {r[0]: tuple(r)[1:] for r in drop_repeated_runs(frame).collect()}
+    assert found == lines_by_brute_force(texts, 3) and found[91] == (1, 1, "")
+
+
 def test_mixing_meets_its_targets(known):
     documents, labels = known
     domains = label_domains(labels.withColumn("toxic", labels.toxic * 0))
