@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from somnolake.llm.columnar import (
-    column, list_array, mix, offsets, ranges, signed, slice_hashes, texts, written,
+    column, join_groups, list_array, mix, offsets, signed, slice_hashes, texts, written,
 )
 
 
@@ -20,10 +20,12 @@ class LineRules:
     """Fingerprints are hashes of `gram` lines; of every `window` neighbouring ones the least is taken.
 
     Two texts that share a run of window + gram - 1 lines therefore share a fingerprint of it.
+    A line of `long` bytes or more is a run by itself, and its own fingerprint.
     """
 
     gram: int = 2
     window: int = 2
+    long: int = 200
 
     @property
     def run(self) -> int:
@@ -56,11 +58,14 @@ def _joined(hashes: np.ndarray, size: int) -> np.ndarray:
     return mix(total + np.uint64(size))
 
 
+ALONE = np.uint64(0xA0761D6478BD642F)
+
+
 def _fingerprints(documents: DataFrame, rules: LineRules) -> DataFrame:
-    """(print, doc_id, first, runs): the selected fingerprints, and the hashes of all runs around each.
+    """(print, doc_id, first, lines, runs): the selected fingerprints, and the hashes of all runs around each.
 
-    runs has the runs of rules.run lines that hold the fingerprint, from line `first` on: how far
-    a match may extend to the left and to the right.
+    runs has the runs of `lines` lines that hold the fingerprint, from line `first` on: how far
+    a match may extend to the left and to the right.  A long line has itself as its only run.
     """
 
     def run(batches):
@@ -82,32 +87,42 @@ def _fingerprints(documents: DataFrame, rules: LineRules) -> DataFrame:
                 begins = np.flatnonzero(new)
                 length = np.diff(np.append(begins, len(at)))
                 ids = column(batch, "doc_id").slice(low, high - low)
+                long = np.flatnonzero(end - begin >= rules.long)
+                alone = mix(lines[long] ^ ALONE)
+                where = np.concatenate([at[begins], long])
+                span = np.repeat(np.array([rules.run, 1], np.int32), [len(begins), len(long)])
+                around = np.concatenate([whole[at], alone])
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(signed(grams[chosen[begins]])), ids.take(pa.array(owner[at[begins]])),
-                    pa.array(place[at[begins]]), list_array(signed(whole[at]), length, pa.int64()),
-                ], ["print", "doc_id", "first", "runs"])
+                    pa.array(signed(np.concatenate([grams[chosen[begins]], alone]))),
+                    ids.take(pa.array(owner[where])), pa.array(place[where]), pa.array(span),
+                    list_array(signed(around), np.concatenate([length, np.ones(len(long), np.int64)]), pa.int64()),
+                ], ["print", "doc_id", "first", "lines", "runs"])
 
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "print long, doc_id long, first long, runs array<long>"
+        run, "print long, doc_id long, first long, lines int, runs array<long>"
     )
 
 
 def repeated_runs(documents: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
-    """(doc_id, line): where a run of rules.run lines begins that began earlier already.
+    """(doc_id, line, lines): where a run begins that began earlier already, and how many lines it has.
 
-    Earlier means a smaller doc_id, or the same one and a smaller line.  Only fingerprints that
-    occur more than once are extended; of each run only its earliest place is kept, as a minimum
-    that is taken before rows move, so a run with very many copies makes no pairs.
+    Earlier means a smaller doc_id, or the same one and a smaller line.  The places of each
+    fingerprint that occurs more than once are extended to the left and right by line hashes.  Each
+    extension is joined to its own first place: the first place of the fingerprint alone may
+    continue otherwise than a later one that still is earlier than this.  First places are minima
+    taken before rows move; the rows of very frequent fingerprints and runs don't move at all.
     """
     prints = written(_fingerprints(documents.where("doc_id is not null"), rules), "line-prints")
-    again = prints.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print")
-    runs = prints.join(again, "print", "left_semi").select(
-        "doc_id", "first", F.posexplode("runs").alias("step", "run")
-    ).select("run", "doc_id", (F.col("first") + F.col("step")).alias("line"))
-    earliest = runs.groupBy("run").agg(
+    again = written(prints.groupBy("print").agg(F.count("*").alias("n")).where("n > 1"), "line-prints-again")
+    places = join_groups(prints, again, "print", "n").where("n is not null")
+    runs = written(places.select("doc_id", "first", "lines", F.posexplode("runs").alias("step", "run")).select(
+        "run", "doc_id", (F.col("first") + F.col("step")).alias("line"), "lines"
+    ), "line-runs")
+    earliest = written(runs.groupBy("run").agg(
         F.min(F.struct("doc_id", "line")).alias("origin"), F.count("*").alias("n")
-    ).where("n > 1").select("run", "origin")
-    return runs.join(earliest, "run").where(F.struct("doc_id", "line") > F.col("origin")).select("doc_id", "line")
+    ).where("n > 1"), "line-runs-first")
+    matched = join_groups(runs, earliest, "run", "n").where("origin is not null")
+    return matched.where(F.struct("doc_id", "line") > F.col("origin")).select("doc_id", "line", "lines")
 
 
 def drop_repeated_runs(documents: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
@@ -115,12 +130,14 @@ def drop_repeated_runs(documents: DataFrame, rules: LineRules = LineRules()) ->
 
     Lines are cut at "\\n" and compared as they are; what is left is joined by "\\n".  A line goes
     when it lies in a run of rules.run lines that also begins at an earlier place, or when it has
-    200 bytes or more and stands at an earlier place too (runs are judged on the input, and may
+    rules.long bytes or more and stands at an earlier place too (runs are judged on the input, and may
     overlap).  Null texts count as empty (one empty line); rows with a null
     id are left as they are; rows that repeat an id are judged alike, and not against each other
     at the same line.
     """
-    marks = repeated_runs(documents, rules).groupBy("doc_id").agg(F.collect_set("line").alias("runs"))
+    marks = repeated_runs(documents, rules).groupBy("doc_id").agg(
+        F.collect_set(F.struct("line", "lines")).alias("runs")
+    )
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
 
     def run(batches):
@@ -130,13 +147,17 @@ def drop_repeated_runs(documents: DataFrame, rules: LineRules = LineRules()) ->
                 begin, end, bounds = line_spans(data, starts)
                 raw, gone = data.tobytes(), np.zeros(len(begin) + 1, np.int64)
                 own = marked.slice(low, high - low)
-                values = own.flatten().to_numpy(zero_copy_only=False)
+                found = own.flatten()
+                values = found.field(0).to_numpy(zero_copy_only=False)
+                span = found.field(1).to_numpy(zero_copy_only=False)
                 sizes = own.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
                 line = np.repeat(bounds[:-1], sizes) + values
                 limit = np.repeat(bounds[1:], sizes)
-                line, limit = line[line < limit], limit[line < limit]
+                # a row that repeats an id may be shorter than the one that the run was found in
+                inside = line < limit
+                line, limit, span = line[inside], limit[inside], span[inside]
                 np.add.at(gone, line, 1)
-                np.add.at(gone, np.minimum(line + rules.run, limit), -1)
+                np.add.at(gone, np.minimum(line + span, limit), -1)
                 keep = np.cumsum(gone)[:-1] == 0
                 out = []
                 for i in range(high - low):

@@ -62,8 +62,15 @@ def test_near_duplicates(docs):
 
 
 def test_lines(docs):
-    found = {r["doc_id"]: (r["n_removed"], r["text"]) for r in drop_repeated_runs(docs).collect()}
+    alone = docs.where("doc_id > 2")
+    found = {r["doc_id"]: (r["n_removed"], r["text"]) for r in drop_repeated_runs(alone).collect()}
     assert found[3] == (0, LINES[0]) and found[4] == (0, LINES[1])
+    # the first lines of 3 and 4 are the texts of 1 and 2, and long
+    found = {r["doc_id"]: (r["n_removed"], r["text"]) for r in drop_repeated_runs(docs).collect()}
+    assert found == {
+        1: (0, PAIR[0]), 2: (0, PAIR[1]),
+        3: (1, LINES[0].split("\n", 1)[1]), 4: (1, LINES[1].split("\n", 1)[1]),
+    }
 
 
 def test_span_hashes_follow_the_bytes():
