@@ -69,26 +69,53 @@ def add_documents(documents: DataFrame, index: DigestIndex) -> DataFrame:
 
 
 def _add(rows: DataFrame, index: DigestIndex) -> DataFrame:
-    groups = rows.groupBy("digest").agg(
+    return _append_unseen(rows.groupBy("digest").agg(
         F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")
-    )
+    ), index)
+
+
+def _append_unseen(groups: DataFrame, index: DigestIndex) -> DataFrame:
     # dealt as the index is: neither the join nor the bucketed files need another shuffle
     fresh = written(index.unseen(groups.repartition(index.buckets, "digest")), "new-digests")
     index.append(fresh.repartition(index.buckets, "digest"))
     return fresh
 
 
-def exact_duplicates(documents: DataFrame, index: DigestIndex) -> DataFrame:
+def _loads(rows: DataFrame, count: int):
+    """Number of the load of each row: ids in `count` stretches of about as many rows, larger ids first.
+
+    Null ids, which are smaller than any other, come last.
+    """
+    if count == 1:
+        return F.lit(0)
+    shares = [i / count for i in range(1, count)]
+    cuts = rows.agg(F.percentile_approx("doc_id", shares).alias("cuts")).first()["cuts"] or []
+    if not cuts:
+        return F.lit(0)
+    smaller = sum((F.coalesce(F.col("doc_id") <= cut, F.lit(True)).cast("int") for cut in sorted(set(cuts))), F.lit(0))
+    return smaller
+
+
+def exact_duplicates(documents: DataFrame, index: DigestIndex, loads: int = 2) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256) for every row of `documents`.
 
-    keep_id is the row that the index has for the text: the largest doc_id of the load that
-    brought it.  kept is true for that row only; rows that repeat its id and text are as one and
-    are all marked kept (`deduplicated` leaves one of them).  Where all ids of a text are null,
-    keep_id is null and its rows are kept.
+    The rows come into the index in `loads` batches, larger ids first, each matched with what those
+    before it left there.  keep_id is the row that the index has for the text: the largest doc_id,
+    unless the index knew the text before.  group_size counts the equal rows of `documents`.  kept
+    is true for that row only; rows that repeat its id and text are as one and are all marked kept
+    (`deduplicated` leaves one of them).  Where all ids of a text are null, keep_id is null and its
+    rows are kept.
     """
     rows = written(digests(documents), "digests")
-    _add(rows, index)
-    found = join_groups(rows, index.rows(documents.sparkSession), "digest", "group_size")
+    groups = written(
+        rows.withColumn("load", _loads(rows, loads)).groupBy("digest", "load")
+        .agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")), "digest-groups",
+    )
+    for load in range(loads):
+        _append_unseen(groups.where(F.col("load") == load).drop("load"), index)
+    sizes = groups.groupBy("digest").agg(F.sum("group_size").alias("group_size"))
+    kept = index.rows(documents.sparkSession).select("digest", "keep_id")
+    found = join_groups(rows, written(sizes.join(kept, "digest", "left"), "digest-kept"), "digest", "group_size")
     return found.select(
         "doc_id", "keep_id", "group_size",
         F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"),
