@@ -158,26 +158,30 @@ def _has_letter(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def labelled_samples(labelled: DataFrame) -> dict[str, list[bytes]]:
-    """Up to SAMPLE_BYTES of text of each language, from rows in the order of a hash of their id.
+    """About SAMPLE_BYTES of text of each language: a share of each of up to SAMPLE_ROWS rows.
 
-    Of each language at most SAMPLE_ROWS rows are looked at, chosen before the texts are read.
+    The rows are the first in the order of a hash of their id, chosen before the texts are read.
+    Of each, as many code points as its share are taken from a place that a hash of the id names, so
+    that no single text fills a sample; where there are fewer rows, shares are larger.
     """
     rows = labelled.where("doc_id is not null and lang is not null and text is not null")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
         rows.select("doc_id", "lang").withColumn("place", F.row_number().over(order))
         .where(F.col("place") <= SAMPLE_ROWS)
+        .withColumn("share", F.ceil(F.lit(SAMPLE_BYTES) / F.count("*").over(Window.partitionBy("lang"))).cast("int"))
     )
     # SAMPLE_ROWS a language: small enough to be sent to where the texts are
-    picked = (
-        rows.join(F.broadcast(chosen.select("doc_id", "lang", "place").distinct()), ["doc_id", "lang"])
-        .select("lang", "place", F.substring("text", 1, SAMPLE_BYTES).alias("text"))
+    picked = rows.join(
+        F.broadcast(chosen.groupBy("doc_id", "lang").agg(F.min("place").alias("place"), F.max("share").alias("share"))),
+        ["doc_id", "lang"],
     )
-    size = F.sum(F.octet_length("text")).over(Window.partitionBy("lang").orderBy("place", "text").rowsBetween(Window.unboundedPreceding, -1))
-    held = picked.withColumn("before", F.coalesce(size, F.lit(0))).where(F.col("before") < SAMPLE_BYTES)
+    spare = F.greatest(F.length("text") - F.col("share"), F.lit(0)) + 1
+    begin = (F.pmod(F.xxhash64("doc_id", "lang"), spare) + 1).cast("int")
+    cut = picked.select("lang", "place", F.substring(F.col("text"), begin, F.col("share")).alias("text")).distinct()
     samples: dict[str, list[bytes]] = {}
-    for row in held.orderBy("lang", "place", "text").collect():  # SAMPLE_BYTES a language
-        samples.setdefault(row["lang"], []).append(row["text"].encode()[:SAMPLE_BYTES - row["before"]])
+    for row in cut.orderBy("lang", "place", "text").collect():  # about SAMPLE_BYTES characters a language
+        samples.setdefault(row["lang"], []).append(row["text"].encode())
     return samples
 
 

@@ -16,7 +16,7 @@ from somnolake.llm.byte_bpe import decode, encode_documents, read_ranks
 from somnolake.llm.components import components
 from somnolake.llm.digest_index import DigestIndex, deduplicated, exact_duplicates
 from somnolake.llm.induced_sort import suffix_order
-from somnolake.llm.language import languages
+from somnolake.llm.language import SAMPLE_BYTES, CrossParser, byte_symbols, labelled_samples, languages
 from somnolake.llm.line_runs import LineRules, drop_repeated_runs
 from somnolake.llm.mixing import label_domains, mixed
 from somnolake.llm.near_dups import NearDupRules, near_duplicate_classes
@@ -242,6 +242,33 @@ def test_digest_index_remembers(docs, spark):
     assert index.rows(spark).count() == index.rows(spark).select("digest").distinct().count()
 
 
+@pytest.mark.parametrize("loads", [1, 2, 5])
+def test_loads_meet_what_those_before_left(docs, empty, spark, loads):
+    index = DigestIndex.fresh(spark, 4)
+    found = exact_duplicates(docs, index, loads)
+    plain = {(i, sha((t or "").encode())) for i, t in TEXTS}
+    assert {(r["doc_id"], r["text_sha256"]) for r in found.collect()} == plain
+    for r in found.collect():
+        same = [j for j, u in TEXTS if sha((u or "").encode()) == r["text_sha256"]]
+        keep = max((j for j in same if j is not None), default=None)
+        assert (r["keep_id"], r["group_size"]) == (keep, len(same))
+    assert index.rows(spark).count() == len({t or "" for _, t in TEXTS})
+    # all of it again: nothing is new, and the row that the index has stays
+    more = docs.withColumn("doc_id", docs.doc_id + 1000)
+    assert not [r for r in exact_duplicates(more, index, loads).collect() if r["keep_id"] is not None and r["keep_id"] > 1000]
+    assert index.rows(spark).count() == len({t or "" for _, t in TEXTS})
+    assert exact_duplicates(empty, DigestIndex.fresh(spark), loads).count() == 0
+
+
+def test_later_loads_are_matched_by_a_sort_merge_anti_join(docs, spark):
+    index = DigestIndex.fresh(spark, 4)
+    exact_duplicates(docs, index)
+    groups = docs.selectExpr("sha2(text, 256) AS digest").repartition(4, "digest")
+    plan = index.unseen(groups)._jdf.queryExecution().executedPlan().toString()
+    known = plan.split(index.table)[0].rsplit("+- ", 1)[-1]
+    assert "SortMergeJoin" in plan and "LeftAnti" in plan and "Exchange" not in known
+
+
 def test_wavelet_matrix():
     ids = np.random.default_rng(2).integers(0, 50000, 3001)
     ids[::7] = 1
@@ -354,6 +381,39 @@ def test_languages(known, docs, empty):
     assert languages(empty).count() == 0 and len(languages(docs).collect()) == len(TEXTS)
 
 
+def test_a_long_text_does_not_fill_a_language(spark):
+    rows = [(0, "xx", "long " * 20000)] + [(i, "xx", f"row{i} " * 30) for i in range(1, 40)] + [(50, "yy", "few"), (51, None, "no")]
+    found = labelled_samples(spark.createDataFrame(rows, "doc_id long, lang string, text string"))
+    texts = dict((r[0], r[2]) for r in rows)
+    assert set(found) == {"xx", "yy"} and found["yy"] == [b"few"] and len(found["xx"]) == 40
+    assert max(map(len, found["xx"])) <= -(-SAMPLE_BYTES // 40)
+    assert all(any(s.decode() in t for t in texts.values()) for s in found["xx"])
+
+
+def longest_matches(text, sample, joined):
+    """Phrases of a greedy parse into longest pieces that `sample` holds, by `in`."""
+    at = count = 0
+    while at < len(text):
+        size = 1
+        while at + size < len(text) and text[at:at + size + 1] in joined:
+            size += 1
+        at += size
+        count += 1
+    return count
+
+
+def test_phrases_are_those_of_a_search_for_longest_matches():
+    rng = np.random.default_rng(8)
+    sample = ["".join(rng.choice(list("abc "), 60)) for _ in range(3)]
+    table = byte_symbols([s.encode() for s in sample])
+    parser = CrossParser([s.encode() for s in sample], table)
+    joined = "|".join(sample)
+    for size in (1, 2, 7, 40):
+        texts = ["".join(rng.choice(list("abc "), size)) for _ in range(30)]
+        lanes = np.stack([table[np.frombuffer(t.encode(), np.uint8)].astype(np.int32) for t in texts], axis=1)
+        assert parser.phrases(lanes).tolist() == [longest_matches(t, sample, joined) for t in texts]
+
+
 def test_byte_bpe(docs, empty, spark):
     ranks = read_ranks(RANKS)
     encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
