@@ -54,10 +54,14 @@ class WarehouseConfig:
     rows_a_task: int = 5_000_000
     # also load "hypertension_imputed", with a mark on each value that the load fills
     imputed_flags: bool = False
+    # versions of a table that a load leaves, the new one included; None deletes nothing
+    keep_versions: int | None = None
 
     def __post_init__(self) -> None:
         if self.on_error not in ("raise", "stop_quiet"):
             raise ValueError(f"on_error must be 'raise' or 'stop_quiet', not {self.on_error!r}")
+        if self.keep_versions is not None and self.keep_versions < 1:
+            raise ValueError(f"keep_versions must be 1 or more, not {self.keep_versions}")
 
     def database(self, layer: str) -> str:
         return f"{self.prefix}{layer}"

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 
 def null_profile(rows: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
@@ -50,6 +51,50 @@ def broken_rules(rules: Mapping[str, tuple[float, float]]) -> Column:
     )
 
 
+class Refused(ValueError):
+    """Rows that were written but break a rule of their table, which therefore wasn't pointed at them."""
+
+
+@dataclass(frozen=True)
+class Gate:
+    """Rules that a table's rows must keep, counted while they are written: no further scan or join.
+
+    ``references`` maps a column to the ids of a dimension of few rows; NULL refers to nothing
+    and is allowed.  NULL breaks no range.
+    """
+
+    not_null: Collection[str] = ()
+    ranges: Mapping[str, tuple[float, float]] = field(default_factory=dict)
+    references: Mapping[str, Collection] = field(default_factory=dict)
+
+    def counts(self) -> list[Column]:
+        """One aggregate a rule: how many rows break it."""
+        return [
+            *(F.count_if(F.col(c).isNull()).alias(f"{c} missing") for c in self.not_null),
+            *(
+                F.count_if(~F.col(c).between(low, high)).alias(f"{c} out of range")
+                for c, (low, high) in self.ranges.items()
+            ),
+            *(
+                F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(*ids)).alias(f"{c} without parent")
+                for c, ids in self.references.items()
+            ),
+        ]
+
+    def watch(self, rows: DataFrame) -> tuple[DataFrame, Observation | None]:
+        """The rows, and what is known of them once they are written."""
+        counts = self.counts()
+        if not counts:
+            return rows, None
+        seen = Observation()
+        return rows.observe(seen, *counts), seen
+
+    def check(self, table: str, seen: Observation | None) -> None:
+        broken = {rule: n for rule, n in (seen.get if seen else {}).items() if n}
+        if broken:
+            raise Refused(f"{table} isn't published: {broken}")
+
+
 def range_split(
     rows: DataFrame, rules: Mapping[str, tuple[float, float]]
 ) -> tuple[DataFrame, DataFrame]:

@@ -8,20 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from somnolake import schemas
-from somnolake.config import WarehouseConfig
+from somnolake.config import WarehouseConfig, scratch_path
 from somnolake.operators.identity import dense_id
 from somnolake.operators.joins import Skew
-from somnolake.operators.quality import deduplicate, range_split
+from somnolake.operators.quality import Gate, broken_rules, deduplicate
 from somnolake.plans import gold, silver, views
 from somnolake.plans.runlog import RunLog
 from somnolake.sources.csv import SOURCE_STYLES, read_csv
 from somnolake.sources.tables import STAMP, conform, full_refresh, stamped
 
-# Tables whose key depends on the data; the other declared keys are unique by the way
-# they are made.
-CHECKED_KEYS = ("mart_epidemiology_combined",)
-
-
 def create_layers(spark: SparkSession, config: WarehouseConfig) -> None:
     for layer in ("bronze", "silver", "gold"):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {config.database(layer)}")
@@ -39,12 +34,25 @@ def _writer(
     spark: SparkSession, config: WarehouseConfig, layer: str, name: str
 ) -> Callable[[DataFrame], None]:
     def write(rows: DataFrame) -> None:
-        key = schemas.PRIMARY_KEYS.get(name) if name in CHECKED_KEYS else None
-        full_refresh(spark, rows, config.table(layer, name), _folder(config, layer, name), key)
+        key, gate = None, Gate()
+        if layer == "gold":
+            key, gate = schemas.PRIMARY_KEYS.get(name), _references(spark, config, name)
+        folder = _folder(config, layer, name)
+        full_refresh(spark, rows, config.table(layer, name), folder, key, gate, config.keep_versions)
 
     return write
 
 
+def _references(spark: SparkSession, config: WarehouseConfig, name: str) -> Gate:
+    """The declared foreign keys of a gold table; all refer to dimensions of fixed, few rows."""
+    known = {}
+    for child, column, parent, key in schemas.FOREIGN_KEYS:
+        if child == name:
+            ids = spark.table(config.table("gold", parent)).select(key).collect()
+            known[column] = [row[0] for row in ids]
+    return Gate(references=known)
+
+
 def run_bronze(spark: SparkSession, config: WarehouseConfig) -> bool:
     """Load every raw extract into a typed table; True if all steps ran."""
     create_layers(spark, config)
@@ -82,14 +90,18 @@ def run_silver(spark: SparkSession, config: WarehouseConfig) -> bool:
             return stamped(transform(raw), moment)
 
         if name in config.ranges:
-            rules = config.ranges[name]
-            log.step(
-                f"{name}_rejected", lambda: range_split(load(), rules)[1],
-                _writer(spark, config, "silver", f"{name}_rejected"),
-            )
-            log.step(
-                name, lambda: range_split(load(), rules)[0], _writer(spark, config, "silver", name)
-            )
+            staged = scratch_path(spark, name)
+
+            def rejected(rules=config.ranges[name], load=load, staged=staged) -> DataFrame:
+                # cleansed once; both tables are cut from what was written
+                load().withColumn("broken", broken_rules(rules)).write.parquet(staged)
+                return spark.read.parquet(staged).where("broken <> ''")
+
+            def accepted(staged=staged) -> DataFrame:
+                return spark.read.parquet(staged).where("broken = ''").drop("broken")
+
+            log.step(f"{name}_rejected", rejected, _writer(spark, config, "silver", f"{name}_rejected"))
+            log.step(name, accepted, _writer(spark, config, "silver", name))
         else:
             log.step(name, load, _writer(spark, config, "silver", name))
     if config.imputed_flags:
@@ -107,7 +119,7 @@ def silver_tables(spark: SparkSession, config: WarehouseConfig) -> dict[str, Dat
 
 
 def run_gold(spark: SparkSession, config: WarehouseConfig) -> bool:
-    """Dimensions, then the fact, then the marts, then the session views."""
+    """Dimensions, then the fact, then the marts, then the views."""
     create_layers(spark, config)
     log = _log(spark, config, "gold")
     moment = datetime.datetime.now()
@@ -157,6 +169,7 @@ def run_gold(spark: SparkSession, config: WarehouseConfig) -> bool:
     log.finish()
     if not log.stopped:
         views.create_views(tables)
+        views.store_views(spark, config)
     return not log.stopped
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from somnolake import schemas
+from somnolake.config import WarehouseConfig
 from somnolake.functions import numeric
 from somnolake.operators.impute import with_imputed_flags
 from somnolake.operators.rollups import (
@@ -19,6 +21,8 @@ from somnolake.plans import gold
 OUTCOMES = ("diabetes_flag", "sleep_apnea_flag", "hypertension_flag")
 LINK_MEASURES = {"bmi": 1, "glucose": 2, "insulin": 2, "blood_pressure": 0}
 HIGH_STRESS = 7
+# measures that the fact names otherwise
+FACT_NAMES = {"apnea_hypopnea_index": "ahi_score"}
 
 
 def _sums(name: str, value: str, scale: int) -> dict[str, str]:
@@ -68,6 +72,12 @@ def risk_factor_correlation(
     # Grouped by the flags, a flag is constant in a group and its product sums follow.
     rolled = fanout_rollup(link, gold.KEY, list(OUTCOMES), base, attached, count_as="n")
 
+    one_row = rolled.agg(*(F.expr(value).alias(name) for name, value in _totals(measures).items()))
+    return one_row.selectExpr(_correlations(measures))
+
+
+def _totals(measures) -> dict[str, str]:
+    """Aggregates over groups of equal flags: the moments of each outcome with each measure."""
     totals = {"n": "sum(n)"}
     for outcome in OUTCOMES:
         for name in measures:
@@ -80,7 +90,11 @@ def risk_factor_correlation(
                 f"{pair}__y": f"sum(IF({outcome} IS NULL, 0, {total}))",
                 f"{pair}__yy": f"sum(IF({outcome} IS NULL, 0, {square}))",
             }
-    one_row = rolled.agg(*(F.expr(value).alias(name) for name, value in totals.items()))
+    return totals
+
+
+def _correlations(measures) -> str:
+    """One line for each outcome and measure, from the moments."""
     lines = []
     for outcome in OUTCOMES:
         for name in measures:
@@ -94,7 +108,7 @@ def risk_factor_correlation(
                 f"struct('{outcome}' AS outcome, '{name}' AS measure, "
                 f"n, {value} AS correlation)"
             )
-    return one_row.selectExpr(f"inline(array({', '.join(lines)}))")
+    return f"inline(array({', '.join(lines)}))"
 
 
 def occupational_health(lifestyle: DataFrame, apnea: DataFrame) -> DataFrame:
@@ -142,6 +156,56 @@ def create_views(silver: dict[str, DataFrame]) -> None:
         rows.createOrReplaceTempView(name)
 
 
+def view_texts(config: WarehouseConfig) -> dict[str, str]:
+    """The three views as SQL over stored tables; the correlation reads the stored fact once."""
+    def listed(columns: dict[str, str]) -> str:
+        return ", ".join(f"{value} AS {name}" for name, value in columns.items())
+
+    measures = [*LINK_MEASURES, "neck_circumference", *gold.BREATHING_MEASURES]
+    stored = schemas.GOLD["fact_patient_health_snapshot"]
+    sums = {"n": "CAST(count(1) AS decimal(38,0))"}
+    for name in measures:
+        column = FACT_NAMES.get(name, name)
+        sums |= _sums(name, column, getattr(stored[column].dataType, "scale", 0))
+    fact = config.table("gold", "fact_patient_health_snapshot")
+    flags = ", ".join(OUTCOMES)
+    lifestyle = config.table("silver", "sleep_health_lifestyle")
+    means = {
+        "avg_activity": mean("physical_activity_level", 2),
+        "avg_heart_rate": mean("heart_rate", 2),
+        "avg_diastolic": mean("diastolic_bp", 2),
+    }
+    mart = ", ".join(f"m.{name}" for name in schemas.GOLD["mart_occupation_risk"].names)
+    counts = {
+        "patients": "count(1)",
+        "sleep_apnea_count": "count_if(sleep_disorder = 'Sleep Apnea')",
+        "insomnia_count": "count_if(sleep_disorder = 'Insomnia')",
+    }
+    rates = {
+        "sleep_apnea_rate_pct": rate_pct("sleep_apnea_count", "patients"),
+        "insomnia_rate_pct": rate_pct("insomnia_count", "patients"),
+    }
+    return {
+        "vw_risk_factor_correlation":
+            f"SELECT {_correlations(measures)} FROM (SELECT {listed(_totals(measures))} FROM "
+            f"(SELECT {flags}, {listed(sums)} FROM {fact} GROUP BY {flags}))",
+        "vw_occupational_health_metrics":
+            f"SELECT {mart}, {', '.join(means)} FROM {config.table('gold', 'mart_occupation_risk')} m "
+            f"LEFT JOIN (SELECT occupation, {listed(means)} FROM {lifestyle} GROUP BY occupation) a "
+            "ON m.occupation <=> a.occupation",
+        "vw_sleep_disorder_analysis":
+            f"SELECT *, {listed(rates)} FROM (SELECT occupation, high_stress, {listed(counts)} FROM "
+            f"(SELECT *, IF(stress_level >= {HIGH_STRESS}, 1, 0) AS high_stress FROM {lifestyle}) "
+            "GROUP BY occupation, high_stress)",
+    }
+
+
+def store_views(spark: SparkSession, config: WarehouseConfig) -> None:
+    """Create or replace the three views in the catalog, beside the gold tables."""
+    for name, text in view_texts(config).items():
+        spark.sql(f"CREATE OR REPLACE VIEW {config.table('gold', name)} AS {text}")
+
+
 def hypertension_with_flags(raw: DataFrame) -> DataFrame:
     """Raw hypertension rows parsed, with a mark on each value the silver load fills."""
     parsed = raw.withColumns({

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DataType, StructType, VarcharType
 
-from somnolake.operators.quality import key_report
+from somnolake.operators.quality import Gate, key_report
 
 STAMP = "dwh_create_date"
 
@@ -70,17 +70,62 @@ def point_table(spark: SparkSession, table: str, rows: DataFrame, path: str) ->
     return spark.table(table)
 
 
+def versions(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the versions below ``folder``, the latest written first."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(where):
+        return []
+    found = [
+        (status.getModificationTime(), status.getPath().getName())
+        for status in files.listStatus(where)
+        if status.isDirectory() and status.getPath().getName().startswith("v-")
+    ]
+    return [name for _, name in sorted(found, reverse=True)]
+
+
+def expire_versions(spark: SparkSession, folder: str, current: str, keep: int) -> list[str]:
+    """Delete all versions below ``folder`` but ``current`` and the latest others, ``keep`` in all.
+
+    Returns the names of those deleted.  A query that still reads a deleted version fails, so
+    ``keep`` should cover the loads that the longest query may see.
+    """
+    if keep < 1:
+        raise ValueError(f"at least the current version is kept, not {keep}")
+    held = current.rstrip("/").rsplit("/", 1)[-1]
+    known = versions(spark, folder)
+    if held not in known:
+        raise ValueError(f"{current} is no version of {folder}")
+    gone = [name for name in known if name != held][keep - 1:]
+    for name in gone:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return gone
+
+
 def full_refresh(
-    spark: SparkSession, rows: DataFrame, table: str, folder: str, key: str | None = None
+    spark: SparkSession,
+    rows: DataFrame,
+    table: str,
+    folder: str,
+    key: str | None = None,
+    gate: Gate = Gate(),
+    keep: int | None = None,
 ) -> DataFrame:
     """Replace the content of ``table`` by ``rows``.
 
-    With a ``key``, the written files are checked first, and a key that repeats or is
-    missing leaves the table as it was.
+    Rules of ``gate`` are counted as the rows are written.  With a ``key``, the written files
+    are checked too.  Where a rule is broken or a key repeats or is missing, the table stays as it
+    was.  With ``keep``, older versions than that many are deleted once the table is pointed.
     """
-    path = write_refresh(rows, folder)
+    watched, seen = gate.watch(rows)
+    path = write_refresh(watched, folder)
+    gate.check(table, seen)
     if key is not None:
         report = key_report(spark.read.parquet(path), key).first()
         if report["duplicate_keys"] or report["null_keys"]:
             raise ValueError(f"primary key {key} of {table}: {report.asDict()}")
-    return point_table(spark, table, rows, path)
+    pointed = point_table(spark, table, rows, path)
+    if keep is not None:
+        expire_versions(spark, folder, path, keep)
+    return pointed
