@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +32,13 @@ class EncodeCache:
         self.known.update(zip(pieces, range(len(self.length), len(self.length) + len(pieces)), strict=True))
         self.start = np.concatenate([self.start, len(self.flat) + offsets(length)[:-1]])
         self.length = np.concatenate([self.length, length])
-        self.flat = np.concatenate([self.flat, np.fromiter((i for ids in found for i in ids), np.int32, int(length.sum()))])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), np.int32, int(length.sum()))])
         self.size += sum(map(len, pieces)) + _ENTRY * len(pieces)
 
     def encode(self, pieces: pa.Array, missing: Callable[[list[bytes]], list[list[int]]]):
         """(ids, lengths) of all pieces of a binary array in order; `missing` encodes new ones."""
         coded = pieces.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if self.size > self.most:
             self._clear()
         fresh = [piece for piece in distinct if piece not in self.known]

@@ -17,7 +17,7 @@ from somnolake.llm.encode_cache import EncodeCache
 from somnolake.llm.line_runs import drop_repeated_runs
 from somnolake.llm.near_dups import near_duplicate_classes
 from somnolake.llm.shipping import ship
-from somnolake.llm.token_files import token_documents, write_token_files
+from somnolake.llm.token_files import PieceEncoder, token_documents, write_token_files
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -97,3 +97,16 @@ def test_cache_of_few_bytes_encodes_again():
         ids, lengths = cache.encode(pa.array(words, pa.binary()), missing)
         assert bytes(ids.tolist()) == b"".join(words) and lengths.tolist() == list(map(len, words))
     assert asked == [b"ab", b"", b"c", b"c", b"d", b"ab", b"d"]
+
+
+def test_words_straight_to_the_model_have_the_ids_of_the_library():
+    tokenizer = Tokenizer.from_file(WORDS)
+    encoder = PieceEncoder(tokenizer)
+    assert encoder.letters is not None
+    words = ["a", "word", "reading" * 40, "ß", "ÿ", "àíé", "été", "straße", "Àb", "É", "a×b", "a÷b", "don't", "é", "ﬁn", "12", "ab1", "--", "日本"]
+    words += [chr(c) for c in range(0xC0, 0x100)] + [a + b for a in "aàí" for b in "zñü"]
+    want = [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)]
+    assert encoder([w.encode() for w in words]) == want
+    encoder.letters = None  # as where the steps before the model change letters
+    assert encoder([w.encode() for w in words]) == want
+    assert encoder([]) == []
