@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
 from somnolake.checks.adapters import ADAPTERS
+from somnolake.operators.joins import Skew, skew_left_joins
 from somnolake.plans import gold, silver
 
 
@@ -10,6 +17,58 @@ def plan_of(rows) -> list[str]:
     return rows._jdf.queryExecution().executedPlan().toString().splitlines()
 
 
+def above(lines: list[str], index: int) -> list[str]:
+    """The operators that a line's rows go through."""
+    found, depth = [], re.search(r"\w", lines[index]).start()
+    for line in reversed(lines[:index]):
+        if (at := re.search(r"\w|$", line).start()) < depth and line.strip():
+            found.append(line)
+            depth = at
+    return found
+
+
+def side(spark, name, rows=60):
+    return spark.range(rows).selectExpr(f"id AS {name}", f"if(id % 10 > 0, 'hot', concat(id, '{name}')) AS k")
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_joined_rows_of_a_chain_do_not_move(spark, threshold):
+    """Whatever is small enough for a broadcast, the tables are dealt once, before the first join."""
+    a, b, c, d = (side(spark, name) for name in "abcd")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        rows = skew_left_joins(a, [(b, F.col("b")), (c, F.col("c")), (d, F.col("d"))], ["k"], F.col("a"))
+        lines = plan_of(rows)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joins = [i for i, line in enumerate(lines) if "SortMergeJoin" in line]
+    assert len(joins) == 3
+    for i in joins:
+        assert not [line for line in above(lines, i) if "Exchange" in line]
+
+
+@pytest.mark.parametrize(("sizes", "rows_a_task"), [((60, 60, 60), 1000), ((200, 1, 30), 50), ((3, 400, 2), 7)])
+def test_pieces_are_of_about_the_rows_a_task(spark, sizes, rows_a_task):
+    a, b, c = (
+        spark.range(n).selectExpr(f"id AS {name}", "'hot' AS k") for name, n in zip("abc", sizes, strict=True)
+    )
+    rows = skew_left_joins(
+        a, [(b, F.col("b")), (c, F.col("c"))], ["k"], F.col("a"), skew=Skew(rows_a_task=rows_a_task)
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "2000")
+    try:
+        held = rows.select(F.spark_partition_id().alias("task"), "a", "b", "c").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    n = sizes[0] * sizes[1] * sizes[2]
+    assert len(held) == len({row[1:] for row in held}) == n
+    # rows are dealt by a hash, and two pieces may meet in a task
+    tasks = Counter(row["task"] for row in held)
+    assert n / rows_a_task / 2 <= len(tasks) and max(tasks.values()) <= 8 * rows_a_task
+
+
 def test_a_link_rows_own_values_are_made_before_the_joins_that_repeat_it(spark, small):
     def load(name, adapter):
         return silver.LOADS[name](ADAPTERS[adapter].rows(spark, small))
