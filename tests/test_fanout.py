@@ -89,3 +89,16 @@ def test_a_link_rows_own_values_are_made_before_the_joins_that_repeat_it(spark,
     # only what the key joins add is filled after them
     later = len(gold.FACT_SOURCES["sleep_apnea_core"]) + len(gold.FACT_SOURCES["sleep_disordered_breathing"])
     assert values.count("coalesce(") == later
+
+
+def test_parts_of_few_bytes_and_many_joined_rows_are_not_put_together(spark):
+    """Thirty keys of 60 x 60 rows are some kilobytes, and one task's work only if they were judged by that."""
+    a, b = (spark.range(1800).selectExpr(f"id AS {name}", "id % 30 AS k") for name in "ab")
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = skew_left_joins(a, [(b, F.col("b"))], ["k"], F.col("a"))
+        sizes = [row["count"] for row in rows.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == 30 * 3600 and len(sizes) >= 6
