@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from somnolake.checks.adapters import ADAPTERS
+from somnolake.checks.queries import QUERIES
 from somnolake.operators.joins import Skew, skew_left_joins
 from somnolake.plans import gold, silver
 
@@ -102,3 +103,39 @@ def test_parts_of_few_bytes_and_many_joined_rows_are_not_put_together(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sum(sizes) == 30 * 3600 and len(sizes) >= 6
+
+
+def test_the_joins_of_a_chain_meet_blocks_and_rows_are_made_after_them(spark):
+    """1000 x 130 x 70 joined rows, of which the two joins make 1000 x 3 and 1000 x 3 x 2."""
+    a, b, c = (
+        spark.range(n).selectExpr(f"id AS {name}", "'k' AS k") for name, n in zip("abc", (1000, 130, 70), strict=True)
+    )
+    rows = skew_left_joins(
+        a, [(b, F.col("b")), (c, F.col("c"))], ["k"], F.col("a"), skew=Skew(rows_a_task=10_000_000)
+    )
+    assert rows.count() == rows.distinct().count() == 1000 * 130 * 70
+    lines = plan_of(rows)
+    last = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
+    over = above(lines, last)
+    assert len([line for line in over if "Generate inline(" in line]) == 2
+    # not a part of generated code, which would hold all rows of a left row at once
+    assert [line for line in over if "Filter forall(" in line and "*(" not in line]
+
+
+def test_join_left_fanout_types_rows_before_they_are_repeated(spark, small):
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        lines = plan_of(QUERIES["join_left_fanout"](spark, small))
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    last = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
+    assert not [line for line in above(lines, last) if "cast(" in line]
+
+
+def test_counting_makes_the_key_of_a_row_once(spark):
+    """A condition on the key below the aggregation would have it made for the condition, too."""
+    a, b = (spark.range(60).selectExpr(f"id AS {name}", "md5(string(id % 7)) AS k") for name in "ab")
+    lines = plan_of(skew_left_joins(a, [(b, F.col("b"))], ["k"], F.col("a")))
+    first = next(i for i, line in enumerate(lines) if "Union" in line)
+    counted = [line for line in lines[first:first + 7] if "md5(" in line]
+    assert len(counted) == 2 and not [line for line in counted if "Filter" in line]
