@@ -122,10 +122,11 @@ def test_the_joins_of_a_chain_meet_blocks_and_rows_are_made_after_them(spark):
     assert [line for line in over if "Filter forall(" in line and "*(" not in line]
 
 
-def test_join_left_fanout_types_rows_before_they_are_repeated(spark, small):
+@pytest.mark.parametrize("name", ["join_left_fanout", "fact_patient_health_snapshot"])
+def test_rows_are_typed_before_they_are_repeated(spark, small, name):
     spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
     try:
-        lines = plan_of(QUERIES["join_left_fanout"](spark, small))
+        lines = plan_of(QUERIES[name](spark, small))
     finally:
         spark.conf.unset("spark.sql.debug.maxToStringFields")
     last = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
